@@ -52,7 +52,8 @@ def map_rows(df: DataFrame, columns: list[str], schema: dict[str, str], make: Ca
         for b in batches:
             for at in range(0, b.num_rows, OUT_ROWS):
                 part = b.slice(at, OUT_ROWS)
-                yield batch(schema, f(*(c.to_pylist() for c in part.columns)))
+                if part.num_rows:
+                    yield batch(schema, f(*(c.to_pylist() for c in part.columns)))
 
     return df.select(*(F.col(f"`{c}`") for c in columns)).mapInArrow(run, ddl(schema))
 

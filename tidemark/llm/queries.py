@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, media, packing
+from . import bpe, media, packing, pii, quality
 from .common import documents
 
 
@@ -23,8 +23,16 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(documents(spark, sf_dir))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_media": op3_media, "op4_bpe": op4_bpe, "op7_packing": op7_packing}
+    return {"op3_media": op3_media, "op4_bpe": op4_bpe, "op7_packing": op7_packing, "op8_quality": op8_quality, "op10_pii": op10_pii}
 
 
 def oracle_sql() -> dict[str, str]:
