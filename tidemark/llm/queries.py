@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, media, packing, pii, quality
+from . import bpe, chat, media, packing, passages, pii, quality, sharding
 from .common import documents
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(documents(spark, sf_dir, "conversations"))
+
+
 def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(media.read(media.store(documents(spark, sf_dir))))
 
@@ -19,6 +23,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -27,13 +35,17 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(documents(spark, sf_dir))
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.digests(documents(spark, sf_dir))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_media": op3_media, "op4_bpe": op4_bpe, "op7_packing": op7_packing, "op8_quality": op8_quality, "op10_pii": op10_pii}
+    return {"op1_chat": op1_chat, "op3_media": op3_media, "op4_bpe": op4_bpe, "op6_sharding": op6_sharding, "op7_packing": op7_packing, "op8_quality": op8_quality, "op9_passages": op9_passages, "op10_pii": op10_pii}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_chat": chat.ORACLE}
