@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 #: Arrow types by the names that Spark's DDL has for them.
 ARROW = {
     "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(),
-    "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string()),
+    "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string()), "array<double>": pa.list_(pa.float64()),
 }
 #: Rows of one Arrow batch that goes back to Spark: long texts stay a few tens of MB.
 OUT_ROWS = 1000

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, media, packing, passages, pii, quality, sharding
+from . import bpe, chat, media, packing, passages, pii, quality, sharding, toxicity
 from .common import documents
 
 
@@ -23,6 +23,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digests(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir))
 
@@ -44,7 +48,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_chat": op1_chat, "op3_media": op3_media, "op4_bpe": op4_bpe, "op6_sharding": op6_sharding, "op7_packing": op7_packing, "op8_quality": op8_quality, "op9_passages": op9_passages, "op10_pii": op10_pii}
+    return {"op1_chat": op1_chat, "op3_media": op3_media, "op4_bpe": op4_bpe, "op5_toxicity": op5_toxicity, "op6_sharding": op6_sharding, "op7_packing": op7_packing, "op8_quality": op8_quality, "op9_passages": op9_passages, "op10_pii": op10_pii}
 
 
 def oracle_sql() -> dict[str, str]:
