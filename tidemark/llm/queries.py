@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, media, packing, passages, pii, quality, sharding, toxicity
+from . import bpe, chat, jaccard, media, packing, passages, pii, quality, sharding, toxicity
 from .common import documents
 
 
@@ -15,6 +15,10 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(documents(spark, sf_dir, "conversations"))
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.digests(documents(spark, sf_dir))
+
+
 def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(media.read(media.store(documents(spark, sf_dir))))
 
@@ -48,7 +52,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_chat": op1_chat, "op3_media": op3_media, "op4_bpe": op4_bpe, "op5_toxicity": op5_toxicity, "op6_sharding": op6_sharding, "op7_packing": op7_packing, "op8_quality": op8_quality, "op9_passages": op9_passages, "op10_pii": op10_pii}
+    return {"op1_chat": op1_chat, "op2_jaccard": op2_jaccard, "op3_media": op3_media, "op4_bpe": op4_bpe, "op5_toxicity": op5_toxicity, "op6_sharding": op6_sharding, "op7_packing": op7_packing, "op8_quality": op8_quality, "op9_passages": op9_passages, "op10_pii": op10_pii}
 
 
 def oracle_sql() -> dict[str, str]:
