@@ -280,3 +280,14 @@ def across_sizes(rest: DataFrame) -> DataFrame:
 
 def digests(df: DataFrame) -> DataFrame:
     return classes(df).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """df with one document of each component: the one whose id is the component's. Rows with one id are one document, of which the row
+    with the smallest text hash stays; rows without id stay all."""
+    stays = classes(df, id_col, text_col).filter("doc_id = component_id").select("doc_id").distinct()
+    key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    kept = df.filter(key.isNotNull()).join(stays.withColumnRenamed("doc_id", "__kept"), key == F.col("__kept"), "left_semi")
+    one = Window.partitionBy(key).orderBy(F.xxhash64(text))
+    kept = kept.withColumn("__row", F.row_number().over(one)).filter("__row = 1").drop("__row")
+    return kept.unionByName(df.filter(key.isNull()))

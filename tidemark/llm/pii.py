@@ -12,10 +12,12 @@ Null and empty texts: no spans. Repeated rows give repeated results. Offsets are
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import ahocorasick
+import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import common
 
@@ -239,3 +241,16 @@ def redacted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         return lambda ids, texts: [ids, [None if t is None else redact(t, find(anchors, t)) for t in texts]]
 
     return common.map_rows(df, [id_col, text_col], {"doc_id": "long", "text": "string"}, make)
+
+
+def without_pii(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """df with all spans of its texts replaced; its other columns and null texts stay."""
+    common.find_package(df.sparkSession)
+
+    @F.pandas_udf("string")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        anchors = automaton()
+        for texts in batches:
+            yield texts.map(lambda t: None if t is None else redact(t, find(anchors, t)))
+
+    return df.withColumn(text_col, clean(F.col(f"`{text_col}`")))
