@@ -12,6 +12,7 @@ take as many pieces as they need. An empty table gives no rows.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -56,11 +57,16 @@ class ByteBpe:
         self.library, self.special = Tokenizer.from_file(path), [t["content"] for t in spec["added_tokens"]]
         size = 1 + max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])])
         self.code = "H" if size <= 65536 else "I"
-        self.unusual = regex.compile(r"[^\x00-\u024f]|[\x1c-\x1f]|\s\s|^\s|\s$|[^\S \n]").search
+        self.rare = re.compile("[^\n\x20-\x7e\xa1-\u024f]").search
         self.pieces = regex.compile(SPLIT).findall
         self.cache: dict[str, bytes] = {}
         self.cache_size = cache
 
+    def unusual(self, text: str) -> bool:
+        """Whether white space stands otherwise than singly (line breaks: in twos) between words, or letters are beyond the Latin blocks."""
+        blank = text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or "\n\n\n" in text
+        return blank or self.rare(text) is not None or any(s in text for s in self.special)
+
     def encode_run(self, run: str) -> bytes:
         """Ids of a run of characters without inner white space, one leading space aside."""
         # letters alone, or letters and one mark behind them, need no pattern
@@ -77,7 +83,7 @@ class ByteBpe:
         for k, text in enumerate(texts):
             if not text:
                 continue
-            if self.unusual(text) or any(s in text for s in self.special):
+            if self.unusual(text):
                 out[k] = array(self.code, self.library.encode(text, add_special_tokens=False).ids).tobytes()
             else:
                 plain.append(k)
@@ -87,6 +93,8 @@ class ByteBpe:
         if len(self.cache) + len(new) > self.cache_size:
             self.cache.clear()
             new = met
+        new.discard("")
+        self.cache[""] = b""
         encode_run, cache = self.encode_run, self.cache
         for run in new:
             cache[run] = encode_run(run)
