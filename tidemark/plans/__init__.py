@@ -1 +1 @@
-
+"""The registered queries."""
