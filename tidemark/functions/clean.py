@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 Rule = tuple[Column, Column]
 
@@ -40,10 +41,13 @@ def fold_spaces(c: Column) -> Column:
     return F.regexp_replace(fold(c), r"\s+", " ")
 
 
-@F.pandas_udf("string")
-def nfc(texts: pd.Series) -> pd.Series:
+def nfc(c: Column) -> Column:
     """Canonical composition; Spark has no function for it."""
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+
+    def compose(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+
+    return F.pandas_udf(compose, StringType())(c)
 
 
 def header_name(c: Column) -> Column:
