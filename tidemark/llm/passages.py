@@ -83,12 +83,13 @@ class Text:
         a = a[(a >= FIRST) & (a + AFTER <= self.n)]
         return a, self.hashes(a - FIRST, FIRST + AFTER)
 
-    def possible(self, anchors: np.ndarray, repeated: list[int]) -> np.ndarray:
-        """For each start of a string, whether the names of all anchors in its core are repeated."""
+    def possible(self, repeated: list[int]) -> np.ndarray:
+        """For each start of a string, whether the names of all anchors in its core are among the repeated ones."""
+        anchors, names = self.named()
         starts = self.n - LENGTH + 1
         if starts <= 0:
             return np.zeros(0, bool)
-        once = np.setdiff1d(anchors, np.array(repeated, np.int64))
+        once = anchors[~np.isin(names, np.array(repeated, np.int64))]
         low, high = np.maximum(once - LAST, 0), np.minimum(once - FIRST + 1, starts)
         low, high = low[low < high], high[low < high]
         ruled = np.bincount(low, minlength=starts + 1) - np.bincount(high, minlength=starts + 1)
@@ -113,8 +114,8 @@ def text_key(text: Column) -> dict[str, Column]:
     return {"k1": F.xxhash64(text), "k2": F.xxhash64(F.lit(1), text)}
 
 
-NAMES = {"k1": "long", "k2": "long", "name": "long", "pos": "long"}
-STRINGS = {"k1": "long", "k2": "long", "w1": "long", "w2": "long", "pos": "long"}
+NAMES = {"k1": "long", "k2": "long", "name": "long", "times": "long"}
+STRINGS = {"k1": "long", "k2": "long", "w1": "long", "w2": "long", "pos": "long", "sure": "long"}
 ASKED = {"name": "long", "distance": "long"}
 RESULT = {"k1": "long", "k2": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string", "kept_text": "string"}
 
@@ -134,13 +135,24 @@ def name_rows():
         rows = []
         for k1, k2, t in zip(k1s, k2s, texts, strict=True):
             if len(raw := t.encode()) >= LENGTH:
-                pos, names = Text(raw).named()
-                rows.append((k1, k2, names, pos))
+                names, times = np.unique(Text(raw).named()[1], return_counts=True)
+                rows.append((k1, k2, names, times))
         return columns(rows, NAMES)
 
     return f
 
 
+def strings_at(k1: int, k2: int, x: Text, starts: np.ndarray) -> tuple:
+    """STRINGS of a text. A string that the text itself repeats is sure: one row of it stands for all against other texts, the others get
+    a value of their own, so that no value has more rows than there are texts."""
+    w1, w2 = x.hashes(starts, LENGTH), x.hashes(starts, LENGTH, 1)
+    _, first, which, times = np.unique(w1, return_index=True, return_inverse=True, return_counts=True)
+    later = np.ones(len(starts), bool)
+    later[first] = False
+    w2 = np.where(later, w2 ^ (starts + k1 | 1) * np.int64(BASES[0] >> 1), w2)
+    return k1, k2, w1, w2, starts, (times[which] > 1).astype(np.int64)
+
+
 def anchored_rows():
     def f(k1s, k2s, texts, repeated):
         rows = []
@@ -149,8 +161,7 @@ def anchored_rows():
             a = x.anchors()
             s = np.unique(np.concatenate([a, a - LENGTH]))
             s = s[(s >= 0) & (s + LENGTH <= x.n)]
-            s = s[x.possible(x.named()[0], again)[s]]
-            rows.append((k1, k2, x.hashes(s, LENGTH), x.hashes(s, LENGTH, 1), s))
+            rows.append(strings_at(k1, k2, x, s[x.possible(again)[s]]))
         return columns(rows, STRINGS)
 
     return f
@@ -163,7 +174,7 @@ def asked_rows():
             x = Text(t.encode())
             a, names = x.named()
             open_bytes = np.concatenate([[0], np.cumsum(~x.covered(starts))])
-            ok = x.possible(a, again)
+            ok = x.possible(again)
             s = np.flatnonzero(ok & (open_bytes[LENGTH:] - open_bytes[:-LENGTH] > 0)) if len(ok) else np.zeros(0, np.int64)
             at = np.searchsorted(a, s + FIRST)
             rows.append((names[at], a[at] - s))
@@ -179,9 +190,12 @@ def induced_rows():
         rows = []
         for k1, k2, t, ask in zip(k1s, k2s, texts, asks, strict=True):
             x = Text(t.encode())
-            s = np.unique(np.array([q["pos"] - d for q in ask for d in q["distances"]], np.int64))
-            s = s[(s >= 0) & (s + LENGTH <= x.n)]
-            rows.append((k1, k2, x.hashes(s, LENGTH), x.hashes(s, LENGTH, 1), s))
+            a, names = x.named()
+            order = np.argsort(names, kind="stable")
+            low, high = (np.searchsorted(names[order], [q["name"] for q in ask], side) for side in ("left", "right"))
+            places = [a[order[i:j]] for i, j in zip(low, high, strict=True)]
+            s = np.unique(np.concatenate([np.subtract.outer(p, np.array(q["distances"], np.int64)).ravel() for p, q in zip(places, ask, strict=True)]))
+            rows.append(strings_at(k1, k2, x, s[(s >= 0) & (s + LENGTH <= x.n)]))
         return columns(rows, STRINGS)
 
     return f
@@ -214,7 +228,7 @@ def whole_letters(raw: bytes, gone: np.ndarray) -> str:
 def repeats(strings: DataFrame) -> DataFrame:
     """k1, k2, starts: of the strings that occur at more than one place."""
     same = Window.partitionBy("w1", "w2")
-    return strings.withColumn("n", F.count("*").over(same)).filter("n > 1").groupBy("k1", "k2").agg(F.collect_set("pos").alias("starts"))
+    return strings.withColumn("n", F.count("*").over(same)).filter("n > 1 or sure > 0").groupBy("k1", "k2").agg(F.collect_set("pos").alias("starts"))
 
 
 def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -224,19 +238,18 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copies = docs.groupBy("k1", "k2").agg(F.count("*").alias("copies"), F.min("id").alias("first_id"))
 
     # names of anchors at more than one place; a text's copies are one place
-    same = Window.partitionBy("name")
-    spread = [(f(c).over(same), f"{f.__name__}_{c}") for c in ("k1", "pos") for f in (F.min, F.max)]
-    named = common.map_rows(docs, ["k1", "k2", "text"], NAMES, name_rows).select("*", *(c.alias(n) for c, n in spread))
-    named = common.written(named.filter("min_k1 <> max_k1 or min_pos <> max_pos").select("k1", "k2", "name", "pos").distinct())
-    places = named.groupBy("k1", "k2").agg(F.collect_set("pos").alias("repeated")).join(copies, ["k1", "k2"], "full_outer")
+    names = common.map_rows(docs, ["k1", "k2", "text"], NAMES, name_rows)
+    shared = names.groupBy("name").agg(F.min("k1").alias("low"), F.max("k1").alias("high"), F.max("times").alias("times")).filter("low <> high or times > 1")
+    named = common.written(names.select("k1", "k2", "name").join(shared.select("name"), "name", "left_semi"))
+    places = named.groupBy("k1", "k2").agg(F.collect_set("name").alias("repeated")).join(copies, ["k1", "k2"], "full_outer")
     places = places.filter("repeated is not null or copies > 1").select(F.col("k1").alias("p1"), F.col("k2").alias("p2"), "repeated", "copies", "first_id")
     one = docs.join(places, docs.id.eqNullSafe(places.first_id) & (docs.k1 == places.p1) & (docs.k2 == places.p2))
     texts = common.written(one.select("k1", "k2", "text", "copies", F.coalesce("repeated", F.array().cast("array<bigint>")).alias("repeated")))
 
     found = common.written(repeats(common.map_rows(texts, ["k1", "k2", "text", "repeated"], STRINGS, anchored_rows)))
     seen = texts.join(found, ["k1", "k2"], "left")
-    asked = common.map_rows(seen.filter("copies = 1"), ["text", "repeated", "starts"], ASKED, asked_rows).groupBy("name").agg(F.collect_set("distance").alias("distances"))
-    asks = named.join(asked, "name").groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "distances")).alias("asks"))
+    asked = common.map_rows(seen.filter("copies = 1"), ["text", "repeated", "starts"], ASKED, asked_rows).groupBy("name").agg(F.array_sort(F.collect_set("distance")).alias("distances"))
+    asks = named.join(asked, "name").groupBy("k1", "k2").agg(F.collect_set(F.struct("name", "distances")).alias("asks"))
     induced = repeats(common.map_rows(texts.join(asks, ["k1", "k2"]), ["k1", "k2", "text", "asks"], STRINGS, induced_rows))
     done = seen.join(induced.withColumnRenamed("starts", "induced"), ["k1", "k2"], "left").filter("copies > 1 or starts is not null or induced is not null")
     return common.map_rows(done, ["k1", "k2", "text", "copies", "starts", "induced"], RESULT, result_rows)
