@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, jaccard, media, packing, passages, pii, quality, sharding, toxicity
+from . import bpe, chat, jaccard, media, oracles, packing, passages, pii, quality, sharding, toxicity
 from .common import documents
 
 
@@ -56,4 +56,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat": chat.ORACLE}
+    return {"op1_chat": chat.ORACLE, "op2_jaccard": oracles.JACCARD, "op8_quality": oracles.QUALITY}
