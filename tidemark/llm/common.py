@@ -58,13 +58,16 @@ def map_rows(df: DataFrame, columns: list[str], schema: dict[str, str], make: Ca
     return df.select(*(F.col(f"`{c}`") for c in columns)).mapInArrow(run, ddl(schema))
 
 
+#: Temporary folders of applications that name none.
+OWN_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new path in the folder that all machines share (spark.checkpoint.dir); where it is unset, as in tests, a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        base = tempfile.mkdtemp(prefix="spark-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        base = OWN_FOLDERS.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="spark-checkpoint-")
+        OWN_FOLDERS[spark.sparkContext.applicationId] = base
     return f"{base}/{uuid.uuid4().hex}"
 
 
