@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..operators import reconcile as R
 from .registry import query, table
 
-END = F.to_date(F.lit("1999-01-01"))
+def end():
+    return F.to_date(F.lit("1999-01-01"))
 
 
 def orders(spark, sf) -> DataFrame:
@@ -67,7 +68,7 @@ applied AS (
 
 @query(f"WITH {APPLIED} SELECT * FROM applied")
 def scd_apply(spark, sf):
-    return R.apply_versions(current(spark, sf), incoming(spark, sf), ["domain", "k"], ["price", "prio"], END)
+    return R.apply_versions(current(spark, sf), incoming(spark, sf), ["domain", "k"], ["price", "prio"], end())
 
 
 @query(f"WITH {APPLIED} SELECT CAST(77 AS BIGINT) AS id_load, domain, k, replace(action, '_NEW', '') AS action, version FROM applied WHERE action NOT IN ('UNCHANGED', 'REPLACE')")
@@ -89,7 +90,7 @@ CHILD = "c AS (SELECT l_orderkey * 10 AS parent_id, l_linenumber AS line, l_line
 
 @query(f"WITH {BASE}, {CHILD} SELECT parent_id, line, was AND pa IS NULL AS active, CASE WHEN was AND pa IS NOT NULL THEN DATE '1999-01-01' END AS end_date, false AS moves FROM c")
 def scd_cascade(spark, sf):
-    return R.cascade(children(spark, sf), merge_plan(spark, sf), "parent_id", END)
+    return R.cascade(children(spark, sf), merge_plan(spark, sf), "parent_id", end())
 
 
 @query(f"""WITH {BASE}, {CHILD} SELECT CASE WHEN (was AND pa = 'REPLACE') THEN parent_id + 1 ELSE parent_id END AS parent_id, line, was AND (pa IS NULL OR pa = 'REPLACE') AS active,
@@ -97,7 +98,7 @@ def scd_cascade(spark, sf):
 def scd_reattach(spark, sf):
     plan = merge_plan(spark, sf)
     new = plan.filter("action = 'REPLACE'").select(F.col("existing_id").alias("old_id"), (F.col("existing_id") + 1).alias("new_id"))
-    return R.reattach(R.cascade(children(spark, sf), plan, "parent_id", END, follow=True), new, "parent_id")
+    return R.reattach(R.cascade(children(spark, sf), plan, "parent_id", end(), follow=True), new, "parent_id")
 
 
 @query("""WITH old AS (SELECT o_orderkey AS k, o_orderkey * 10 AS id, o_totalprice AS price, o_orderpriority AS prio FROM orders WHERE o_orderkey % 5 <> 0),
