@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -71,8 +72,14 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base}/{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder: it is computed once, and survives the loss of any executor."""
+def written(df: DataFrame, free: bool = False) -> DataFrame:
+    """df as a table in the shared folder: it is computed once, and survives the loss of any executor.
+
+    free: its shuffle files are of no use any more; the driver's JVM collects its garbage, upon which Spark deletes them.
+    """
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
+    if free:
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)

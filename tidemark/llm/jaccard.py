@@ -33,6 +33,8 @@ from . import common
 SHINGLE, CACHE = 5, 300_000
 #: Buckets of the sketch of shingle counts; a task reports buckets this far beyond what chance would put there.
 BUCKETS, SURPRISE = 1 << 20, 6.0
+#: Bits of the smallest bitmaps, to which all fold for the comparison inside windows.
+SKETCH = 1024
 MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -69,8 +71,8 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    """One bit a hash, about two bits of room for each; sizes are powers of two, so a larger one folds onto a smaller."""
-    bits = max(64, 1 << min(16, int(2 * len(shingles) - 1).bit_length()))
+    """One bit a hash, one to two bits of room for each; sizes are powers of two, so a larger one folds onto a smaller."""
+    bits = max(SKETCH, 1 << min(16, int(len(shingles) - 1).bit_length()))
     out = np.zeros(bits, np.uint8)
     out[(shingles >> np.uint64(40)) & np.uint64(bits - 1)] = 1
     return np.packbits(out).tobytes()
@@ -84,6 +86,11 @@ def distance(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def folded(bits: bytes) -> list[int]:
+    """A bitmap at SKETCH bits, as whole numbers that SQL can compare."""
+    return np.bitwise_or.reduce(np.frombuffer(bits, np.uint8).reshape(-1, SKETCH // 8), 0).view(np.int64).tolist()
+
+
 def summaries(docs: DataFrame) -> DataFrame:
     """doc_id, node, n_shingles, bits for each row; node and bits are null for empty sets."""
 
@@ -219,51 +226,55 @@ def apart(members: DataFrame, labels: DataFrame) -> DataFrame:
 def windows(members: DataFrame) -> DataFrame:
     """a, b: pairs of one region, of different components, whose sizes and distances to the pivot allow a link; a < b.
 
-    members: region, node, component, n (set size), h (distance to the region's pivot at one bitmap size), hn (that size).
+    members: region, node, component, n (set size), h (distance to the region's pivot at one bitmap size), sketch (``folded``).
     """
-    size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)) + 1e-9).cast("long")
-    placed = members.withColumn("size", size_class)
-    # linked sets' sizes differ by a factor of 5/4 at most: their classes are neighbours; (a ninth of) their sum is below the step
-    step = lambda c: F.greatest(F.lit(1.0), F.pow(F.lit(1.25), c + 2) * 2.0 / 9)
-    left = placed.select("region", F.col("hn"), F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("h").alias("ha"), F.explode(F.array(*(F.col("size") + k for k in (-1, 0, 1)))).alias("size"), F.col("size").alias("own"))
-    left = left.withColumn("place", F.floor(F.col("ha") / step(F.greatest("size", "own"))).cast("long"))
-    left = left.select("region", "hn", "a", "ca", "na", "ha", "size", "own", F.explode(F.array(*(F.col("place") + k for k in (-1, 0, 1)))).alias("place"))
-    # the other side lies in one window of each step that a neighbour may use
-    right = placed.select("region", "hn", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("h").alias("hb"), "size", F.explode(F.array(*(F.col("size") + k for k in (-1, 0, 1)))).alias("own"))
-    right = right.withColumn("place", F.floor(F.col("hb") / step(F.greatest("size", "own"))).cast("long"))
-    met = left.join(right, ["region", "hn", "size", "own", "place"])
-    return met.filter("a < b and ca <> cb and 5 * least(na, nb) >= 4 * greatest(na, nb) and 9 * abs(ha - hb) <= na + nb").select("a", "b").distinct()
+    # linked sets' distances to the pivot differ by a ninth of their sizes' sum at most: so much is a region's window
+    step = members.groupBy("region").agg(F.greatest(F.lit(1.0), F.max("n") * 2 / 9).alias("step"))
+    placed = members.join(step, "region").withColumn("place", F.floor(F.col("h") / F.col("step")).cast("long"))
+    side = lambda x, place: placed.select("region", F.col("node").alias(x), F.col("component").alias(f"c{x}"), F.col("n").cast("int").alias(f"n{x}"), F.col("h").cast("int").alias(f"h{x}"), F.col("sketch").alias(f"s{x}"), place.alias("place"))
+    l = side("a", F.explode(F.array(*(F.col("place") + k for k in (-1, 0, 1))))).alias("l")  # noqa: E741
+    r = side("b", F.col("place")).alias("r")
+    keys = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in ("region", "place")]
+    sizes = F.expr("a < b and ca <> cb and 5 * least(na, nb) >= 4 * greatest(na, nb) and 9 * abs(ha - hb) <= na + nb")
+    apart_bits = F.expr("9 * aggregate(zip_with(sa, sb, (x, y) -> bit_count(x ^ y)), 0, (t, x) -> t + x) <= na + nb")
+    return l.join(r, [*keys, sizes, apart_bits]).select("a", "b").distinct()
 
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, node for each row."""
     docs = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     rows = common.written(summaries(docs))
-    members = common.written(regions(first_shingles(docs, frequent(docs))))
+    members = common.written(regions(first_shingles(docs, frequent(docs))), free=True)
     some = members.select("node").distinct()
-    sets = common.written(rows.join(some, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits")))
+    # one row a node: copies fold before anything is joined
+    first_ids = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(some, "node", "left_semi")
+    own = rows.select(F.col("node").alias("of"), F.col("doc_id").alias("id"), "n_shingles", "bits")
+    sets = common.written(first_ids.join(own, (F.col("node") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "doc_id", "n_shingles", "bits").dropDuplicates(["node"]))
 
-    first = common.written(near(members.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), sets))
+    first = common.written(near(members.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), sets), free=True)
     labels = None
     edges: list[DataFrame] = []
     # texts of the members, one row a node
-    texts = common.written(docs.join(sets.select(F.col("doc_id").alias("of"), "node"), F.col("doc_id").eqNullSafe(F.col("of"))).select("node", "text"))
-    edges.append(common.written(links(first.filter("possible"), texts)))
+    texts = common.written(docs.join(sets.select(F.col("doc_id").alias("of"), "node"), F.col("doc_id").eqNullSafe(F.col("of"))).select("node", "text"), free=True)
+    edges.append(common.written(links(first.filter("possible"), texts), free=True))
     labels = components(edges[0])
 
     left = apart(members, labels)
     to_pivot = first.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "h", F.least("na", "nb").alias("smaller"))
     left = common.written(left.join(to_pivot, ["node", "pivot"], "left").withColumn("h", F.coalesce("h", F.lit(0))))
     second = left.filter("node <> pivot").groupBy("region").agg(F.min_by(F.struct("node", "component"), F.struct("h", "node")).alias("s"))
-    second = left.join(second, "region").filter("node <> s.node and component <> s.component and node <> pivot").select(F.col("node").alias("a"), F.col("s.node").alias("b")).distinct()
-    edges.append(common.written(links(near(second, sets).filter("possible"), texts)))
+    told = common.written(left.join(second, "region").filter("node <> s.node and node <> pivot"))
+    again = told.filter("component <> s.component").select(F.col("node").alias("a"), F.col("s.node").alias("b")).distinct()
+    edges.append(common.written(links(near(again, sets).filter("possible"), texts), free=True))
     labels = components(edges[0].union(edges[1]))
 
-    rest = apart(left.drop("component"), labels).join(sets.select("node", F.col("n_shingles").alias("n"), F.octet_length("bits").alias("room")), "node")
+    # both pivots of a region have met all its members: what is left are the others, where they are of several components
+    rest = apart(told.drop("component", "s"), labels).join(sets.select("node", F.col("n_shingles").alias("n"), F.octet_length("bits").alias("room")), "node")
     rest = rest.join(sets.select(F.col("node").alias("pivot"), F.octet_length("bits").alias("pivot_room")), "pivot")
     # distances of bitmaps compare at one size only: that of the smaller of the member and the pivot
-    rest = rest.select("region", "node", "component", "n", "h", F.least("room", "pivot_room").alias("hn"))
-    pairs = windows(across_sizes(rest))
+    rest = common.written(rest.select("region", "node", "component", "n", "h", F.least("room", "pivot_room").alias("hn")), free=True)
+    sketches = common.map_rows(sets.join(rest.select("node").distinct(), "node", "left_semi"), ["node", "bits"], {"node": "long", "sketch": "array<long>"}, lambda: lambda n, b: [n, [folded(x) for x in b]])
+    pairs = windows(across_sizes(rest).join(sketches, "node"))
     edges.append(common.written(links(near(pairs, sets).filter("possible"), texts)))
     labels = components(edges[0].union(edges[1]).union(edges[2]))
 
@@ -275,7 +286,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def across_sizes(rest: DataFrame) -> DataFrame:
     """Regions whose members' distances were taken at several bitmap sizes have no common measure: there all count as equally far."""
     sizes = rest.groupBy("region").agg(F.min("hn").alias("h1"), F.max("hn").alias("h2"))
-    return rest.join(sizes, "region").select("region", "node", "component", "n", F.when(F.col("h1") == F.col("h2"), F.col("h")).otherwise(0).alias("h"), F.lit(0).alias("hn"))
+    return rest.join(sizes, "region").select("region", "node", "component", "n", F.when(F.col("h1") == F.col("h2"), F.col("h")).otherwise(0).alias("h"))
 
 
 def digests(df: DataFrame) -> DataFrame:
