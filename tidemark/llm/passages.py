@@ -240,13 +240,13 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # names of anchors at more than one place; a text's copies are one place
     names = common.map_rows(docs, ["k1", "k2", "text"], NAMES, name_rows)
     shared = names.groupBy("name").agg(F.min("k1").alias("low"), F.max("k1").alias("high"), F.max("times").alias("times")).filter("low <> high or times > 1")
-    named = common.written(names.select("k1", "k2", "name").join(shared.select("name"), "name", "left_semi"))
+    named = common.written(names.select("k1", "k2", "name").join(shared.select("name"), "name", "left_semi"), free=True)
     places = named.groupBy("k1", "k2").agg(F.collect_set("name").alias("repeated")).join(copies, ["k1", "k2"], "full_outer")
     places = places.filter("repeated is not null or copies > 1").select(F.col("k1").alias("p1"), F.col("k2").alias("p2"), "repeated", "copies", "first_id")
     one = docs.join(places, docs.id.eqNullSafe(places.first_id) & (docs.k1 == places.p1) & (docs.k2 == places.p2))
-    texts = common.written(one.select("k1", "k2", "text", "copies", F.coalesce("repeated", F.array().cast("array<bigint>")).alias("repeated")))
+    texts = common.written(one.select("k1", "k2", "text", "copies", F.coalesce("repeated", F.array().cast("array<bigint>")).alias("repeated")), free=True)
 
-    found = common.written(repeats(common.map_rows(texts, ["k1", "k2", "text", "repeated"], STRINGS, anchored_rows)))
+    found = common.written(repeats(common.map_rows(texts, ["k1", "k2", "text", "repeated"], STRINGS, anchored_rows)), free=True)
     seen = texts.join(found, ["k1", "k2"], "left")
     asked = common.map_rows(seen.filter("copies = 1"), ["text", "repeated", "starts"], ASKED, asked_rows).groupBy("name").agg(F.array_sort(F.collect_set("distance")).alias("distances"))
     asks = named.join(asked, "name").groupBy("k1", "k2").agg(F.collect_set(F.struct("name", "distances")).alias("asks"))
