@@ -86,3 +86,21 @@ def test_bitmap_distance_never_exceeds_the_sets():
         base = words(r.randrange(5, 900), r.random())
         a, b = s.of(base), s.of(edited(base, r.randrange(30), r))
         assert jaccard.distance(jaccard.bitmap(a), jaccard.bitmap(b)) <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
+def test_rows_without_id_and_ids_with_two_texts(make):
+    """Such rows are told apart by their texts: links are the sets' own, and one row of each component stays."""
+    r = random.Random(7)
+    base = [words(80, 500 + k) for k in range(6)]
+    t = [f(b) for b in base for f in (str, lambda x: edited(x, 1, r))] + [words(80, 600 + k) for k in range(4)] + [base[5], base[5], "", None]
+    ids = [None, 20, None, 21, None, None, 7, 22, 7, 23, None, None, None, None, 7, 24, None, None, None, None]
+    want = []
+    for n, root in (b := brute(t)):
+        own = [i for i, (_, c) in zip(ids, b, strict=True) if c == root and i is not None]
+        want.append((n, min(own, default=None)))
+    got = sorted(str((x.doc_id, x.n_shingles, x.component_id)) for x in jaccard.digests(make(t, ids)).collect())
+    assert got == sorted(str((i, *w)) for i, w in zip(ids, want, strict=True))
+    kept = [(x.doc_id, x.text) for x in jaccard.one_of_each(make(t, ids)).collect()]
+    roots = [{b[k][1] for k in range(len(t)) if (ids[k], t[k]) == row} for row in kept]
+    assert sorted(min(x) for (_, text), x in zip(kept, roots, strict=True) if text) == sorted({c for k, (_, c) in enumerate(b) if t[k]}) and len(kept) == len({c for _, c in b})
+    assert all(i == min((j for j, (_, c) in zip(ids, b, strict=True) if {c} == x and j is not None), default=None) for (i, text), x in zip(kept, roots, strict=True) if text)

@@ -15,7 +15,8 @@ A pair is first held against the bitmaps (their distance is at most that of the
 
 A set: distinct 5-word shingles, A-Z lower case, words between ASCII white space; with fewer words the whole sequence is one shingle.
 Null texts and texts without words: an empty set, linked with nothing, component_id its own id. Repeated rows are copies. Null ids take
-part; a component's id is its smallest id that is not null. Shingles and sets compare by 64-bit hashes.
+part; a component's id is its smallest id that is not null. Rows with one id or none are told apart by their texts (``row_key``).
+Shingles, sets and row keys compare by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections import OrderedDict
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -91,19 +92,24 @@ def folded(bits: bytes) -> list[int]:
     return np.bitwise_or.reduce(np.frombuffer(bits, np.uint8).reshape(-1, SKETCH // 8), 0).view(np.int64).tolist()
 
 
+def row_key(key: Column, text: Column) -> Column:
+    """A row's key: rows that share it have one id and one text, so any of them stands for all."""
+    return F.xxhash64(key, text)
+
+
 def summaries(docs: DataFrame) -> DataFrame:
-    """doc_id, node, n_shingles, bits for each row; node and bits are null for empty sets."""
+    """doc_id, at (row_key), node, n_shingles, bits for each row; node and bits are null for empty sets."""
 
     def make():
         shingles = Shingles()
 
-        def f(ids, texts):
+        def f(ids, at, texts):
             sets = [shingles.of(t) for t in texts]
-            return [ids, [node_of(s) if len(s) else None for s in sets], [len(s) for s in sets], [bitmap(s) if len(s) else None for s in sets]]
+            return [ids, at, [node_of(s) if len(s) else None for s in sets], [len(s) for s in sets], [bitmap(s) if len(s) else None for s in sets]]
 
         return f
 
-    return common.map_rows(docs, ["doc_id", "text"], {"doc_id": "long", "node": "long", "n_shingles": "long", "bits": "binary"}, make)
+    return common.map_rows(docs, ["doc_id", "at", "text"], {"doc_id": "long", "at": "long", "node": "long", "n_shingles": "long", "bits": "binary"}, make)
 
 
 def frequent(docs: DataFrame) -> np.ndarray:
@@ -241,21 +247,23 @@ def windows(members: DataFrame) -> DataFrame:
 
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, node for each row."""
-    docs = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    """doc_id, n_shingles, component_id, node, root (the component's smallest node), at (row_key) for each row."""
+    key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    docs = df.select(key.alias("doc_id"), row_key(key, text).alias("at"), text.alias("text"))
     rows = common.written(summaries(docs))
     members = common.written(regions(first_shingles(docs, frequent(docs))), free=True)
     some = members.select("node").distinct()
     # one row a node: copies fold before anything is joined
-    first_ids = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(some, "node", "left_semi")
-    own = rows.select(F.col("node").alias("of"), F.col("doc_id").alias("id"), "n_shingles", "bits")
-    sets = common.written(first_ids.join(own, (F.col("node") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "doc_id", "n_shingles", "bits").dropDuplicates(["node"]))
+    first_rows = rows.filter("node is not null").groupBy("node").agg(F.min("at").alias("at")).join(some, "node", "left_semi")
+    sets = first_rows.join(rows.select("node", "at", "n_shingles", "bits"), ["node", "at"])
+    sets = common.written(sets.groupBy("node", "at").agg(F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"), F.count("*").alias("times")))
 
     first = common.written(near(members.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), sets), free=True)
     labels = None
     edges: list[DataFrame] = []
     # texts of the members, one row a node
-    texts = common.written(docs.join(sets.select(F.col("doc_id").alias("of"), "node"), F.col("doc_id").eqNullSafe(F.col("of"))).select("node", "text"), free=True)
+    texts = common.written(docs.join(sets.select("at", "node", "times"), "at").select("node", "text", "times"), free=True)
+    texts = texts.filter("times = 1").select("node", "text").union(texts.filter("times > 1").groupBy("node").agg(F.first("text").alias("text")))
     edges.append(common.written(links(first.filter("possible"), texts), free=True))
     labels = components(edges[0])
 
@@ -278,9 +286,9 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     edges.append(common.written(links(near(pairs, sets).filter("possible"), texts)))
     labels = components(edges[0].union(edges[1]).union(edges[2]))
 
-    told = rows.join(labels, "node", "left").select("doc_id", "n_shingles", "node", F.coalesce("root", "node").alias("root"))
+    told = rows.join(labels, "node", "left").select("doc_id", "n_shingles", "node", "at", F.coalesce("root", "node").alias("root"))
     smallest = told.groupBy("root").agg(F.min("doc_id").alias("smallest"))
-    return told.join(smallest, "root", "left").select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"), "node")
+    return told.join(smallest, "root", "left").select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"), "node", "root", "at")
 
 
 def across_sizes(rest: DataFrame) -> DataFrame:
@@ -294,11 +302,14 @@ def digests(df: DataFrame) -> DataFrame:
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """df with one document of each component: the one whose id is the component's. Rows with one id are one document, of which the row
-    with the smallest text hash stays; rows without id stay all."""
-    stays = classes(df, id_col, text_col).filter("doc_id = component_id").select("doc_id").distinct()
+    """df with one row of each component: one whose id is the component's. Rows without words are in no component: of those with one id
+    and text one stays, those without id stay all."""
+    told = classes(df, id_col, text_col)
+    best = told.filter("node is not null").groupBy("root").agg(F.min_by("at", F.struct(F.col("doc_id").isNull(), "doc_id", "at")).alias("__kept")).select("__kept")
+    stays = best.union(told.filter("node is null and doc_id is not null").select("at").distinct())
     key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    kept = df.filter(key.isNotNull()).join(stays.withColumnRenamed("doc_id", "__kept"), key == F.col("__kept"), "left_semi")
-    one = Window.partitionBy(key).orderBy(F.xxhash64(text))
-    kept = kept.withColumn("__row", F.row_number().over(one)).filter("__row = 1").drop("__row")
-    return kept.unionByName(df.filter(key.isNull()))
+    bare = key.isNull() & F.coalesce(text.rlike(r"\A[ \t\n\x0B\f\r]*\z"), F.lit(True))
+    kept = df.filter(~bare).withColumn("__at", row_key(key, text)).join(stays, F.col("__at") == F.col("__kept"), "left_semi")
+    one = Window.partitionBy("__at").orderBy("__at")
+    kept = kept.withColumn("__row", F.row_number().over(one)).filter("__row = 1").drop("__row", "__at")
+    return kept.unionByName(df.filter(bare))
