@@ -1,9 +1,11 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
 
+import corpus_pipeline
 from tidemark.llm import passages
 
 from .conftest import EDGE_IDS, EDGE_TEXTS, words
@@ -61,3 +63,40 @@ def test_text_form_keeps_letters_whole(make):
     got = {r.doc_id: r.text for r in passages.without_passages(df).collect()}
     assert got == {0: "xy", 1: "abc", 2: "alone"}
     assert passages.without_passages(df).columns == df.columns
+
+
+def brute_words(texts):
+    """What is left of texts without the passages of 51 words and the strings of N bytes that stand elsewhere too."""
+    raws = [t.encode() for t in texts]
+    places = [[m.span() for m in re.finditer(rb"[^ \t\n\r\x0b\x0c]+", r)] for r in raws]
+    units = [[r[a:b] for a, b in p] for r, p in zip(raws, places, strict=True)]
+    seen = Counter(tuple(u[i : i + 51]) for u in units for i in range(len(u) - 50))
+    strings = Counter(r[i : i + N] for r in raws for i in range(len(r) - N + 1))
+    out = []
+    for r, p, u in zip(raws, places, units, strict=True):
+        gone = np.zeros(len(r), bool)
+        for i in range(len(u) - 50):
+            if seen[tuple(u[i : i + 51])] > 1:
+                gone[p[i][0] : p[i + 50][1]] = True
+        for i in range(len(r) - N + 1):
+            if strings[r[i : i + N]] > 1:
+                gone[i : i + N] = True
+        out.append(np.frombuffer(r, np.uint8)[~gone].tobytes().decode())
+    return out
+
+
+def test_pipeline_cuts_passages_of_over_50_words(make, spark):
+    """Planted passages of 30 to 65 words, of one letter upwards; 50 words and fewer stay."""
+    r = random.Random(9)
+    out = []
+    for k, n in enumerate([30, 49, 50, 51, 52, 55, 58, 60, 64, 65]):
+        for size in (1, 3, 6):
+            passage = " ".join("".join(r.choice("abcdefgh") for _ in range(size)) for _ in range(n))
+            own = lambda: " ".join(f"own{r.randrange(10**9)}" for _ in range(r.randrange(0, 90)))
+            out += [" ".join([own(), passage, own()]).strip() for _ in range(2 + k % 2)]
+    blanks = [f"w{r.randrange(10**9)}" for _ in range(51)]
+    out += ["start " + " ".join(blanks), "other\n" + "\n".join(blanks) + " end", "x" + "z" * 450 + " a", "y" + "z" * 450 + " b", "p q " * 60, "copy of few words", "copy of few words"]
+    got = {x.doc_id: x.text for x in corpus_pipeline.cut_passages(spark, make(out), "").collect()}
+    want = brute_words(out)
+    assert [(k, got[k], want[k]) for k in range(len(out)) if got[k] != want[k]] == []
+    assert sum(a != b for a, b in zip(out, want, strict=True)) > 40

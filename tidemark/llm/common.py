@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -72,12 +73,31 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base}/{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, free: bool = False) -> DataFrame:
+#: Tables of the ``scratch`` blocks that are open.
+SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables written inside are deleted at the end, but for those with ``keep``."""
+    SCRATCH.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in SCRATCH.pop():
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+
+
+def written(df: DataFrame, free: bool = False, keep: bool = False) -> DataFrame:
     """df as a table in the shared folder: it is computed once, and survives the loss of any executor.
 
     free: its shuffle files are of no use any more; the driver's JVM collects its garbage, upon which Spark deletes them.
     """
     path = shared_folder(df.sparkSession)
+    if SCRATCH and not keep:
+        SCRATCH[-1].append(path)
     df.write.parquet(path)
     if free:
         gc.collect()

@@ -304,12 +304,17 @@ def digests(df: DataFrame) -> DataFrame:
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df with one row of each component: one whose id is the component's. Rows without words are in no component: of those with one id
     and text one stays, those without id stay all."""
-    told = classes(df, id_col, text_col)
-    best = told.filter("node is not null").groupBy("root").agg(F.min_by("at", F.struct(F.col("doc_id").isNull(), "doc_id", "at")).alias("__kept")).select("__kept")
-    stays = best.union(told.filter("node is null and doc_id is not null").select("at").distinct())
+    with common.scratch(df.sparkSession):
+        stays = common.written(kept_rows(classes(df, id_col, text_col)), free=True, keep=True)
     key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     bare = key.isNull() & F.coalesce(text.rlike(r"\A[ \t\n\x0B\f\r]*\z"), F.lit(True))
     kept = df.filter(~bare).withColumn("__at", row_key(key, text)).join(stays, F.col("__at") == F.col("__kept"), "left_semi")
     one = Window.partitionBy("__at").orderBy("__at")
     kept = kept.withColumn("__row", F.row_number().over(one)).filter("__row = 1").drop("__row", "__at")
     return kept.unionByName(df.filter(bare))
+
+
+def kept_rows(told: DataFrame) -> DataFrame:
+    """__kept: keys of the rows with ids or words that one_of_each keeps."""
+    best = told.filter("node is not null").groupBy("root").agg(F.min_by("at", F.struct(F.col("doc_id").isNull(), "doc_id", "at")).alias("__kept")).select("__kept")
+    return best.union(told.filter("node is null and doc_id is not null").select("at").distinct())

@@ -1,5 +1,8 @@
 """Exact removal of repeated passages: every byte of a string of ``LENGTH`` bytes that also starts elsewhere in the table goes.
 
+``Cut`` says what a string is made of and how long it is: bytes (``BYTES``), or words between ASCII white space (``WORDS``: 51 words, with
+the white space inside). ``without_passages`` can cut by both at once. What follows is told for bytes.
+
 A suffix array over all bytes, sorted externally with its common prefixes, moves more than 20 bytes a byte of text through disk at each
 level; that is beyond a disk of a few times the input. So the sort keeps to the places where repeats can be, found by the same idea of
 sampled suffixes whose names decide the rest:
@@ -22,6 +25,7 @@ Null text: empty. Texts shorter than LENGTH bytes lose nothing. Repeated rows ar
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -29,10 +33,40 @@ from pyspark.sql import functions as F
 
 from . import common
 
-LENGTH, GRAM, SPAN = 400, 16, 128
-#: An anchor at p stands in the core of the strings that start at p - LAST to p - FIRST; its name is the bytes from p - FIRST to p + AFTER.
-FIRST, LAST = SPAN, LENGTH - SPAN - GRAM + 1
-AFTER = LENGTH - LAST
+LENGTH = 400
+
+
+@dataclass(frozen=True)
+class Cut:
+    """Strings of ``length`` units; length >= 3 * span + gram - 2 gives every string an anchor in its core.
+
+    An anchor at p stands in the core of the strings that start at p - last to p - first; its name is the units from p - first to p + after.
+    """
+
+    length: int
+    gram: int
+    span: int
+    words: bool = False
+
+    @property
+    def first(self) -> int:
+        return self.span
+
+    @property
+    def last(self) -> int:
+        return self.length - self.span - self.gram + 1
+
+    @property
+    def after(self) -> int:
+        return self.length - self.last
+
+    @property
+    def least_bytes(self) -> int:
+        return 2 * self.length - 1 if self.words else self.length
+
+
+#: op9's strings, and passages of over 50 words.
+BYTES, WORDS = Cut(LENGTH, 16, 128), Cut(51, 5, 16, words=True)
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
@@ -40,15 +74,26 @@ def table(seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = h ^ h >> np.uint64(31)
+    h *= np.uint64(0xC2B2AE3D27D4EB4F)
+    h ^= h >> np.uint64(32)
+    return h
+
+
+SPACE = np.zeros(256, bool)
+SPACE[list(b" \t\n\r\x0b\x0c")] = True
+
+
 class Text:
-    """A text's bytes with what is derived from them; powers are shared and grow with the longest text met."""
+    """A text's units with what is derived from them; powers are shared and grow with the longest text met."""
 
     values = (table(11), table(12))
     powers = [np.ones(1, np.uint64) for _ in BASES]
     inverse = [np.ones(1, np.uint64) for _ in BASES]
 
-    def __init__(self, raw: bytes):
-        self.raw, self.n = raw, len(raw)
+    def __init__(self, raw: bytes, cut: Cut = BYTES):
+        self.raw, self.cut, self.n = raw, cut, len(raw)
         if len(Text.powers[0]) <= self.n:
             for k, base in enumerate(BASES):
                 for made, x in ((Text.powers, base), (Text.inverse, pow(base, -1, 2**64))):
@@ -56,49 +101,74 @@ class Text:
                     made[k][0] = 1
                     np.multiply.accumulate(made[k], out=made[k])
         self.sums: list = [None, None]
-
-    def hashes(self, starts: np.ndarray, length: int, k: int = 0) -> np.ndarray:
+        if cut.words:
+            edges = np.diff(SPACE[np.frombuffer(raw, np.uint8)].astype(np.int8), prepend=1, append=1)
+            self.at, self.end = np.flatnonzero(edges < 0), np.flatnonzero(edges > 0)
+            self.n = len(self.at)
+
+    def values_of(self, k: int) -> np.ndarray:
+        """A number for each unit: from a table for bytes, a hash for words."""
+        if self.cut.words:
+            return mixed(Text(self.raw).hashes(self.at, self.end - self.at, k).view(np.uint64))
+        return Text.values[k][np.frombuffer(self.raw, np.uint8)]
+
+    def hashes(self, starts: np.ndarray, length: int | np.ndarray, k: int = 0) -> np.ndarray:
         if self.sums[k] is None:
             self.sums[k] = np.zeros(self.n + 1, np.uint64)
-            np.cumsum(Text.values[k][np.frombuffer(self.raw, np.uint8)] * Text.powers[k][: self.n], out=self.sums[k][1:])
+            np.cumsum(self.values_of(k) * Text.powers[k][: self.n], out=self.sums[k][1:])
         s = self.sums[k]
         return ((s[starts + length] - s[starts]) * Text.inverse[k][starts]).view(np.int64)
 
     def anchors(self) -> np.ndarray:
-        n = self.n - GRAM + 1
-        if n < SPAN:
+        gram, span = self.cut.gram, self.cut.span
+        n = self.n - gram + 1
+        if n < span:
             return np.zeros(0, np.int64)
-        x = np.ndarray(self.n - 7, "<u8", self.raw, strides=(1,))
-        h = x[:n] * np.uint64(BASES[0]) ^ x[8 : 8 + n] * np.uint64(BASES[1])
-        h ^= h >> np.uint64(31)
-        h *= np.uint64(0xC2B2AE3D27D4EB4F)
-        h ^= h >> np.uint64(32)
-        edge = np.zeros(SPAN - 1, np.uint64)
-        lowest = sliding(h, SPAN, np.minimum)
-        return np.flatnonzero(sliding(np.concatenate([edge, lowest, edge]), SPAN, np.maximum) == h)
+        if self.cut.words:
+            h = mixed(self.hashes(np.arange(n), gram).view(np.uint64))
+        else:
+            x = np.ndarray(self.n - 7, "<u8", self.raw, strides=(1,))
+            h = mixed(x[:n] * np.uint64(BASES[0]) ^ x[8 : 8 + n] * np.uint64(BASES[1]))
+        edge = np.zeros(span - 1, np.uint64)
+        lowest = sliding(h, span, np.minimum)
+        return np.flatnonzero(sliding(np.concatenate([edge, lowest, edge]), span, np.maximum) == h)
 
     def named(self) -> tuple[np.ndarray, np.ndarray]:
         """Anchors that stand in the core of some string, and their names."""
+        first, after = self.cut.first, self.cut.after
         a = self.anchors()
-        a = a[(a >= FIRST) & (a + AFTER <= self.n)]
-        return a, self.hashes(a - FIRST, FIRST + AFTER)
+        a = a[(a >= first) & (a + after <= self.n)]
+        return a, self.hashes(a - first, first + after)
 
     def possible(self, repeated: list[int]) -> np.ndarray:
         """For each start of a string, whether the names of all anchors in its core are among the repeated ones."""
         anchors, names = self.named()
-        starts = self.n - LENGTH + 1
+        starts = self.n - self.cut.length + 1
         if starts <= 0:
             return np.zeros(0, bool)
         once = anchors[~np.isin(names, np.array(repeated, np.int64))]
-        low, high = np.maximum(once - LAST, 0), np.minimum(once - FIRST + 1, starts)
+        low, high = np.maximum(once - self.cut.last, 0), np.minimum(once - self.cut.first + 1, starts)
         low, high = low[low < high], high[low < high]
         ruled = np.bincount(low, minlength=starts + 1) - np.bincount(high, minlength=starts + 1)
         return np.cumsum(ruled[:-1]) == 0
 
     def covered(self, *starts: list[int] | None) -> np.ndarray:
-        """Which bytes lie in strings with these starts."""
+        """Which units lie in strings with these starts."""
         s = np.array([x for part in starts for x in part or ()], np.int64)
-        return np.cumsum(np.bincount(s, minlength=self.n + 1) - np.bincount(s + LENGTH, minlength=self.n + 1)[: self.n + 1])[: self.n] > 0
+        return np.cumsum(np.bincount(s, minlength=self.n + 1) - np.bincount(s + self.cut.length, minlength=self.n + 1)[: self.n + 1])[: self.n] > 0
+
+    def gone(self, copies: int | None, *starts: list[int] | None) -> np.ndarray:
+        """Which bytes go: copies of a text go whole if they hold a string."""
+        if (copies or 0) > 1 and self.n >= self.cut.length:
+            return np.ones(len(self.raw), bool)
+        units = self.covered(*starts)
+        if not self.cut.words:
+            return units
+        # white space between two words that go goes too
+        edges = np.diff(units.astype(np.int8), prepend=0, append=0)
+        size = len(self.raw) + 1
+        marks = np.bincount(self.at[np.flatnonzero(edges > 0)], minlength=size) - np.bincount(self.end[np.flatnonzero(edges < 0) - 1], minlength=size)
+        return np.cumsum(marks)[:-1] > 0
 
 
 def sliding(x: np.ndarray, width: int, f: np.ufunc) -> np.ndarray:
@@ -130,12 +200,12 @@ def columns(rows: list[tuple], schema: dict[str, str]) -> list:
     return out
 
 
-def name_rows():
+def name_rows(cut: Cut):
     def f(k1s, k2s, texts):
         rows = []
         for k1, k2, t in zip(k1s, k2s, texts, strict=True):
-            if len(raw := t.encode()) >= LENGTH:
-                names, times = np.unique(Text(raw).named()[1], return_counts=True)
+            if len(raw := t.encode()) >= cut.least_bytes:
+                names, times = np.unique(Text(raw, cut).named()[1], return_counts=True)
                 rows.append((k1, k2, names, times))
         return columns(rows, NAMES)
 
@@ -145,7 +215,7 @@ def name_rows():
 def strings_at(k1: int, k2: int, x: Text, starts: np.ndarray) -> tuple:
     """STRINGS of a text. A string that the text itself repeats is sure: one row of it stands for all against other texts, the others get
     a value of their own, so that no value has more rows than there are texts."""
-    w1, w2 = x.hashes(starts, LENGTH), x.hashes(starts, LENGTH, 1)
+    w1, w2 = x.hashes(starts, x.cut.length), x.hashes(starts, x.cut.length, 1)
     _, first, which, times = np.unique(w1, return_index=True, return_inverse=True, return_counts=True)
     later = np.ones(len(starts), bool)
     later[first] = False
@@ -153,30 +223,30 @@ def strings_at(k1: int, k2: int, x: Text, starts: np.ndarray) -> tuple:
     return k1, k2, w1, w2, starts, (times[which] > 1).astype(np.int64)
 
 
-def anchored_rows():
+def anchored_rows(cut: Cut):
     def f(k1s, k2s, texts, repeated):
         rows = []
         for k1, k2, t, again in zip(k1s, k2s, texts, repeated, strict=True):
-            x = Text(t.encode())
+            x = Text(t.encode(), cut)
             a = x.anchors()
-            s = np.unique(np.concatenate([a, a - LENGTH]))
-            s = s[(s >= 0) & (s + LENGTH <= x.n)]
+            s = np.unique(np.concatenate([a, a - cut.length]))
+            s = s[(s >= 0) & (s + cut.length <= x.n)]
             rows.append(strings_at(k1, k2, x, s[x.possible(again)[s]]))
         return columns(rows, STRINGS)
 
     return f
 
 
-def asked_rows():
+def asked_rows(cut: Cut):
     def f(texts, repeated, found):
         rows = []
         for t, again, starts in zip(texts, repeated, found, strict=True):
-            x = Text(t.encode())
+            x = Text(t.encode(), cut)
             a, names = x.named()
-            open_bytes = np.concatenate([[0], np.cumsum(~x.covered(starts))])
+            left = np.concatenate([[0], np.cumsum(~x.covered(starts))])
             ok = x.possible(again)
-            s = np.flatnonzero(ok & (open_bytes[LENGTH:] - open_bytes[:-LENGTH] > 0)) if len(ok) else np.zeros(0, np.int64)
-            at = np.searchsorted(a, s + FIRST)
+            s = np.flatnonzero(ok & (left[cut.length :] - left[: -cut.length] > 0)) if len(ok) else np.zeros(0, np.int64)
+            at = np.searchsorted(a, s + cut.first)
             rows.append((names[at], a[at] - s))
         # one row for each (name, distance) of the slice
         pairs = np.unique(np.stack(columns(rows, ASKED), 1), axis=0)
@@ -185,28 +255,28 @@ def asked_rows():
     return f
 
 
-def induced_rows():
+def induced_rows(cut: Cut):
     def f(k1s, k2s, texts, asks):
         rows = []
         for k1, k2, t, ask in zip(k1s, k2s, texts, asks, strict=True):
-            x = Text(t.encode())
+            x = Text(t.encode(), cut)
             a, names = x.named()
             order = np.argsort(names, kind="stable")
             low, high = (np.searchsorted(names[order], [q["name"] for q in ask], side) for side in ("left", "right"))
             places = [a[order[i:j]] for i, j in zip(low, high, strict=True)]
             s = np.unique(np.concatenate([np.subtract.outer(p, np.array(q["distances"], np.int64)).ravel() for p, q in zip(places, ask, strict=True)]))
-            rows.append(strings_at(k1, k2, x, s[(s >= 0) & (s + LENGTH <= x.n)]))
+            rows.append(strings_at(k1, k2, x, s[(s >= 0) & (s + cut.length <= x.n)]))
         return columns(rows, STRINGS)
 
     return f
 
 
-def result_rows():
-    def f(k1s, k2s, texts, copies, found, induced):
+def result_rows(cuts: tuple[Cut, ...]):
+    def f(k1s, k2s, texts, copies, *found):
         rows = []
-        for k1, k2, t, c, a, b in zip(k1s, k2s, texts, copies, found, induced, strict=True):
+        for k1, k2, t, c, *starts in zip(k1s, k2s, texts, copies, *found, strict=True):
             raw = t.encode()
-            gone = np.ones(len(raw), bool) if c > 1 else Text(raw).covered(a, b)
+            gone = np.logical_or.reduce([Text(raw, cut).gone(c, *starts[2 * k : 2 * k + 2]) for k, cut in enumerate(cuts)])
             kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
             spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
             rows.append((k1, k2, int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), whole_letters(raw, gone)))
@@ -231,14 +301,34 @@ def repeats(strings: DataFrame) -> DataFrame:
     return strings.withColumn("n", F.count("*").over(same)).filter("n > 1 or sure > 0").groupBy("k1", "k2").agg(F.collect_set("pos").alias("starts"))
 
 
-def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """RESULT for each distinct text that loses something: k1 and k2 are the text's key (``text_key``)."""
+def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", cuts: tuple[Cut, ...] = (BYTES,)) -> DataFrame:
+    """RESULT for each distinct text that loses something by any of the cuts: k1 and k2 are the text's key (``text_key``)."""
+    done = None
+    for k, cut in enumerate(cuts):
+        if len(cuts) > 1:
+            # cuts are told one after the other, so only one cut's tables and shuffle files are in use at a time
+            with common.scratch(df.sparkSession):
+                one = common.written(starts_of(df, id_col, text_col, cut).dropDuplicates(["k1", "k2"]), free=True, keep=True)
+        else:
+            one = starts_of(df, id_col, text_col, cut)
+        one = one.withColumnsRenamed({"starts": f"starts{k}", "induced": f"induced{k}"})
+        if done is None:
+            done = one
+        else:
+            other = one.withColumnsRenamed({"text": "text_", "copies": "copies_"})
+            done = done.join(other, ["k1", "k2"], "full_outer").withColumns({"text": F.coalesce("text", "text_"), "copies": F.coalesce("copies", "copies_")}).drop("text_", "copies_")
+    lists = [f"{x}{k}" for k in range(len(cuts)) for x in ("starts", "induced")]
+    return common.map_rows(done, ["k1", "k2", "text", "copies", *lists], RESULT, lambda: result_rows(cuts))
+
+
+def starts_of(df: DataFrame, id_col: str, text_col: str, cut: Cut) -> DataFrame:
+    """k1, k2, text, copies, starts, induced of texts that have copies or strings at more than one place, which these starts cover."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    docs = df.select(F.col(f"`{id_col}`").alias("id"), text.alias("text")).filter(F.octet_length("text") >= LENGTH).withColumns(text_key(F.col("text")))
+    docs = df.select(F.col(f"`{id_col}`").alias("id"), text.alias("text")).filter(F.octet_length("text") >= cut.least_bytes).withColumns(text_key(F.col("text")))
     copies = docs.groupBy("k1", "k2").agg(F.count("*").alias("copies"), F.min("id").alias("first_id"))
 
     # names of anchors at more than one place; a text's copies are one place
-    names = common.map_rows(docs, ["k1", "k2", "text"], NAMES, name_rows)
+    names = common.map_rows(docs, ["k1", "k2", "text"], NAMES, lambda: name_rows(cut))
     shared = names.groupBy("name").agg(F.min("k1").alias("low"), F.max("k1").alias("high"), F.max("times").alias("times")).filter("low <> high or times > 1")
     named = common.written(names.select("k1", "k2", "name").join(shared.select("name"), "name", "left_semi"), free=True)
     places = named.groupBy("k1", "k2").agg(F.collect_set("name").alias("repeated")).join(copies, ["k1", "k2"], "full_outer")
@@ -246,13 +336,13 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one = docs.join(places, docs.id.eqNullSafe(places.first_id) & (docs.k1 == places.p1) & (docs.k2 == places.p2))
     texts = common.written(one.select("k1", "k2", "text", "copies", F.coalesce("repeated", F.array().cast("array<bigint>")).alias("repeated")), free=True)
 
-    found = common.written(repeats(common.map_rows(texts, ["k1", "k2", "text", "repeated"], STRINGS, anchored_rows)), free=True)
+    found = common.written(repeats(common.map_rows(texts, ["k1", "k2", "text", "repeated"], STRINGS, lambda: anchored_rows(cut))), free=True)
     seen = texts.join(found, ["k1", "k2"], "left")
-    asked = common.map_rows(seen.filter("copies = 1"), ["text", "repeated", "starts"], ASKED, asked_rows).groupBy("name").agg(F.array_sort(F.collect_set("distance")).alias("distances"))
+    asked = common.map_rows(seen.filter("copies = 1"), ["text", "repeated", "starts"], ASKED, lambda: asked_rows(cut)).groupBy("name").agg(F.array_sort(F.collect_set("distance")).alias("distances"))
     asks = named.join(asked, "name").groupBy("k1", "k2").agg(F.collect_set(F.struct("name", "distances")).alias("asks"))
-    induced = repeats(common.map_rows(texts.join(asks, ["k1", "k2"]), ["k1", "k2", "text", "asks"], STRINGS, induced_rows))
+    induced = repeats(common.map_rows(texts.join(asks, ["k1", "k2"]), ["k1", "k2", "text", "asks"], STRINGS, lambda: induced_rows(cut)))
     done = seen.join(induced.withColumnRenamed("starts", "induced"), ["k1", "k2"], "left").filter("copies > 1 or starts is not null or induced is not null")
-    return common.map_rows(done, ["k1", "k2", "text", "copies", "starts", "induced"], RESULT, result_rows)
+    return done.select("k1", "k2", "text", "copies", "starts", "induced")
 
 
 def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -264,9 +354,9 @@ def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return out.select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
 
 
-def without_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", cuts: tuple[Cut, ...] = (BYTES,)) -> DataFrame:
     """df with the repeated bytes cut from its texts; letters that would be cut in part stay whole. Null texts stay null."""
-    lost = repeated_passages(df, id_col, text_col).dropDuplicates(["k1", "k2"]).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "kept_text")
+    lost = repeated_passages(df, id_col, text_col, cuts).dropDuplicates(["k1", "k2"]).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "kept_text")
     text, keys = F.col(f"`{text_col}`"), text_key(F.col(f"`{text_col}`"))
     out = df.join(lost.withColumnRenamed("kept_text", "__kept"), (keys["k1"] == F.col("__k1")) & (keys["k2"] == F.col("__k2")), "left")
     return out.withColumn(text_col, F.coalesce("__kept", text)).select(*(F.col(f"`{c}`") for c in df.columns))
