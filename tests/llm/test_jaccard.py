@@ -80,11 +80,10 @@ def test_one_of_each(edge, make):
 
 
 def test_bitmap_distance_never_exceeds_the_sets():
-    s = jaccard.Shingles()
     r = random.Random(5)
     for _ in range(50):
         base = words(r.randrange(5, 900), r.random())
-        a, b = s.of(base), s.of(edited(base, r.randrange(30), r))
+        a, b = jaccard.sets_of([base, edited(base, r.randrange(30), r)])
         assert jaccard.distance(jaccard.bitmap(a), jaccard.bitmap(b)) <= len(set(a.tolist()) ^ set(b.tolist()))
 
 

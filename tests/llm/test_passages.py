@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 
 import corpus_pipeline
-from tidemark.llm import passages
+from tidemark.llm import passages, units
 
 from .conftest import EDGE_IDS, EDGE_TEXTS, words
 
@@ -67,7 +67,7 @@ def test_text_form_keeps_letters_whole(make):
 
 def brute_words(texts):
     """What is left of texts without the passages of 51 words and the strings of N bytes that stand elsewhere too."""
-    raws = [t.encode() for t in texts]
+    raws = [(t or "").encode() for t in texts]
     places = [[m.span() for m in re.finditer(rb"[^ \t\n\r\x0b\x0c]+", r)] for r in raws]
     units = [[r[a:b] for a, b in p] for r, p in zip(raws, places, strict=True)]
     seen = Counter(tuple(u[i : i + 51]) for u in units for i in range(len(u) - 50))
@@ -75,13 +75,14 @@ def brute_words(texts):
     out = []
     for r, p, u in zip(raws, places, units, strict=True):
         gone = np.zeros(len(r), bool)
-        for i in range(len(u) - 50):
-            if seen[tuple(u[i : i + 51])] > 1:
-                gone[p[i][0] : p[i + 50][1]] = True
+        words_gone = {i + k for i in range(len(u) - 50) if seen[tuple(u[i : i + 51])] > 1 for k in range(51)}
+        for i in words_gone:
+            # white space between two words that go goes too
+            gone[p[i][0] : p[i + 1][0] if i + 1 in words_gone else p[i][1]] = True
         for i in range(len(r) - N + 1):
             if strings[r[i : i + N]] > 1:
                 gone[i : i + N] = True
-        out.append(np.frombuffer(r, np.uint8)[~gone].tobytes().decode())
+        out.append(np.frombuffer(r, np.uint8)[~gone].tobytes().decode(errors="replace"))
     return out
 
 
@@ -100,3 +101,42 @@ def test_pipeline_cuts_passages_of_over_50_words(make, spark):
     want = brute_words(out)
     assert [(k, got[k], want[k]) for k in range(len(out)) if got[k] != want[k]] == []
     assert sum(a != b for a, b in zip(out, want, strict=True)) > 40
+
+
+def planted(seed, count=40):
+    r = random.Random(seed)
+    shared = words(300, seed)
+    return [words(r.randrange(20, 120), seed + k) + shared[(a := r.randrange(600)) : a + r.randrange(300, 900)] + words(r.randrange(20, 90), seed - k) for k in range(count)]
+
+
+def test_hot_names_divide_into_the_same_result(make, monkeypatch):
+    """Classes far above the bound fold, halve and halve again; results stay those of brute force."""
+    monkeypatch.setattr(passages, "CLASS", 3)
+    monkeypatch.setattr(passages, "SIDE", 50)
+    t = [*planted(5), *texts(4), *["k" * n for n in (700, 500, 401, 400)]]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in passages.digests(make(t)).collect()}
+    assert [k for k, b in enumerate(brute(t)) if got[k] != b] == []
+    got = {x.doc_id: x.text for x in passages.without_passages(make(t), cuts=(passages.BYTES, passages.WORDS)).collect()}
+    assert [k for k, b in enumerate(brute_words(t)) if (got[k] or "") != b and "\ufffd" not in b] == []
+
+
+def test_blocks_of_a_text_make_no_difference(monkeypatch):
+    raw = (words(4000, 8) + " " + "x" * 3000 + " " + words(2000, 9)).encode()
+    whole = [passages.Texts([raw, b"", raw[:3000]], cut).named() for cut in (passages.BYTES, passages.WORDS)]
+    monkeypatch.setattr(passages, "BLOCK", 777)
+    parts = [passages.Texts([raw, b"", raw[:3000]], cut).named() for cut in (passages.BYTES, passages.WORDS)]
+    assert all(np.array_equal(a, b) for x, y in zip(whole, parts, strict=True) for a, b in zip(x, y, strict=True))
+    few = units.words(raw)[0]
+    monkeypatch.setattr(units, "BLOCK", 500)
+    monkeypatch.setattr(units, "POWERS", units.powers(units.BASE))
+    monkeypatch.setattr(units, "INVERSE", units.powers(pow(units.BASE, -1, 2**64)))
+    assert np.array_equal(units.words(raw)[0], few)
+
+
+def test_a_run_of_one_letter_takes_few_tuples():
+    """Twice the run, about as many tuples that go to others."""
+    counts = []
+    for n in (20_000, 40_000):
+        x = passages.Texts([b"a" * n], passages.BYTES)
+        counts.append(sum(r[1].drop_null().__len__() for r in passages.tuple_columns(x, x.named()[1])))
+    assert counts[0] == counts[1] < 600

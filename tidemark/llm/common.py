@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import uuid
@@ -39,7 +38,7 @@ def ddl(schema: dict[str, str]) -> str:
 
 
 def batch(schema: dict[str, str], columns: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, ARROW[t]) for c, t in zip(columns, schema.values(), strict=True)], names=list(schema))
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, ARROW[t]) for c, t in zip(columns, schema.values(), strict=True)], names=list(schema))
 
 
 def map_rows(df: DataFrame, columns: list[str], schema: dict[str, str], make: Callable[[], Callable]) -> DataFrame:
@@ -75,6 +74,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 #: Tables of the ``scratch`` blocks that are open.
 SCRATCH: list[list[str]] = []
+#: Names in the catalogue of tables in buckets, by path.
+BUCKETED: dict[str, str] = {}
 
 
 @contextmanager
@@ -86,20 +87,44 @@ def scratch(spark: SparkSession):
     finally:
         jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
         for path in SCRATCH.pop():
+            if path in BUCKETED:
+                spark.sql(f"DROP TABLE IF EXISTS {BUCKETED.pop(path)}")
             where = jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(conf).delete(where, True)
 
 
-def written(df: DataFrame, free: bool = False, keep: bool = False) -> DataFrame:
-    """df as a table in the shared folder: it is computed once, and survives the loss of any executor.
+#: Shuffle files go when the job that wrote them ends: what is used again lies in tables.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-    free: its shuffle files are of no use any more; the driver's JVM collects its garbage, upon which Spark deletes them.
-    """
+
+@contextmanager
+def cleaned(spark: SparkSession):
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before) if before else spark.conf.unset(CLEANUP)
+
+
+def written(df: DataFrame, keep: bool = False) -> DataFrame:
+    """df as a table in the shared folder: it is computed once, and survives the loss of any executor."""
     path = shared_folder(df.sparkSession)
     if SCRATCH and not keep:
         SCRATCH[-1].append(path)
-    df.write.parquet(path)
-    if free:
-        gc.collect()
-        df.sparkSession.sparkContext._jvm.System.gc()
+    with cleaned(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, keys: list[str]) -> DataFrame:
+    """As ``written``, in buckets of these columns: joins by them deal out the other side only."""
+    spark = df.sparkSession
+    path, name = shared_folder(spark), f"bucketed_{uuid.uuid4().hex}"
+    if SCRATCH:
+        SCRATCH[-1].append(path)
+        BUCKETED[path] = name
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with cleaned(spark):
+        df.write.bucketBy(n, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name)

@@ -25,11 +25,10 @@ import hashlib
 from collections import OrderedDict
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, units
 
 SHINGLE, CACHE = 5, 300_000
 #: Buckets of the sketch of shingle counts; a task reports buckets this far beyond what chance would put there.
@@ -39,32 +38,27 @@ SKETCH = 1024
 MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
-class Shingles:
-    """Sets of texts as sorted arrays of 64-bit hashes; hashes of words are cached up to a bound."""
-
-    def __init__(self):
-        self.cache: dict[bytes, int] = {}
-
-    def of(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().lower().split()
-        cache = self.cache
-        if new := set(words).difference(cache):
-            if len(cache) + len(new) > CACHE:
-                cache.clear()
-                new = set(words)
-            for w in new:
-                cache[w] = xxhash.xxh64_intdigest(w)
-        x = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
-        if not len(x):
-            return x
-        size = min(SHINGLE, len(x))
-        h = np.full(len(x) - size + 1, size, np.uint64)
-        for k in range(size):
-            h += x[k : len(x) - size + 1 + k] * MULTIPLIERS[k]
-            h ^= h >> np.uint64(29)
-        h *= MULTIPLIERS[1]
-        h ^= h >> np.uint64(32)
-        return np.unique(h)
+def sets_of(texts: list[str | None]) -> list[np.ndarray]:
+    """Texts' sets as sorted arrays of 64-bit hashes."""
+    x, _, _, begin, end = units.words_of([(t or "").encode() for t in texts], lower=True)
+    h = hashes(x, SHINGLE)
+    out = []
+    for i, j in zip(begin.tolist(), end.tolist(), strict=True):
+        s = np.sort(h[i : j - SHINGLE + 1] if j - i >= SHINGLE else hashes(x[i:j], max(1, j - i)))
+        out.append(s[np.append(True, s[1:] != s[:-1])] if len(s) else s)
+    return out
+
+
+def hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Of each run of ``size`` words."""
+    n = max(0, len(words) - size + 1)
+    h = np.full(n, size, np.uint64)
+    for k in range(size):
+        h += words[k : n + k] * MULTIPLIERS[k]
+        h ^= h >> np.uint64(29)
+    h *= MULTIPLIERS[1]
+    h ^= h >> np.uint64(32)
+    return h
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -97,38 +91,38 @@ def row_key(key: Column, text: Column) -> Column:
     return F.xxhash64(key, text)
 
 
-def summaries(docs: DataFrame) -> DataFrame:
-    """doc_id, at (row_key), node, n_shingles, bits for each row; node and bits are null for empty sets."""
-
-    def make():
-        shingles = Shingles()
-
-        def f(ids, at, texts):
-            sets = [shingles.of(t) for t in texts]
-            return [ids, at, [node_of(s) if len(s) else None for s in sets], [len(s) for s in sets], [bitmap(s) if len(s) else None for s in sets]]
+#: A row's summary, or a bucket of the sketch with its count.
+SUMMARY = {"doc_id": "long", "at": "long", "node": "long", "n_shingles": "long", "bits": "binary", "bucket": "long", "n": "long"}
 
-        return f
 
-    return common.map_rows(docs, ["doc_id", "at", "text"], {"doc_id": "long", "at": "long", "node": "long", "n_shingles": "long", "bits": "binary"}, make)
-
-
-def frequent(docs: DataFrame) -> np.ndarray:
-    """Which of BUCKETS buckets of shingles hold frequent ones: a sketch of fixed size, from counts of all documents."""
-    schema = {"bucket": "long", "n": "long"}
+def summaries(docs: DataFrame) -> DataFrame:
+    """SUMMARY: doc_id, at (row_key), node, n_shingles, bits for each row; node and bits are null for empty sets. At the end of each task, the
+    buckets of shingles that it found frequent."""
     common.find_package(docs.sparkSession)
 
     def run(batches):
-        shingles, counts = Shingles(), np.zeros(BUCKETS, np.int64)
+        counts = np.zeros(BUCKETS, np.int64)
         for b in batches:
-            for text in b.column(0).to_pylist():
-                np.add.at(counts, shingles.of(text) & np.uint64(BUCKETS - 1), 1)
+            for at in range(0, b.num_rows, common.OUT_ROWS):
+                part = b.slice(at, common.OUT_ROWS)
+                ids, keys, texts = (c.to_pylist() for c in part.columns)
+                sets = sets_of(texts)
+                if sets:
+                    counts += np.bincount((np.concatenate(sets) & np.uint64(BUCKETS - 1)).view(np.int64), minlength=BUCKETS)
+                none = [None] * len(sets)
+                yield common.batch(SUMMARY, [ids, keys, [node_of(s) if len(s) else None for s in sets], [len(s) for s in sets], [bitmap(s) if len(s) else None for s in sets], none, none])
         mean = counts.mean()
         high = np.flatnonzero(counts > mean + SURPRISE * np.sqrt(mean) + SURPRISE)
-        yield common.batch(schema, [high, counts[high]])
+        none = [None] * len(high)
+        yield common.batch(SUMMARY, [none, none, none, none, none, high, counts[high]])
 
-    found = docs.select("text").mapInArrow(run, common.ddl(schema)).groupBy("bucket").agg(F.sum("n").alias("n"))
+    return docs.select("doc_id", "at", "text").mapInArrow(run, common.ddl(SUMMARY))
+
+
+def frequent(told: DataFrame) -> np.ndarray:
+    """Which of BUCKETS buckets of shingles hold frequent ones: a sketch of fixed size, from counts of all documents."""
     out = np.zeros(BUCKETS, bool)
-    out[[r["bucket"] for r in found.select("bucket").collect()]] = True  # at most BUCKETS rows
+    out[[r["bucket"] for r in told.filter("bucket is not null").select("bucket").distinct().collect()]] = True  # at most BUCKETS rows
     return out
 
 
@@ -138,16 +132,20 @@ def first_shingles(docs: DataFrame, late: np.ndarray) -> DataFrame:
     packed = np.packbits(late)
 
     def make():
-        shingles, last = Shingles(), np.unpackbits(packed).astype(bool)
+        last, told = np.unpackbits(packed).astype(bool), set()
 
         def f(texts):
             tokens, nodes = [], []
-            for t in texts:
-                s = shingles.of(t)
-                if len(s):
+            for s in sets_of(texts):
+                node = node_of(s)
+                # a task tells of a set once, as far as it remembers
+                if len(s) and node not in told:
                     heavy = last[s & np.uint64(BUCKETS - 1)]
                     tokens.append(np.concatenate([s[~heavy], s[heavy]])[: len(s) // 5 + 1].view(np.int64))
-                    nodes.append(np.full(len(tokens[-1]), node_of(s), np.int64))
+                    nodes.append(np.full(len(tokens[-1]), node, np.int64))
+                    if len(told) >= CACHE:
+                        told.clear()
+                    told.add(node)
             return [np.concatenate(x) if x else [] for x in (tokens, nodes)]
 
         return f
@@ -184,11 +182,12 @@ def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     both = pairs.select("a", "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
 
     def make():
-        shingles, kept = Shingles(), OrderedDict()
+        kept: OrderedDict[int, np.ndarray] = OrderedDict()
 
         def set_of(node, text):
             if (s := kept.get(node)) is None:
-                s = kept[node] = shingles.of(text)
+                (s,) = sets_of([text])
+                kept[node] = s
                 if len(kept) > 64:
                     kept.popitem(last=False)
             return s
@@ -250,21 +249,22 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """doc_id, n_shingles, component_id, node, root (the component's smallest node), at (row_key) for each row."""
     key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     docs = df.select(key.alias("doc_id"), row_key(key, text).alias("at"), text.alias("text"))
-    rows = common.written(summaries(docs))
-    members = common.written(regions(first_shingles(docs, frequent(docs))), free=True)
+    told = common.written(summaries(docs))
+    rows = told.filter("bucket is null").drop("bucket", "n")
+    members = common.written(regions(first_shingles(docs, frequent(told))))
     some = members.select("node").distinct()
     # one row a node: copies fold before anything is joined
     first_rows = rows.filter("node is not null").groupBy("node").agg(F.min("at").alias("at")).join(some, "node", "left_semi")
     sets = first_rows.join(rows.select("node", "at", "n_shingles", "bits"), ["node", "at"])
     sets = common.written(sets.groupBy("node", "at").agg(F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"), F.count("*").alias("times")))
 
-    first = common.written(near(members.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), sets), free=True)
+    first = common.written(near(members.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), sets))
     labels = None
     edges: list[DataFrame] = []
     # texts of the members, one row a node
-    texts = common.written(docs.join(sets.select("at", "node", "times"), "at").select("node", "text", "times"), free=True)
+    texts = common.written(docs.join(sets.select("at", "node", "times"), "at").select("node", "text", "times"))
     texts = texts.filter("times = 1").select("node", "text").union(texts.filter("times > 1").groupBy("node").agg(F.first("text").alias("text")))
-    edges.append(common.written(links(first.filter("possible"), texts), free=True))
+    edges.append(common.written(links(first.filter("possible"), texts)))
     labels = components(edges[0])
 
     left = apart(members, labels)
@@ -273,14 +273,14 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     second = left.filter("node <> pivot").groupBy("region").agg(F.min_by(F.struct("node", "component"), F.struct("h", "node")).alias("s"))
     told = common.written(left.join(second, "region").filter("node <> s.node and node <> pivot"))
     again = told.filter("component <> s.component").select(F.col("node").alias("a"), F.col("s.node").alias("b")).distinct()
-    edges.append(common.written(links(near(again, sets).filter("possible"), texts), free=True))
+    edges.append(common.written(links(near(again, sets).filter("possible"), texts)))
     labels = components(edges[0].union(edges[1]))
 
     # both pivots of a region have met all its members: what is left are the others, where they are of several components
     rest = apart(told.drop("component", "s"), labels).join(sets.select("node", F.col("n_shingles").alias("n"), F.octet_length("bits").alias("room")), "node")
     rest = rest.join(sets.select(F.col("node").alias("pivot"), F.octet_length("bits").alias("pivot_room")), "pivot")
     # distances of bitmaps compare at one size only: that of the smaller of the member and the pivot
-    rest = common.written(rest.select("region", "node", "component", "n", "h", F.least("room", "pivot_room").alias("hn")), free=True)
+    rest = common.written(rest.select("region", "node", "component", "n", "h", F.least("room", "pivot_room").alias("hn")))
     sketches = common.map_rows(sets.join(rest.select("node").distinct(), "node", "left_semi"), ["node", "bits"], {"node": "long", "sketch": "array<long>"}, lambda: lambda n, b: [n, [folded(x) for x in b]])
     pairs = windows(across_sizes(rest).join(sketches, "node"))
     edges.append(common.written(links(near(pairs, sets).filter("possible"), texts)))
@@ -305,7 +305,7 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """df with one row of each component: one whose id is the component's. Rows without words are in no component: of those with one id
     and text one stays, those without id stay all."""
     with common.scratch(df.sparkSession):
-        stays = common.written(kept_rows(classes(df, id_col, text_col)), free=True, keep=True)
+        stays = common.written(kept_rows(classes(df, id_col, text_col)), keep=True)
     key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     bare = key.isNull() & F.coalesce(text.rlike(r"\A[ \t\n\x0B\f\r]*\z"), F.lit(True))
     kept = df.filter(~bare).withColumn("__at", row_key(key, text)).join(stays, F.col("__at") == F.col("__kept"), "left_semi")
