@@ -27,7 +27,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of over 50 words go, however short the words; so do strings of op9's length, which may have fewer."""
-    return measured(passages.without_passages(docs, cuts=(passages.WORDS, passages.BYTES)))
+    return measured(passages.without_passages(docs, cuts=(passages.BYTES, passages.WORDS)))
 
 
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
