@@ -22,13 +22,23 @@ def test_views_of_each_speaker(spark):
 
 def test_long_dialogues_come_in_parts(spark):
     df = spark.createDataFrame([(1, t, "ann" if t % 3 else "bob", f"t{t}", 0, "") for t in range(200)] * 2, CONV)
-    got = chat.rotate(df).filter("perspective = 'bob'").orderBy("part").collect()
-    assert [r.part for r in got] == [0, 1, 2, 3] and sum(r.n_turns for r in got) == 400
+    whole = chat.rotate(df).filter("perspective = 'bob'").collect()
+    got = chat.rotate(df, part_turns=100).filter("perspective = 'bob'").orderBy("part").collect()
+    assert [(r.part, r.n_turns) for r in got] == [(k, 100) for k in range(4)] and len(whole) == 1 and whole[0].text == "".join(r.text for r in got)
+    moved = [f"{r.part_start + int(a)}:{r.part_start + int(b)}" for r in got for a, b in (x.split(":") for x in r.mask_spans.split(","))]
+    assert moved == whole[0].mask_spans.split(",") and whole[0].mask_chars == sum(r.mask_chars for r in got)
     end = 0
     for r in got:
         assert r.part_start == end
         end += len(r.text)
     assert chat.rotate(df.limit(0)).count() == 0
+    # a conversation whose rows all share one turn number, or have none
+    for turn in (7, None):
+        same = spark.createDataFrame([(None, turn, f"s{k % 2}", f"t{k}", 0, "") for k in range(250)], CONV)
+        parts = chat.rotate(same, part_turns=60).collect()
+        assert Counter((r.perspective, r.n_turns) for r in parts) == {("s0", 60): 4, ("s0", 10): 1, ("s1", 60): 4, ("s1", 10): 1}
+        for r in parts:
+            assert all(r.text[int(a) :].startswith("t") and r.text[int(b) - 10 : int(b)] == "<|im_end|>" for a, b in (x.split(":") for x in r.mask_spans.split(",") if x))
 
 
 def check(df, shards=16):

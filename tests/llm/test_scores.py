@@ -1,3 +1,4 @@
+import time
 import random
 from collections import Counter
 
@@ -64,8 +65,21 @@ def test_held_out_accuracy(spark, make, edge, empty):
     assert kept.columns == docs.columns and kept.count() == sum(r.predicted == 0 for r in got)
     found = toxicity.passages(docs, model).collect()
     assert found and all(texts[r.doc_id][r.start : r.end] == r.text for r in found)
-    with pytest.raises(ValueError, match="both kinds"):
-        toxicity.fit(docs, labels.filter("toxic = 0"))
+    for few in (labels.filter("toxic = 0"), labels.limit(0)):
+        nothing = toxicity.fit(docs, few)
+        assert toxicity.without_toxic(docs, nothing).count() == docs.count() and toxicity.score(docs, nothing).filter("score > 0.01").count() == 0
+
+
+def test_scan_takes_linear_time():
+    """Alternating signs, rising and falling sums: twice the tokens take about twice the time."""
+    r = np.random.default_rng(3)
+    for pattern in (lambda n: np.resize([1.0, -1.0], n), lambda n: np.resize([1.0, -1.5], n), lambda n: np.resize([1.5, -1.0], n), lambda n: r.normal(0, 1, n)):
+        seconds = []
+        for n in (100_000, 200_000):
+            x, began = pattern(n), time.process_time()
+            toxicity.segments(x)
+            seconds.append(time.process_time() - began)
+        assert seconds[1] < 4 * seconds[0] + 0.05
 
 
 def brute_measures(text):

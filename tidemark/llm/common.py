@@ -108,10 +108,10 @@ def cleaned(spark: SparkSession):
 
 
 def written(df: DataFrame, keep: bool = False) -> DataFrame:
-    """df as a table in the shared folder: it is computed once, and survives the loss of any executor."""
+    """df as a table in the shared folder: it is computed once, and survives the loss of any executor. keep: past the ``scratch`` block."""
     path = shared_folder(df.sparkSession)
-    if SCRATCH and not keep:
-        SCRATCH[-1].append(path)
+    if len(SCRATCH) > keep:
+        SCRATCH[-1 - keep].append(path)
     with cleaned(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -15,9 +15,10 @@ repeats can be:
 4. Induce: the order of the suffixes one unit further left follows from the unit before them and the order so far; a neighbour's common
    prefix is one more than the least one between them. Strings whose common prefix covers their length are repeats. What can't reach the
    length any more leaves the queue.
-5. Recursion: names with over ``CLASS`` tuples fold equal tuples first; then each is named anew by the units that the left and the right
-   half of its strings have in common, so a class halves its strings until it is small or of one string. So no task has to hold a class
-   that grows with the table.
+5. Equal tuples of a name are repeats: they are settled, and one of them goes on to answer others.
+6. Recursion: the tuples of a name with over ``CLASS`` of them are named anew by the units that the left and the right half of their
+   strings have in common, and fold again; so a class halves its strings until it is small. No task has to hold a class that grows with
+   the table. (Steps 5 and 6 come before step 4.)
 
 Equal texts count as one text (copies), removed whole if as long as a string. A text that repeats a tuple itself settles it at once, so
 runs of one letter or short periods take few tuples. Texts lie in a table that is bucketed by their key, so that they are dealt once.
@@ -329,31 +330,36 @@ def induce(cuts: tuple[Cut, ...]):
     return run
 
 
-def fold(hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Equal tuples of hot names: all but one are settled, and that one goes on. Returns the settled ones and those that go on."""
-    keys = {"u1": F.xxhash64("left", F.lit(0), "right"), "u2": F.xxhash64(F.lit(1), "left", F.lit(0), "right")}
-    rows = hot.withColumns(keys)
-    one = rows.groupBy("name", "u1", "u2").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "cut", "base")).alias("one"))
-    told = rows.join(one, ["name", "u1", "u2"])
-    stays = told.filter((F.col("one.k1") == F.col("k1")) & (F.col("one.k2") == F.col("k2")) & (F.col("one.cut") == F.col("cut")) & (F.col("one.base") == F.col("base")))
-    return told.filter("n > 1").select(*hot.columns), stays.select(*hot.columns)
+def equal_key() -> dict[str, Column]:
+    return {"u1": F.xxhash64("left", F.lit(0), "right"), "u2": F.xxhash64(F.lit(1), "left", F.lit(0), "right")}
+
+
+def folded(rows: DataFrame) -> DataFrame:
+    """One row of each group of equal tuples of a name, as a table, with ``n`` (how many there are) and their key u1, u2."""
+    same = ["name", "u1", "u2"]
+    one = rows.withColumns(equal_key()).groupBy(*same).agg(F.count("*").alias("n"), F.first(F.struct(*(c for c in rows.columns if c != "name"))).alias("one"))
+    return common.written(one.select(*same, "n", "one.*"))
 
 
 def halves(hot: DataFrame, cuts: tuple[Cut, ...]) -> DataFrame:
-    """Two rows a tuple, named by what their strings have in common: those that reach ``low`` to ``mid`` units to the left, and the others."""
-    reach = F.element_at(F.array(*(F.lit(c.reach) for c in cuts)), F.col("cut") + 1)
-    size = F.element_at(F.array(*(F.lit(8 if c.words else 1) for c in cuts)), F.col("cut") + 1)
-    mid = F.expr("cast((low + high) div 2 as int)")
-    here = hot.withColumns({"mid": mid, "r": reach, "w": size})
+    """Two rows a tuple, named by what their strings have in common: those that reach ``low`` to ``mid`` units to the left, and the others.
+    Sides keep what these strings take in."""
+    reach, size = of_cut([c.reach for c in cuts]), of_cut([8 if c.words else 1 for c in cuts])
+    here = hot.withColumns({"mid": F.expr("cast((low + high) div 2 as int)"), "r": reach, "w": size})
     lower = here.withColumns({"name": F.xxhash64("name", F.lit(0), F.expr("substring(right, 1, (r - mid) * w)")), "high": F.col("mid"), "most": F.least("most", "mid")})
     upper = here.withColumns({"name": F.xxhash64("name", F.lit(1), F.expr("substring(left, 1, (mid + 1) * w)")), "low": F.col("mid") + 1, "least": F.greatest("least", F.col("mid") + 1)})
     # halves without strings of their own still answer others
-    enough = F.expr("octet_length(right) >= (r - high) * w and octet_length(left) >= low * w")
-    return lower.unionByName(upper).filter(enough).drop("mid", "r", "w")
+    enough = F.expr("low <= high and octet_length(right) >= (r - high) * w and octet_length(left) >= low * w")
+    sides = {"left": F.expr("substring(left, 1, high * w)"), "right": F.expr("substring(right, 1, (r - low) * w)")}
+    return lower.unionByName(upper).filter(enough).withColumns(sides).drop("mid", "r", "w")
+
+
+def of_cut(values: list[int]) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), F.col("cut") + 1)
 
 
 def settled(rows: DataFrame, cuts: tuple[Cut, ...]) -> DataFrame:
-    length = F.element_at(F.array(*(F.lit(c.length) for c in cuts)), F.col("cut") + 1)
+    length = of_cut([c.length for c in cuts])
     return rows.filter("least <= most").select("k1", "k2", "cut", (F.col("base") - F.col("most")).alias("begin"), (F.col("base") - F.col("least") + length).alias("end"))
 
 
@@ -361,23 +367,19 @@ def gone_units(tuples: DataFrame, cuts: tuple[Cut, ...]) -> DataFrame:
     """GONE of a written table of tuples."""
     common.find_package(tuples.sparkSession)
     out = [settled(tuples.filter("name is null"), cuts)]
-    reach = F.element_at(F.array(*(F.lit(c.reach) for c in cuts)), F.col("cut") + 1)
-    todo, cold = tuples.filter("name is not null").withColumns({"low": F.lit(0), "high": reach}), []
+    todo, cold = tuples.filter("name is not null").withColumns({"low": F.lit(0), "high": of_cut([c.reach for c in cuts])}), []
     while True:
-        sizes = todo.groupBy("name").agg(F.count("*").alias("n"), F.min("low").alias("l"), F.min("high").alias("h")).filter(F.col("n") > CLASS)
-        hot_names = common.written(sizes)
-        if hot_names.isEmpty():
+        one = folded(todo)
+        more = one.filter("n > 1").select("name", "u1", "u2")
+        out.append(settled(todo.withColumns(equal_key()).drop("left", "right").join(more, ["name", "u1", "u2"], "left_semi"), cuts))
+        hot = common.written(one.groupBy("name").count().filter(F.col("count") > CLASS).select("name"))
+        if hot.isEmpty():
             break
-        # those of one string are equal: all of them are repeats
-        single = todo.join(hot_names.filter("l = h").select("name"), "name", "left_semi")
-        out.append(settled(single, cuts))
-        cold.append(todo.join(hot_names.select("name"), "name", "left_anti"))
-        equal, stay = fold(common.written(todo.join(hot_names.filter("l < h").select("name"), "name", "left_semi")))
-        out.append(settled(equal, cuts))
-        todo = common.written(halves(stay, cuts))
+        cold.append(one.join(hot, "name", "left_anti"))
+        todo = common.written(halves(one.join(hot, "name", "left_semi").drop("n", "u1", "u2"), cuts))
     for x in cold:
-        todo = todo.unionByName(x)
-    dealt = todo.select(*TUPLES).repartition("name").sortWithinPartitions("name", "right")
+        one = one.unionByName(x)
+    dealt = one.select(*TUPLES).repartition("name").sortWithinPartitions("name", "right")
     found = dealt.mapInArrow(induce(cuts), common.ddl(GONE))
     for x in out:
         found = found.unionByName(x)
@@ -451,11 +453,12 @@ def repeated_passages(df: DataFrame, text_col: str = "text", cuts: tuple[Cut, ..
     """RESULT for each distinct text that may lose something: k1 and k2 are the text's key (``text_key``); n_removed, n_spans and
     kept_sha256 tell of the first cut, n_passage_bytes of the others, kept_text of all together."""
     texts = whole_texts(df, text_col, cuts)
-    names = common.written(common.map_rows(texts, ["k1", "k2", "text"], NAMES, lambda: name_rows(cuts)))
-    # texts are distinct, so a name of two rows stands in two texts
-    shared = names.groupBy("name").agg(F.sum("times").alias("times")).filter("times > 1").select("name")
-    places = names.join(shared, "name", "left_semi").groupBy("k1", "k2").agg(F.collect_set("name").alias("repeated"))
-    tuples = common.written(common.map_rows(texts.join(places, ["k1", "k2"]), ["k1", "k2", "text", "repeated"], TUPLES, lambda: tuple_rows(cuts)))
+    with common.scratch(df.sparkSession):
+        names = common.written(common.map_rows(texts, ["k1", "k2", "text"], NAMES, lambda: name_rows(cuts)))
+        # texts are distinct, so a name of two rows stands in two texts
+        shared = names.groupBy("name").agg(F.sum("times").alias("times")).filter("times > 1").select("name")
+        places = names.join(shared, "name", "left_semi").groupBy("k1", "k2").agg(F.collect_set("name").alias("repeated"))
+        tuples = common.written(common.map_rows(texts.join(places, ["k1", "k2"]), ["k1", "k2", "text", "repeated"], TUPLES, lambda: tuple_rows(cuts)), keep=True)
     gone = gone_units(tuples, cuts).groupBy("k1", "k2").agg(*(F.collect_list(c).alias(c) for c in ("cut", "begin", "end")))
     lost = texts.join(gone, ["k1", "k2"], "left").filter("cut is not null or copies > 1")
     return common.map_rows(lost, ["k1", "k2", "text", "copies", "cut", "begin", "end"], RESULT, lambda: result_rows(cuts, with_text))

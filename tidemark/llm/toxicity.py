@@ -11,12 +11,11 @@ The fit reads at most ``LABELLED`` labelled documents, dealt by a hash of their
 mod 5, is 0). The model's size is bounded by that sample. Scoring reads whole texts and nothing else.
 
 Null and empty texts: no tokens, the curve's lowest score. Null ids or labels are not learned from; of repeated labels the highest holds.
-Without labelled documents of both kinds, fit raises ValueError.
+Without labelled documents of both kinds nothing is learned: all scores are next to 0. An empty table gives an empty one.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
 import re
 from collections import Counter
@@ -32,7 +31,7 @@ from . import common
 LABELLED, FAMILY, DRIFT, MIN_DOCS = 20_000, 4, 0.5, 2
 #: Weight of a prior, in documents: a family's in the overall rate, a word's in its family's.
 FAMILY_WEIGHT, WORD_WEIGHT, CAUTION = 40.0, 40.0, 2.5
-TOP, FOLDS = 8, 5
+FOLDS = 5
 CACHE = 300_000
 EDGE = "\"'.,;:!?()[]{}#*$%&|<>-_"
 
@@ -72,20 +71,27 @@ class Model:
         return segments(self.tokens(words)) if words else []
 
     def evidence(self, n: int, scores: list[float]) -> float:
-        """-ln of the smallest p-value that the r highest of these segment scores give, over all r."""
-        total, best = 0.0, 0.0
-        for r, s in enumerate(scores[:TOP], 1):
-            total += self.tail * s - math.log(max(self.k * n, 1e-9))
-            if total > 0:
-                # P(sum of the r highest >= total) ~ exp(-total) total^(r-1) / (r! (r-1)!); ln r for having looked at several r
-                p = -total + (r - 1) * math.log(total) - math.lgamma(r + 1) - math.lgamma(r)
-                best = max(best, -p - math.log(r + 1))
+        """-ln of the smallest p-value that the r highest of these segment scores give, over all r whose r-th score is above chance.
+
+        scores: highest first.
+        """
+        total, best, chance = 0.0, 0.0, math.log(max(self.k * n, 1e-9))
+        for r, s in enumerate(scores, 1):
+            if self.tail * s <= chance:
+                break
+            total += self.tail * s - chance
+            # P(sum of the r highest >= total) ~ exp(-total) total^(r-1) / (r! (r-1)!); ln r for having looked at several r
+            p = -total + (r - 1) * math.log(total) - math.lgamma(r + 1) - math.lgamma(r)
+            best = max(best, -p - math.log(r + 1))
         return best
 
     def score(self, text: str | None) -> float:
         words = (text or "").split()
-        found = heapq.nlargest(TOP, (s for s, _, _ in self.segments(words)))
-        return self.curve_at(self.evidence(len(words), found))
+        return self.curve_at(self.evidence(len(words), sorted((s for s, _, _ in self.segments(words)), reverse=True)))
+
+    def clear(self, n: int, score: float, p_value: float) -> bool:
+        """Whether a segment's own p-value is below this one."""
+        return self.evidence(n, [score]) > -math.log(p_value)
 
     def curve_at(self, x: float) -> float:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.curve[0] + self.curve[1] * squeezed(x)))))
@@ -96,25 +102,26 @@ def squeezed(x: float) -> float:
 
 
 def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
-    """All maximal-scoring segments (score, start, end), none overlapping another, in one scan.
+    """All maximal-scoring segments (score, start, end), none overlapping another, in one scan of linear time.
 
     Each positive token opens a candidate with the sums before and behind it; it takes in the earlier candidates, back to the nearest
-    with a smaller sum before, as long as that one ends lower.
+    with a smaller sum before, as long as that one ends lower. Each candidate links to that nearest one, so what was passed once isn't
+    looked at again.
     """
-    sums = np.concatenate([[0.0], np.cumsum(scores)])
-    stack: list[tuple[float, float, int, int]] = []
+    sums = np.concatenate([[0.0], np.cumsum(scores)]).tolist()
+    stack: list[tuple[float, float, int, int, int]] = []
     for i in np.flatnonzero(scores > 0).tolist():
-        left, right, start = float(sums[i]), float(sums[i + 1]), i
+        left, right, start, j = sums[i], sums[i + 1], i, len(stack) - 1
         while True:
-            j = len(stack) - 1
             while j >= 0 and stack[j][0] >= left:
-                j -= 1
+                j = stack[j][4]
             if j < 0 or stack[j][1] >= right:
                 break
-            left, start = stack[j][0], stack[j][2]
+            left, _, start, _, before = stack[j]
             del stack[j:]
-        stack.append((left, right, start, i + 1))
-    return [(r - a, s, e) for a, r, s, e in stack]
+            j = before
+        stack.append((left, right, start, i + 1, j))
+    return [(r - a, s, e) for a, r, s, e, _ in stack]
 
 
 def held_out_of(column: str) -> Column:
@@ -133,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     train = common.written(training_texts(docs.select("doc_id", "text"), labels.select("doc_id", "toxic")))
     n = {r["toxic"]: r["n"] for r in train.filter("fitted").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
-        raise ValueError("toxicity.fit needs labelled documents of both kinds")
+        return Model({}, {}, curve=(-30.0, 0.0))
 
     def count():
         def f(texts, toxic):
@@ -159,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             rows = []
             for t, y in zip(texts, toxic, strict=True):
                 words = t.split()
-                found = heapq.nlargest(TOP, (s for s, _, _ in model.segments(words)))
+                found = sorted((s for s, _, _ in model.segments(words)), reverse=True)
                 values, times = np.unique(np.round(model.tokens(words), 1), return_counts=True)
                 rows.append((y, len(words), found, [*values.tolist(), *times.astype(float).tolist()]))
             return [list(c) for c in zip(*rows, strict=True)]
@@ -235,15 +242,20 @@ def calibrate(model: Model, sample: list[tuple[int, int, list[float], list[float
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score, predicted, n_segments (with a score whose own p-value is below 0.05), best_segment (start:end in words)."""
     schema = {"doc_id": "long", "score": "double", "predicted": "int", "n_segments": "long", "best_segment": "string"}
+    shared = df.sparkSession.sparkContext.broadcast(model)  # as large as the sample's vocabulary at most
 
     def make():
+        model = shared.value
+
         def f(ids, texts):
             rows = []
             for i, t in zip(ids, texts, strict=True):
                 words = (t or "").split()
                 found = sorted(model.segments(words), reverse=True)
-                s = model.curve_at(model.evidence(len(words), [x for x, _, _ in found[:TOP]]))
-                clear = sum(model.evidence(len(words), [x]) > -math.log(0.05) for x, _, _ in found[:64])
+                s = model.curve_at(model.evidence(len(words), [x for x, _, _ in found]))
+                clear = 0
+                while clear < len(found) and model.clear(len(words), found[clear][0], 0.05):
+                    clear += 1
                 rows.append((i, s, int(s >= 0.5), clear, f"{found[0][1]}:{found[0][2]}" if found else ""))
             return [list(c) for c in zip(*rows, strict=True)]
 
@@ -255,15 +267,18 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
 def passages(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", p_value: float = 0.05) -> DataFrame:
     """doc_id, start, end (code points, end exclusive), segment_score, text: every significant toxic passage."""
     schema = {"doc_id": "long", "start": "long", "end": "long", "segment_score": "double", "text": "string"}
+    shared = df.sparkSession.sparkContext.broadcast(model)
 
     def make():
+        model = shared.value
+
         def f(ids, texts):
             rows = []
             for i, t in zip(ids, texts, strict=True):
                 places = [m.span() for m in re.finditer(r"\S+", t or "")]
                 words = [t[a:b] for a, b in places]
                 for s, first, last in model.segments(words):
-                    if model.evidence(len(words), [s]) > -math.log(p_value):
+                    if model.clear(len(words), s, p_value):
                         a, b = places[first][0], places[last - 1][1]
                         rows.append((i, a, b, s, t[a:b]))
             return [list(c) for c in zip(*rows, strict=True)] if rows else [[] for _ in schema]
@@ -281,9 +296,10 @@ def digests(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def without_toxic(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """df without the rows whose text the model calls toxic; all its columns stay."""
     common.find_package(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def toxic(texts: pd.Series) -> pd.Series:
-        return texts.map(model.score)
+        return texts.map(shared.value.score)
 
     return df.filter(toxic(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))) < 0.5)
