@@ -5,6 +5,8 @@ The plan of all domains is one full outer join; applying it is a projection per
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,10 +109,23 @@ def reattach(children: DataFrame, new_parents: DataFrame, parent: str) -> DataFr
 def pair_by_formula(existing: DataFrame, incoming: DataFrame, base: list[str], formula: str = "formula", date: str = "approval_date", id_col: str = "id") -> DataFrame:
     """A plan on a conditional key: one existing and one incoming row of a base key are the same source whatever their formula; otherwise
     the formula belongs to the key."""
+    old, new = with_formula_key(existing, incoming, base, formula)
+    return merge_plan(old, new, [*base, "formula_key"], date, id_col)
+
+
+def with_formula_key(existing: DataFrame, incoming: DataFrame, base: list[str], formula: str = "formula") -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``formula_key``: empty where a base key has one row on each, else the formula."""
     sides = existing.select(*base, F.lit(1).alias("e"), F.lit(0).alias("i")).unionByName(incoming.select(*base, F.lit(0).alias("e"), F.lit(1).alias("i")))
     single = sides.groupBy(*base).agg(((F.sum("e") == 1) & (F.sum("i") == 1)).alias("single"))
-    told = lambda df: df.join(single, base).withColumn("formula_key", F.when(F.col("single"), "").otherwise(F.coalesce(F.trim(formula), F.lit(""))))
-    return merge_plan(told(existing), told(incoming), [*base, "formula_key"], date, id_col)
+    told = lambda df: df.join(single, base).withColumn("formula_key", F.when(F.col("single"), "").otherwise(F.coalesce(F.trim(formula), F.lit("")))).drop("single")
+    return told(existing), told(incoming)
+
+
+def planned(plan: DataFrame, sink: Callable[[DataFrame], None] | None) -> DataFrame:
+    """Hands the plan to its sink, if there is one; a dry run has none and computes the same."""
+    if sink is not None:
+        sink(plan)
+    return plan
 
 
 def duplicate_rules(df: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:

@@ -32,6 +32,17 @@ def unique_value(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count_distinct(column).alias("n"), F.min(column).alias(column)).filter("n = 1").drop("n")
 
 
+def fill_unique(df: DataFrame, source: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """Null values of active rows are filled where the source has exactly one value for their keys."""
+    told = df.join(unique_value(source, keys, column).withColumnRenamed(column, "__one"), keys, "left")
+    return told.withColumn(column, F.when(F.col("active"), F.coalesce(column, "__one")).otherwise(F.col(column))).drop("__one")
+
+
+def retire_duplicates(df: DataFrame, keys: list[str], order: list[Column], end_date: Column) -> DataFrame:
+    """The first row of each key stays, other active ones end; ``retired`` marks them for the audit log."""
+    return retire(keep_latest(df, keys, order), F.col("rank") > 1, end_date)
+
+
 def seed(staged: DataFrame, present: DataFrame, domain: str, keys: list[str], order: list[Column]) -> DataFrame:
     """One row a key, the latest, for domains that have no rows yet."""
     fresh = staged.join(present.select(domain).distinct(), domain, "left_anti")

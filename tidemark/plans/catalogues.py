@@ -174,11 +174,11 @@ def clean_rules(spark, sf):
     return t.select("k", C.x_flag(F.col("flag"))[0].alias("flag"), C.yes_no(F.col("yes"))[0].alias("yes"), n.alias("number"), e.alias("number_error"), d.alias("domain"), c.alias("code"), C.leading_code(F.col("level"), 2)[0].alias("level"))
 
 
-@query("""SELECT doc_id AS k, regexp_replace(trim(lower(strip_accents(substr(text, 1, 200))), ' \t\r' || chr(10) || chr(11) || chr(12)), '\\s+', ' ', 'g') AS folded, CASE WHEN upper(strip_accents(substr(text, 1, 1))) BETWEEN 'A' AND 'Z' THEN upper(strip_accents(substr(text, 1, 1))) ELSE '#' END AS letter,
+@query("""SELECT doc_id AS k, regexp_replace(trim(lower(strip_accents(text)), ' \t\r' || chr(10) || chr(11) || chr(12)), '\\s+', ' ', 'g') AS folded, CASE WHEN upper(strip_accents(substr(text, 1, 1))) BETWEEN 'A' AND 'Z' THEN upper(strip_accents(substr(text, 1, 1))) ELSE '#' END AS letter,
 CASE WHEN length(text) > 40 THEN substr(text, 1, 40) || '…' ELSE text END AS short FROM documents""")
 def folded_texts(spark, sf):
     d = table(spark, sf, "documents")
-    return d.select(F.col("doc_id").alias("k"), C.fold_spaces(F.substring("text", 1, 200)).alias("folded"), C.initial(F.substring("text", 1, 1)).alias("letter"), C.cut(F.col("text"), 40).alias("short"))
+    return d.select(F.col("doc_id").alias("k"), C.fold_spaces(F.col("text")).alias("folded"), C.initial(F.substring("text", 1, 1)).alias("letter"), C.cut(F.col("text"), 40).alias("short"))
 
 
 @query("""WITH sheets AS (SELECT o_custkey AS file, o_orderkey AS k FROM orders), anchor AS (SELECT c_custkey AS file, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE 'N' || CAST(c_nationkey AS VARCHAR) END AS key FROM customer UNION ALL SELECT c_custkey, 'EXTRA' FROM customer WHERE c_custkey % 5 = 0),

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import clean as C
 from ..operators import diff as D
 from ..operators import graph as G
 from ..operators import kpi as K
+from ..sources import sheets
 from ..streaming.intake import intake
 from .registry import query, table
 
@@ -126,8 +124,8 @@ def neighbourhood(spark, sf):
     return G.neighbourhood(edges(spark, sf), F.lit(3), 2)
 
 
-ATT = """ats AS (SELECT c_nationkey AS domain, o_orderkey AS k, o_orderpriority IN ('1-URGENT', '2-HIGH') AS critical, o_orderstatus = 'P' AS structure, o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 48) AS has_source FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 31 <> 0),
-pe AS (SELECT *, CASE WHEN has_source THEN 'none' WHEN critical AND structure THEN 'critical_structure' WHEN critical THEN 'critical' ELSE 'other' END AS category FROM ats), pt AS (SELECT *, CASE category WHEN 'critical_structure' THEN 5 WHEN 'critical' THEN 3 WHEN 'other' THEN 1 ELSE 0 END AS points FROM pe WHERE domain % 8 <> 3 OR k % 40 = 0),
+ATT = """ats AS (SELECT c_nationkey AS domain, o_orderkey AS k, o_orderpriority IN ('1-URGENT', '2-HIGH') AS critical, o_orderstatus = 'P' AS structure, o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 48) AS has_source FROM orders JOIN customer ON o_custkey = c_custkey),
+pe AS (SELECT *, CASE WHEN has_source THEN 'none' WHEN critical AND structure THEN 'critical_structure' WHEN critical THEN 'critical' ELSE 'other' END AS category FROM ats), pt AS (SELECT *, CASE category WHEN 'critical_structure' THEN 5 WHEN 'critical' THEN 3 WHEN 'other' THEN 1 ELSE 0 END AS points FROM pe),
 g AS (SELECT domain, count(*) AS n_attributes, CAST(sum(points) AS BIGINT) AS penalty, count(*) FILTER (category = 'critical_structure') AS n_critical_structure, count(*) FILTER (category = 'critical') AS n_critical, count(*) FILTER (category = 'other') AS n_other, count(*) FILTER (critical) AS n_all_critical,
   count(*) FILTER (critical AND has_source) AS n_covered_critical, count(*) FILTER (has_source) AS n_covered FROM pt GROUP BY 1),
 sc AS (SELECT n_nationkey AS domain, coalesce(n_attributes, 0) AS n_attributes, coalesce(penalty, 0) AS penalty, coalesce(n_critical_structure, 0) AS n_critical_structure, coalesce(n_critical, 0) AS n_critical, coalesce(n_other, 0) AS n_other, coalesce(n_all_critical, 0) AS n_all_critical, coalesce(n_covered_critical, 0) AS n_covered_critical,
@@ -137,8 +135,8 @@ sc AS (SELECT n_nationkey AS domain, coalesce(n_attributes, 0) AS n_attributes,
 def attributes(spark, sf):
     o, c, li = (table(spark, sf, t) for t in ("orders", "customer", "lineitem"))
     sourced = li.filter("l_quantity > 48").select(F.col("l_orderkey").alias("k")).distinct().withColumn("s", F.lit(True))
-    rows = o.filter("o_orderkey % 31 <> 0").join(c, F.expr("o_custkey = c_custkey")).selectExpr("c_nationkey as domain", "o_orderkey as k", "o_orderpriority in ('1-URGENT', '2-HIGH') as critical", "o_orderstatus = 'P' as structure")
-    return rows.join(sourced, "k", "left").withColumn("has_source", F.coalesce("s", F.lit(False))).drop("s").filter("domain % 8 <> 3 or k % 40 = 0")
+    rows = o.join(c, F.expr("o_custkey = c_custkey")).selectExpr("c_nationkey as domain", "o_orderkey as k", "o_orderpriority in ('1-URGENT', '2-HIGH') as critical", "o_orderstatus = 'P' as structure")
+    return rows.join(sourced, "k", "left").withColumn("has_source", F.coalesce("s", F.lit(False))).drop("s")
 
 
 def score_rows(spark, sf):
@@ -293,7 +291,7 @@ def glossary_index(spark, sf):
 @query("SELECT event_id, user_id, event_type, value FROM events")
 def stream_intake(spark, sf):
     """Events through the folder intake, until all are there: the same rows as a batch read gives."""
-    root = f"{spark.conf.get('spark.checkpoint.dir', None) or os.path.abspath('spark-warehouse')}/{uuid.uuid4().hex}"
+    root = sheets.shared_folder(spark)
     columns = ["event_id", "user_id", "event_type", "value"]
     table(spark, sf, "events").select(*columns).repartition(8, "event_id").write.parquet(f"{root}/arriving")
     q = intake(spark, f"{root}/arriving", "event_id bigint, user_id bigint, event_type string, value double", f"{root}/taken", f"{root}/checkpoint", columns, files_per_batch=3)

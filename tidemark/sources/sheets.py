@@ -23,6 +23,12 @@ class Contract:
     widths: dict[str, int] = field(default_factory=dict)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new path in the folder that all machines share."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base}/{uuid.uuid4().hex}"
+
+
 def scan(spark: SparkSession, path: str, contract: Contract, kind: str = "csv", **options: str) -> DataFrame:
     """The declared columns as text with ``_file``; header names are stripped, others ignored, missing ones an error; blank rows go."""
     reader = spark.read.options(**({"header": "true"} if kind == "csv" else {}) | options)

@@ -1,7 +1,7 @@
-"""Folder intake as a stream: each micro-batch gates its files against the load history and appends what is new, once.
+"""Folder intake as a stream: each micro-batch gates its files against the load history and appends those whose content is new, once.
 
-The file source's checkpoint remembers files, the history remembers contents: a batch that is run again finds its own batch id in the
-history's folder name and replaces it, so a retry changes nothing.
+The file source's checkpoint remembers files, the history remembers contents, one row a file: a batch that is run again replaces its own
+folders, so a retry changes nothing. Equal rows inside a file stay.
 """
 
 from __future__ import annotations
@@ -13,18 +13,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
+def contents(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """file, content: a fingerprint of a file's rows in any order (count, sum and mix of their hashes), summed where they are read."""
+    h1, h2 = F.xxhash64(*keys), F.xxhash64(F.lit(1), *keys)
+    sums = [F.count("*"), F.sum(h1.cast("decimal(38,0)")), F.bit_xor(h1), F.sum(h2.cast("decimal(38,0)")), F.bit_xor(h2)]
+    return batch.groupBy("file").agg(F.sha2(F.concat_ws(":", *(s.cast("string") for s in sums)), 256).alias("content"))
+
+
 def intake(spark: SparkSession, folder: str, schema: str, target: str, checkpoint: str, keys: list[str], step: Callable[[DataFrame], DataFrame] | None = None, kind: str = "parquet", files_per_batch: int = 8) -> StreamingQuery:
-    """Reads all files that arrived in ``folder``, in micro-batches, into ``target``; rows whose content hash is there already are left out."""
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).format(kind).load(folder)
+    """Reads all files that arrived in ``folder``, in micro-batches, into ``target``; files whose content came before are left out. The
+    history lies beside the target."""
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).format(kind).load(folder).select("*", F.col("_metadata.file_path").alias("file"))
+    history = f"{target}_history"
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        rows = (step(batch) if step else batch).withColumn("content", F.sha2(F.to_json(F.struct(*keys)), 256)).dropDuplicates(["content"])
         session = batch.sparkSession
-        path = session._jvm.org.apache.hadoop.fs.Path(target)
+        fresh = contents(batch, keys).groupBy("content").agg(F.min("file").alias("file"))
+        path = session._jvm.org.apache.hadoop.fs.Path(history)
         if path.getFileSystem(session._jsc.hadoopConfiguration()).exists(path):
-            have = session.read.parquet(target).filter(F.col("batch") != batch_id).select("content")
-            rows = rows.join(have, "content", "left_anti")
-        # a retried batch writes the same folder anew
-        rows.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+            have = session.read.schema("content string, file string, batch long").parquet(history).filter(F.col("batch") != batch_id)
+            fresh = fresh.join(have.select("content"), "content", "left_anti")
+        rows = batch.join(fresh.select("file"), "file", "left_semi").drop("file")
+        # a retried batch writes the same folders anew, rows first
+        (step(rows) if step else rows).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        fresh.select("content", "file").write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
