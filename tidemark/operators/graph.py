@@ -84,3 +84,14 @@ def uses(links: DataFrame, names: DataFrame, texts: DataFrame) -> DataFrame:
     by_id = links.filter(F.col("state").isin(*DRAWN)).select(F.col("primary_domain_id").alias("domain_id"), F.col("domain_id").alias("used_by"), F.lit("id").alias("how"))
     by_name = texts.join(names, ["name", "domain_name"]).select("domain_id", F.col("origin").alias("used_by"), F.lit("name").alias("how"))
     return by_id.unionByName(by_name).distinct()
+
+
+def states_by_origin(links: DataFrame, states: tuple[str, ...]) -> DataFrame:
+    """domain_id and the number of its links in each state."""
+    return links.groupBy("domain_id").agg(*(F.count_if(F.col("state") == s).alias(s.lower()) for s in states))
+
+
+def counts_by(links: DataFrame, *columns: str) -> DataFrame:
+    """field, value, n of each of the columns; null is an empty text."""
+    told = F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.coalesce(F.col(c).cast("string"), F.lit("")).alias("value")) for c in columns)))
+    return links.select(told.alias("x")).groupBy("x.field", "x.value").agg(F.count("*").alias("n"))

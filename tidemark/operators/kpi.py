@@ -163,3 +163,17 @@ def nested_model(parents: DataFrame, children: DataFrame, keys: list[str], field
 
 def ranked(df: DataFrame, group: str, order: list[Column], name: str = "rank") -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+
+
+def explored(df: DataFrame, chosen: dict[str, list[str]], order: list[Column], number: int, size: int = 100) -> tuple[DataFrame, DataFrame]:
+    """One page of what the facets choose, and a record of the filters with the number of rows and domains found."""
+    found = faceted(df, chosen)
+    record = "; ".join(f"{k}: {', '.join(v)}" for k, v in chosen.items())
+    header = found.agg(F.count("*").alias("n_rows"), F.count_distinct("domain").alias("n_domains")).withColumn("filters", F.lit(record))
+    return page(found, order, number, size), header
+
+
+def groupings(df: DataFrame, columns: list[str]) -> DataFrame:
+    """grouping, value, n, n_overdue: the charts of plans."""
+    told = F.explode(F.array(*(F.struct(F.lit(c).alias("grouping"), F.coalesce(F.col(c).cast("string"), F.lit("")).alias("value")) for c in columns)))
+    return df.select(told.alias("x"), "overdue").groupBy("x.grouping", "x.value").agg(F.count("*").alias("n"), F.count_if("overdue").alias("n_overdue"))

@@ -43,6 +43,13 @@ def retire_duplicates(df: DataFrame, keys: list[str], order: list[Column], end_d
     return retire(keep_latest(df, keys, order), F.col("rank") > 1, end_date)
 
 
+def unpivoted(df: DataFrame, keys: list[str], columns: list[str], formats: tuple[str, ...]) -> DataFrame:
+    """keys, name, day, error: one row for each wide column with a text, dates in any of the shapes."""
+    long = df.unpivot(keys, columns, "name", "text").withColumn("text", F.nullif(F.trim("text"), F.lit(""))).filter("text is not null")
+    day = F.coalesce(*(F.try_to_timestamp("text", F.lit(f)) for f in formats)).cast("date")
+    return long.select(*keys, "name", day.alias("day"), F.when(day.isNull(), F.col("text")).alias("error"))
+
+
 def seed(staged: DataFrame, present: DataFrame, domain: str, keys: list[str], order: list[Column]) -> DataFrame:
     """One row a key, the latest, for domains that have no rows yet."""
     fresh = staged.join(present.select(domain).distinct(), domain, "left_anti")

@@ -56,12 +56,20 @@ def best_effort(df: DataFrame, columns: list[str], targets: DataFrame, names: li
     return df.join(best, [F.col(a) == F.col(f"__{b}") for a, b in zip(columns, names, strict=True)], "left").drop(*(f"__{n}" for n in names))
 
 
-def get_or_create(values: DataFrame, existing: DataFrame, key: str, id_col: str) -> DataFrame:
-    """The dimension with the values that it lacked; new ids go on from the highest, in the order of the values. null is a member too."""
-    fresh = values.select(key).distinct().join(existing.select(F.col(key).alias("__k")), F.col(key).eqNullSafe(F.col("__k")), "left_anti")
+def get_or_create(values: DataFrame, existing: DataFrame, key: str | list[str], id_col: str) -> DataFrame:
+    """The dimension with the keys that it lacked; new ids go on from the highest, in the order of the keys. null is a member too."""
+    keys = [key] if isinstance(key, str) else key
+    known = existing.select(*(F.col(k).alias(f"__{k}") for k in keys))
+    fresh = values.select(*keys).distinct().join(known, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left_anti")
     top = existing.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
-    made = new_ids(fresh, [key], 0, "__id").select((top + F.col("__id")).alias(id_col), key)
-    return existing.select(id_col, key, F.lit(False).alias("created")).unionByName(made.select(F.col(id_col).cast(existing.schema[id_col].dataType), key, F.lit(True).alias("created")))
+    made = new_ids(fresh, keys, 0, "__id").select((top + F.col("__id")).alias(id_col), *keys)
+    return existing.select(id_col, *keys, F.lit(False).alias("created")).unionByName(made.select(F.col(id_col).cast(existing.schema[id_col].dataType), *keys, F.lit(True).alias("created")))
+
+
+def unmatched(staged: DataFrame, plan: DataFrame, keys: list[str]) -> DataFrame:
+    """Staged rows that no step of the plan speaks for, null keys among them."""
+    known = plan.select(*(F.col(k).alias(f"__{k}") for k in keys)).distinct()
+    return staged.join(known, [F.col(k) == F.col(f"__{k}") for k in keys], "left_anti")
 
 
 def latest_per(df: DataFrame, keys: list[str], value: Column, order: list[str], name: str) -> DataFrame:

@@ -65,9 +65,14 @@ def in_slice(key: str, value: Column, by_prefix: bool = False) -> Column:
     return F.startswith(F.col(key), F.concat(value, F.lit("-"))) if by_prefix else F.col(key) == value
 
 
-def replace_slices(current: DataFrame, batch: DataFrame, touched: DataFrame, key: str = "domain") -> DataFrame:
-    """The next snapshot: touched slices come from the batch alone, even where it has none of their rows; the others stay."""
-    return current.join(touched.select(key).distinct(), key, "left_anti").unionByName(batch.join(touched.select(key).distinct(), key, "left_semi"), allowMissingColumns=True)
+def replace_slices(current: DataFrame, batch: DataFrame, touched: DataFrame, key: str = "domain", by_prefix: bool = False) -> DataFrame:
+    """The next snapshot: touched slices come from the batch alone, even where it has none of their rows; the others stay.
+
+    by_prefix: keys are composite codes, whose slice is what stands before the last hyphen.
+    """
+    slice_of = F.regexp_extract(key, "^(.*)-[^-]*$", 1) if by_prefix else F.col(key)
+    slices = touched.select(F.col(touched.columns[0] if by_prefix else key).alias("__slice")).distinct()
+    return current.join(slices, slice_of == F.col("__slice"), "left_anti").unionByName(batch.join(slices, slice_of == F.col("__slice"), "left_semi"), allowMissingColumns=True)
 
 
 def publish_snapshot(df: DataFrame, root: str, partition: str | None = None) -> str:
