@@ -96,23 +96,41 @@ class Texts:
             self.code = np.frombuffer(raw, np.uint8)
         self.n = len(self.code)
 
-    def named(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Anchors that stand in the core of some string, their names and their texts."""
-        c = self.cut
-        places, names = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    def named(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Anchors that stand in the core of some string, their names and their texts; stretches (text, begin, end) of short periods."""
+        c, none = self.cut, np.zeros(0, np.int64)
+        found, periodic = [(none, none, none)], [np.zeros((0, 3), np.int64)]
         for low in range(c.first, self.n - c.after + 1, BLOCK):
             high = min(low + BLOCK, self.n - c.after + 1)
             sums = units.Sums(self.code[low - c.first : high - 1 + c.after])
             g = (sums.hashes(c.gram) >> np.uint64(32)).astype(np.uint32)
             best = sliding(sliding(g, c.span, np.minimum), c.span, np.maximum)
             at = np.flatnonzero(best[1 : 1 + high - low] == g[c.first : c.first + high - low])
-            places.append(at + low)
-            names.append((sums.hashes(c.first + c.after, at) + np.uint64(c.words)).view(np.int64))
-        at, name = np.concatenate(places), np.concatenate(names)
-        # a name lies in one text, and so do the neighbours that make its anchor
-        text = np.searchsorted(self.begin, at, "right") - 1
-        inside = (at - c.first >= self.begin[text]) & (at + c.after <= self.end[text])
-        return at[inside], name[inside], text[inside]
+            name = (sums.hashes(c.first + c.after, at) + np.uint64(c.words)).view(np.int64)
+            at = at + low
+            # a name lies in one text, and so do the neighbours that make its anchor
+            text = np.searchsorted(self.begin, at, "right") - 1
+            inside = (at - c.first >= self.begin[text]) & (at + c.after <= self.end[text])
+            thin, stretches_here = self.thinned(at[inside], name[inside], text[inside])
+            found.append(thin)
+            periodic.append(stretches_here)
+        return *(np.concatenate(x) for x in zip(*found, strict=True)), np.concatenate(periodic)
+
+    def thinned(self, at: np.ndarray, name: np.ndarray, text: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+        """Anchors without the inner ones of long stretches where one name comes again and again at one distance: there the text has a
+        period, so all of the stretch repeats itself, and the anchors near its ends have all tuples that the inner ones have."""
+        c, stays, out = self.cut, np.ones(len(at), bool), []
+        step = np.diff(at)
+        equal = (name[1:] == name[:-1]) & (text[1:] == text[:-1])
+        inner = equal[1:] & equal[:-1] & (step[1:] == step[:-1])
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], inner, [False]]).astype(np.int8)))
+        first, last = edges[::2], edges[1::2] + 1
+        for i, j in zip(*(x[at[last] - at[first] > 4 * c.reach + c.span] for x in (first, last)), strict=True):
+            begin, end, room = at[i] - c.first, at[j] + c.after, c.reach + 2 * step[i]
+            if end - begin >= c.length + step[i]:
+                stays[i : j + 1] &= (at[i : j + 1] <= at[i] + room) | (at[i : j + 1] >= at[j] - room)
+                out.append((text[i], begin - self.begin[text[i]], end - self.begin[text[i]]))
+        return (at[stays], name[stays], text[stays]), np.array(out, np.int64).reshape(-1, 3)
 
 
 def sliding(x: np.ndarray, width: int, f: np.ufunc) -> np.ndarray:
@@ -147,7 +165,7 @@ def name_rows(cuts: tuple[Cut, ...]):
     def f(k1s, k2s, texts):
         raws, k1, k2, rows = [t.encode() for t in texts], np.array(k1s, np.int64), np.array(k2s, np.int64), []
         for cut in cuts:
-            _, names, text = Texts(raws, cut).named()
+            _, names, text, _ = Texts(raws, cut).named()
             order = np.lexsort((names, text))
             names, text = names[order], text[order]
             first = np.flatnonzero(np.append(True, (names[1:] != names[:-1]) | (text[1:] != text[:-1]))) if len(names) else order
@@ -167,7 +185,7 @@ def binaries(rows: np.ndarray, counts: np.ndarray) -> pa.Array:
 def tuple_columns(x: Texts, repeated: np.ndarray):
     """Blocks of (text, name, base, least, most, left, right); name is null and sides are empty for what is settled."""
     c, reach = x.cut, x.cut.reach
-    at, names, text = x.named()
+    at, names, text, periodic = x.named()
     shared = np.isin(names, repeated)
     # strings of an anchor start at base - least to base - most; those whose core holds a name that occurs once are ruled out
     gap = np.minimum(np.diff(at, prepend=-reach - 1), reach + 1)
@@ -195,10 +213,10 @@ def tuple_columns(x: Texts, repeated: np.ndarray):
         i = i[stays]
         yield text[i], pa.array(names[i]), at[i] - c.first - x.begin[text[i]], least[i], most[i], binaries(left[stays], n_left[i]), binaries(right[stays], n_right[i])
     sure = np.array(sure, np.int64)
-    for t in np.unique(text[sure]).tolist():
-        i = sure[text[sure] == t]
-        base = at[i] - c.first - x.begin[t]
-        begin, end = merged(base - most[i], base - least[i] + c.length)
+    base = at[sure] - c.first - x.begin[text[sure]]
+    told = np.concatenate([np.stack([text[sure], base - most[sure], base - least[sure] + c.length], 1), periodic])
+    for t in np.unique(told[:, 0]).tolist():
+        begin, end = merged(*told[told[:, 0] == t, 1:].T)
         empty = pa.array([b""] * len(begin), pa.binary())
         yield np.full(len(begin), t), pa.nulls(len(begin), pa.int64()), end - c.length, np.zeros(len(begin), int), end - c.length - begin, empty, empty
 
