@@ -53,7 +53,6 @@ def rotate(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", rol
     part, own = Window.partitionBy("conv_id", "part").orderBy("at"), Window.partitionBy("conv_id", "part", "speaker").orderBy("at")
     saved = F.length("head") - F.length(own_head)
     said = said.withColumn("end", F.sum(F.length("head") + F.length("body")).over(part) - F.sum(saved).over(own) - 1)
-    said = common.written(said)
     spans = F.array_sort(F.collect_list(F.struct(F.col("end"), (F.length("body") - 1).alias("n"))))
     masks = said.groupBy("conv_id", "part", "speaker").agg(spans.alias("masked")).select(F.col("conv_id").alias("m_conv"), F.col("part").alias("m_part"), F.col("speaker").alias("m_speaker"), "masked")
     speakers = said.filter(~F.col("speaker").isin(*system)).groupBy("conv_id", F.col("speaker").alias("perspective")).agg(F.lit(1).alias("one"))
