@@ -162,9 +162,6 @@ def all_relations(spark, sf):
     return drawn.unionByName(R.problems(told).select("id", "state", F.lit(False).alias("drawn")))
 
 
-SRC_OLD = "old AS (SELECT l_orderkey AS k, l_linenumber % 2 AS f, l_orderkey * 100 + l_linenumber AS id, CAST(l_shipdate AS DATE) AS d, l_quantity AS q FROM lineitem WHERE l_linenumber < 3 AND l_orderkey % 5 <> 0)"
-
-
 @query("""WITH o AS (SELECT o_orderkey AS k, o_orderkey * 10 AS id, CAST(o_orderdate AS DATE) AS d, o_totalprice AS price FROM orders WHERE o_orderkey % 5 <> 0), n AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 2 = 0 THEN 'b' ELSE 'a' END AS formula, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 - 1 AS INTEGER) AS d, o_totalprice + o_orderkey % 2 AS price FROM orders WHERE o_orderkey % 7 <> 0),
 p AS (SELECT coalesce(o.k, n.k) AS k, CASE WHEN o.k IS NOT NULL AND n.k IS NOT NULL THEN '' WHEN o.k IS NULL THEN formula ELSE 'a' END AS formula_key, o.id, CASE WHEN o.k IS NULL THEN 'INSERT' WHEN n.k IS NULL THEN 'DELETE' WHEN n.d = o.d THEN 'UPDATE' WHEN n.d > o.d THEN 'REPLACE' ELSE 'SKIP_DATE_REGRESSED' END AS a, o.price AS op, n.price AS np, o.d AS od, n.d AS nd FROM o FULL JOIN n USING (k))
 SELECT id, k, formula_key, CASE WHEN a = 'UPDATE' THEN np ELSE op END AS price, a NOT IN ('REPLACE', 'DELETE') AS active, CASE WHEN a = 'UPDATE' AND op = np THEN 'UNCHANGED' ELSE a END AS action FROM p WHERE a <> 'INSERT' UNION ALL SELECT NULL, k, formula_key, np, true, a || '_NEW' FROM p WHERE a IN ('INSERT', 'REPLACE')""")
@@ -301,7 +298,7 @@ def dotted_order(spark, sf):
 def score_ranking(spark, sf):
     n = F.count_if(F.col("c_acctbal") > 9000)
     scores = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("domain")).agg(F.when(n > 0, n).alias("score"))
-    return M.new_ids(scores, ["no_score", "score", "domain"], name="place") if "no_score" in scores.columns else M.new_ids(scores.withColumn("no_score", F.col("score").isNull()), ["no_score", "score", "domain"], name="place").drop("no_score")
+    return M.new_ids(scores.withColumn("no_score", F.col("score").isNull()), ["no_score", "score", "domain"], name="place").drop("no_score")
 
 
 @query("""WITH c AS (SELECT c_mktsegment AS value, count(*) AS n FROM customer GROUP BY 1) SELECT value, n, row_number() OVER (ORDER BY n DESC, value) AS by_count, row_number() OVER (ORDER BY coalesce(list_position(['MACHINERY', 'BUILDING'], value), 3), value) AS by_list FROM c""")
