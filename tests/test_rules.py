@@ -1,6 +1,8 @@
 """Fixed cases of the rules, on hand-made rows."""
 
 import datetime as dt
+import random
+from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
@@ -122,6 +124,45 @@ def test_compare_lists(spark):
     assert got == {("Crítico", "EQUIVALENT", "CRITICO"), ("Mediaa", "TYPO", "Media"), ("Nuevo", "MISSING", None), ("Otro dato", "EXTRA", None)}
 
 
+def walked(template, catalogue, ratio=0.75):
+    """One group's comparison by walking its lists, on folded values."""
+    known, like = sorted(set(catalogue)), lambda v: v.strip().lower()
+    listed = {}
+    for pos, v in template:
+        listed[v] = min(pos, listed.get(v, pos))
+    rest, out = [v for v in known if v not in listed], set()
+    for v in sorted((v for v in listed if v not in known), key=lambda v: (listed[v], v)):
+        same = next((r for r in rest if like(r) == like(v)), None)
+        scored = [] if same else [(SequenceMatcher(None, like(v), like(r)).ratio(), r) for r in rest]
+        best = max(scored, key=lambda s: s[0], default=(0, None))
+        partner, status = (same, "EQUIVALENT") if same else (best[1], "TYPO") if best[0] >= ratio else (None, "MISSING")
+        if partner:
+            rest.remove(partner)
+        out.add((v, status, partner))
+    return out | {(v, "EXTRA", None) for v in rest}
+
+
+def test_compare_lists_like_a_walk(spark):
+    r = random.Random(11)
+    text = lambda: "".join(r.choice("abAB") for _ in range(r.randrange(1, 6))) if r.random() < 0.5 else "".join(r.choice("abcdefgh ") for _ in range(r.randrange(6, 30))).strip() + "x"
+
+    def edited(v):
+        at = r.randrange(len(v) + 1)
+        return r.choice([v[:at] + v[at + 1 :], v[:at] + "z" + v[at:], v.upper(), v[::-1], v]) or "q"
+
+    template, catalogue = {}, {}
+    for g in ("g", "h", "i"):
+        catalogue[g] = [text() for _ in range(60)]
+        template[g] = [(r.randrange(40), edited(v)) for v in catalogue[g] for _ in range(2)]
+    left = spark.createDataFrame([(g, v, p) for g, x in template.items() for p, v in x], "group string, value string, pos long")
+    right = spark.createDataFrame([(g, v) for g, x in catalogue.items() for v in x], "group string, value string")
+    got = {(x.group, x.value, x.status, x.partner) for x in diff.compare_lists(left, right).collect()}
+    assert got == {(g, *x) for g in template for x in walked(template[g], catalogue[g])}
+    assert {x[2] for x in got} == {"EQUIVALENT", "TYPO", "MISSING", "EXTRA"}
+    nothing = spark.createDataFrame([], left.schema)
+    assert diff.compare_lists(nothing, right).count() == right.distinct().count() and diff.compare_lists(left, nothing.drop("pos")).count() == 0
+
+
 def test_controlled_lookup_ignores_case_and_accents(spark):
     df = spark.createDataFrame([(1, "critico"), (2, None), (3, "nada")], "k int, v string")
     catalogue = spark.createDataFrame([("Crítico", 7), ("CRÍTICO", 9)], "text string, id int")

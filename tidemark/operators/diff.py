@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from difflib import SequenceMatcher
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.clean import cut, fold
+from ..sources.sheets import shared_folder
 
 
 def snapshot(df: DataFrame, entity: str, keys: list[str], label: Column, fields: list[str], tie_break: str | None = None) -> DataFrame:
@@ -61,32 +62,86 @@ def shortened(df: DataFrame, limits: dict[str, int]) -> DataFrame:
 def compare_lists(template: DataFrame, catalogue: DataFrame, ratio: float = 0.75) -> DataFrame:
     """group, value, status, partner: MISSING in the catalogue, EXTRA there, EQUIVALENT but for case and accents, or possible TYPO.
 
-    template: group, value, pos; catalogue: group, value. Exact matches go first, by joins. What is left of a group, its few odd values,
-    is walked in list order: an equivalent partner first, else the closest at ``ratio`` or more; each partner serves once.
+    template: group, value, pos; catalogue: group, value. Exact matches go first, by joins. Of what is left, the template's values choose
+    in list order: an equivalent partner first, else the closest at ``ratio`` or more; each partner serves once.
     Groups without any catalogue report nothing; the blank marker never counts.
     """
     listed = template.filter("value is not null and value <> '-'").groupBy("group", "value").agg(F.min("pos").alias("pos"))
     known = catalogue.filter("value is not null").select("group", "value").distinct()
-    missing = listed.join(known, ["group", "value"], "left_anti").join(known.select("group").distinct(), "group", "left_semi")
-    extra = known.join(listed, ["group", "value"], "left_anti")
-    odd = missing.withColumn("side", F.lit("T")).unionByName(extra.withColumn("pos", F.lit(None).cast("long")).withColumn("side", F.lit("C")))
-    odd = odd.withColumn("folded", fold(F.col("value")))
-
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        rest = rows[rows.side == "C"].sort_values("value")[["value", "folded"]].values.tolist()
-        for value, folded in rows[rows.side == "T"].sort_values(["pos", "value"])[["value", "folded"]].values.tolist():
-            same = next((r for r in rest if r[1] == folded), None)
-            scored = [] if same else [(SequenceMatcher(None, folded, r[1]).ratio(), r) for r in rest]
-            best = max(scored, key=lambda s: s[0], default=(0, None))
-            partner, status = (same, "EQUIVALENT") if same else (best[1], "TYPO") if best[0] >= ratio else (None, "MISSING")
-            if partner:
-                rest.remove(partner)
-            out.append((rows["group"].iloc[0], value, status, partner[0] if partner else None))
-        out += [(rows["group"].iloc[0], v, "EXTRA", None) for v, _ in rest]
-        return pd.DataFrame(out, columns=["group", "value", "status", "partner"])
-
-    return odd.groupBy("group").applyInPandas(walk, "group string, value string, status string, partner string")
+    missing = listed.join(known, ["group", "value"], "left_anti").join(known.select("group").distinct(), "group", "left_semi").withColumn("folded", fold(F.col("value")))
+    extra = known.join(listed, ["group", "value"], "left_anti").select("group", F.col("value").alias("partner"), fold(F.col("value")).alias("like"))
+    scored = close_texts(missing.select("group", "folded"), extra.select("group", F.col("like").alias("folded")), ratio)
+    pairs = missing.join(scored, ["group", "folded"]).join(extra, ["group", "like"]).select("group", "value", "pos", "partner", "score", (F.col("folded") == F.col("like")).alias("same"))
+    chosen = first_come(pairs)
+    status = F.when(F.col("partner").isNull(), "MISSING").when(F.col("same"), "EQUIVALENT").otherwise("TYPO")
+    told = missing.join(chosen, ["group", "value"], "left").select("group", "value", status.alias("status"), "partner")
+    unused = extra.join(chosen, ["group", "partner"], "left_anti").select("group", F.col("partner").alias("value"), F.lit("EXTRA").alias("status"), F.lit(None).cast("string").alias("partner"))
+    return told.unionByName(unused)
+
+
+def rare_letters(texts: DataFrame, ratio: float) -> DataFrame:
+    """group, folded, n (letters), letters (sorted, numbered where they repeat), key: every two of the text's rarest letters in its group.
+
+    A ratio of r between texts of n and m letters takes r * (n + m) / 2 common letters, so m >= r / (2 - r) * n and at least
+    r / (2 - r) * n of a text's letters are common: two texts that close have at least two letters in common among as many of their
+    rarest ones as are left over beside these, and two more.
+    """
+    letters = F.expr("array_sort(transform(sequence(1, length(folded)), i -> substring(folded, i, 1)))")
+    numbered = F.transform(letters, lambda c, i: F.concat(c, (i - F.array_position(letters, c) + 1).cast("string")))
+    told = texts.filter("length(folded) > 1").distinct().select("group", "folded", F.length("folded").alias("n"), numbered.alias("letters"))
+    each = told.select("group", "folded", "n", F.explode("letters").alias("letter"))
+    counts = each.groupBy("group", "letter").agg(F.count("*").alias("times"))
+    first = F.col("n") - F.greatest(F.lit(2), F.ceil(F.col("n") * ratio / (2 - ratio) - 1e-9)) + 2
+    ranked = each.join(counts, ["group", "letter"]).groupBy("group", "folded", "n").agg(F.array_sort(F.collect_list(F.struct("times", "letter"))).alias("by"))
+    rare = ranked.select("group", "folded", F.slice("by.letter", 1, first.cast("int")).alias("rare"))
+    two = F.explode(F.expr("flatten(transform(rare, (x, i) -> transform(slice(rare, i + 2, size(rare)), y -> concat_ws('\u0000', x, y))))"))
+    return rare.select("group", "folded", two.alias("key")).join(told, ["group", "folded"])
+
+
+def close_texts(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
+    """group, folded (of left), like (of right), score: pairs of equal texts (score 1) and of texts whose ratio reaches ``ratio``.
+
+    left, right: group, folded. Only texts that share a key of ``rare_letters`` meet; lengths and common letters are counted before the
+    ratio itself is taken, in batches of pairs. ratio: 2 / 3 at least.
+    """
+    if not 2 / 3 <= ratio <= 1:
+        raise ValueError("ratio: from 2 / 3 to 1")
+    equal = left.distinct().join(right.distinct(), ["group", "folded"]).select("group", "folded", F.col("folded").alias("like"), F.lit(1.0).alias("score"))
+    # one order of letters for both sides: they are keyed together
+    keyed = rare_letters(left.select("group", "folded").union(right.select("group", "folded")), ratio)
+    l = keyed.join(left.distinct(), ["group", "folded"], "left_semi").alias("l")  # noqa: E741
+    r = keyed.join(right.distinct(), ["group", "folded"], "left_semi").alias("r")
+    keys = [F.col("l.group") == F.col("r.group"), F.col("l.key") == F.col("r.key"), F.col("l.folded") != F.col("r.folded")]
+    enough = F.lit(ratio) * (F.col("l.n") + F.col("r.n")) / 2 - 1e-9
+    met = l.join(r, [*keys, F.least("l.n", "r.n") >= enough, F.size(F.array_intersect("l.letters", "r.letters")) >= enough])
+    met = met.select(F.col("l.group").alias("group"), F.col("l.folded").alias("folded"), F.col("r.folded").alias("like")).distinct()
+
+    def score(batches):
+        for b in batches:
+            b["score"] = [SequenceMatcher(None, x, y).ratio() for x, y in zip(b["folded"], b["like"], strict=True)]
+            yield b
+
+    scored = met.mapInPandas(score, StructType([*met.schema, StructField("score", DoubleType())]))
+    return equal.unionByName(scored.filter(F.col("score") >= ratio))
+
+
+def first_come(pairs: DataFrame) -> DataFrame:
+    """Of pairs (group, value, pos, partner, score, ...) those that come about if values choose the best partner left, by pos and value.
+
+    A value gets its best partner as soon as no earlier value could take it. Each round settles all such values at once; the pairs left
+    are cut from their lineage by checkpoint().
+    """
+    best = Window.partitionBy("group", "value").orderBy(F.desc("score"), "partner")
+    first = Window.partitionBy("group", "partner").orderBy("pos", "value")
+    context = pairs.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(pairs.sparkSession))
+    left, settled = pairs.checkpoint(), pairs.limit(0)
+    while not left.isEmpty():
+        now = left.withColumns({"best": F.row_number().over(best), "first": F.row_number().over(first)}).filter("best = 1 and first = 1").select(*pairs.columns).checkpoint()
+        settled = settled.unionByName(now)
+        left = left.join(now, ["group", "value"], "left_anti").join(now, ["group", "partner"], "left_anti").checkpoint()
+    return settled
 
 
 def list_states(compared: DataFrame, groups: DataFrame) -> DataFrame:
