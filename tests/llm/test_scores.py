@@ -135,7 +135,7 @@ def brute_verdicts(rows):
                     if below * 100 >= total * q:
                         return top(b)
 
-            beyond |= feats[k][f] > at(quality.UPPER) + quality.FENCE * (at(quality.UPPER) - at(50)) + slack
+            beyond |= feats[k][f] > at(50) + quality.FENCE * (at(50) - at(quality.LOWER)) + slack
         out.append(str((i, failed, not failed and not beyond)))
     return sorted(out)
 
@@ -149,6 +149,14 @@ def test_verdicts(make, empty):
     assert quality.assess(empty).count() == 0
 
 
+def test_junk_does_not_move_its_own_fence(spark):
+    """40 of 100 documents of a source are full of symbols: they go, the clean ones stay."""
+    clean = [words(60, k) for k in range(60)]
+    junk = [" ".join(w + "#$%"[: 1 + n % 3] for n, w in enumerate(words(60, 100 + k).split())) for k in range(40)]
+    df = spark.createDataFrame([(k, t, "en", "s") for k, t in enumerate(clean + junk)], "doc_id long, text string, lang string, source string")
+    assert sorted(r.doc_id for r in quality.assess(df).filter("kept").collect()) == list(range(60))
+
+
 def test_sketches_merge(make):
     df = make(quality_texts())
     m = quality.measures(df)

@@ -43,11 +43,11 @@ WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text
 ), v AS (SELECT lang, source, feature, bucket, sum(weight) AS weight FROM u GROUP BY 1, 2, 3, 4
 ), p AS (SELECT *, sum(weight) OVER (PARTITION BY lang, source, feature ORDER BY bucket) AS below, sum(weight) OVER (PARTITION BY lang, source, feature) AS whole FROM v
 ), q AS (
-    SELECT lang, source, feature, min(top) FILTER (below * 100 >= whole * {quality.UPPER}) AS high, min(top) FILTER (below * 100 >= whole * 50) AS middle
+    SELECT lang, source, feature, min(top) FILTER (below * 100 >= whole * {quality.LOWER}) AS low, min(top) FILTER (below * 100 >= whole * 50) AS middle
     FROM (SELECT *, CASE WHEN bucket < 32 THEN bucket ELSE ((bucket % 16 + 17) << CAST(bucket // 16 - 1 AS BIGINT)) - 1 END AS top FROM p) GROUP BY ALL
 ), e AS (
     SELECT id, f.feature FROM f JOIN q ON f.lang IS NOT DISTINCT FROM q.lang AND f.source IS NOT DISTINCT FROM q.source AND f.feature = q.feature
-    WHERE v > high + {quality.FENCE} * (high - middle) + CASE f.feature {SLACK} END
+    WHERE v > middle + {quality.FENCE} * (middle - low) + CASE f.feature {SLACK} END
 ), b AS (SELECT id, string_agg(feature, ',' ORDER BY list_position({list(quality.FEATURES)}, feature)) AS beyond FROM e GROUP BY 1
 ), r AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m LEFT JOIN b USING (id))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND beyond IS NULL AS kept, coalesce(beyond, '') AS beyond FROM r

@@ -7,10 +7,12 @@
    scaled to one document, so that small groups lean on their language.
 4. The measures are joined with the thresholds and filtered.
 
-A document that passes the base rules is kept unless a measure lies beyond its group's fence: the upper quantile plus ``FENCE`` times the
-distance from the median to it, plus a small slack of that measure. Fences follow the bulk of each group, so clean documents stay.
+A document that passes the base rules is kept unless a measure lies beyond its group's fence: the median plus ``FENCE`` times its distance
+from the lower quantile, plus a slack of that measure (what clean texts show where most documents show nothing). Junk lies at the upper
+end, so it doesn't move the fence much before it makes up half of a group.
 
 Null text: no words, so the base rules reject it. Null language or source: a group of its own. Repeated rows count as often as they come.
+An empty table gives no rows. A text is measured whole, in memory that grows with it.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ MEASURES = {
 WINDOW = 8
 #: Measures per thousand (or hundredths), with the slack that a group's fence gets in any case.
 FEATURES = {"symbols": 20, "dup_lines": 400, "repeat_words": 300, "upper": 150, "word_length": 100}
-UPPER, FENCE, PRIOR = 75, 4, 50
+LOWER, FENCE, PRIOR = 25, 8, 50
 #: Groups whose thresholds may be broadcast; with more of them the join shuffles.
 BROADCAST_GROUPS = 10_000
 
@@ -122,8 +124,8 @@ def thresholds(sketches: DataFrame) -> DataFrame:
     top = F.expr("if(bucket < 32, bucket, shiftleft(bucket % 16 + 17, cast(bucket div 16 - 1 as int)) - 1)")
     at = lambda q: F.min(F.when(F.col("below") * 100 >= F.col("all") * q, top))
     slack = F.create_map(*(F.lit(x) for kv in FEATURES.items() for x in kv))
-    fences = placed.groupBy("language", "origin", "feature").agg(at(UPPER).alias("high"), at(50).alias("middle"))
-    fences = fences.withColumn("fence", F.col("high") + FENCE * (F.col("high") - F.col("middle")) + slack[F.col("feature")])
+    fences = placed.groupBy("language", "origin", "feature").agg(at(LOWER).alias("low"), at(50).alias("middle"))
+    fences = fences.withColumn("fence", F.col("middle") + FENCE * (F.col("middle") - F.col("low")) + slack[F.col("feature")])
     return fences.groupBy("language", "origin").agg(*(F.max(F.when(F.col("feature") == k, F.col("fence"))).alias(f"{k}_fence") for k in FEATURES))
 
 
