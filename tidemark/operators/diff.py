@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from difflib import SequenceMatcher
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -70,6 +70,8 @@ def compare_lists(template: DataFrame, catalogue: DataFrame, ratio: float = 0.75
     known = catalogue.filter("value is not null").select("group", "value").distinct()
     missing = listed.join(known, ["group", "value"], "left_anti").join(known.select("group").distinct(), "group", "left_semi").withColumn("folded", fold(F.col("value")))
     extra = known.join(listed, ["group", "value"], "left_anti").select("group", F.col("value").alias("partner"), fold(F.col("value")).alias("like"))
+    keep_checkpoints(template.sparkSession)
+    missing, extra = missing.checkpoint(), extra.checkpoint()
     scored = close_texts(missing.select("group", "folded"), extra.select("group", F.col("like").alias("folded")), ratio)
     pairs = missing.join(scored, ["group", "folded"]).join(extra, ["group", "like"]).select("group", "value", "pos", "partner", "score", (F.col("folded") == F.col("like")).alias("same"))
     chosen = first_come(pairs)
@@ -79,23 +81,33 @@ def compare_lists(template: DataFrame, catalogue: DataFrame, ratio: float = 0.75
     return told.unionByName(unused)
 
 
+def keep_checkpoints(spark: SparkSession) -> None:
+    """Where spark.checkpoint.dir is unset, checkpoints go to a new folder in the shared one."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def letters(text: Column) -> Column:
+    """A text's letters in order, numbered where they repeat."""
+    told = F.array_sort(F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substring(text, i, F.lit(1))))
+    return F.transform(told, lambda c, i: F.concat(c, (i - F.array_position(told, c) + 1).cast("string")))
+
+
 def rare_letters(texts: DataFrame, ratio: float) -> DataFrame:
-    """group, folded, n (letters), letters (sorted, numbered where they repeat), key: every two of the text's rarest letters in its group.
+    """group, folded, key: every two of the text's rarest letters in its group.
 
     A ratio of r between texts of n and m letters takes r * (n + m) / 2 common letters, so m >= r / (2 - r) * n and at least
     r / (2 - r) * n of a text's letters are common: two texts that close have at least two letters in common among as many of their
     rarest ones as are left over beside these, and two more.
     """
-    letters = F.expr("array_sort(transform(sequence(1, length(folded)), i -> substring(folded, i, 1)))")
-    numbered = F.transform(letters, lambda c, i: F.concat(c, (i - F.array_position(letters, c) + 1).cast("string")))
-    told = texts.filter("length(folded) > 1").distinct().select("group", "folded", F.length("folded").alias("n"), numbered.alias("letters"))
-    each = told.select("group", "folded", "n", F.explode("letters").alias("letter"))
+    each = texts.filter("length(folded) > 1").distinct().select("group", "folded", F.explode(letters(F.col("folded"))).alias("letter"))
     counts = each.groupBy("group", "letter").agg(F.count("*").alias("times"))
-    first = F.col("n") - F.greatest(F.lit(2), F.ceil(F.col("n") * ratio / (2 - ratio) - 1e-9)) + 2
-    ranked = each.join(counts, ["group", "letter"]).groupBy("group", "folded", "n").agg(F.array_sort(F.collect_list(F.struct("times", "letter"))).alias("by"))
+    n = F.length("folded")
+    first = n - F.greatest(F.lit(2), F.ceil(n * ratio / (2 - ratio) - 1e-9)) + 2
+    ranked = each.join(counts, ["group", "letter"]).groupBy("group", "folded").agg(F.array_sort(F.collect_list(F.struct("times", "letter"))).alias("by"))
     rare = ranked.select("group", "folded", F.slice("by.letter", 1, first.cast("int")).alias("rare"))
     two = F.explode(F.expr("flatten(transform(rare, (x, i) -> transform(slice(rare, i + 2, size(rare)), y -> concat_ws('\u0000', x, y))))"))
-    return rare.select("group", "folded", two.alias("key")).join(told, ["group", "folded"])
+    return rare.select("group", "folded", two.alias("key"))
 
 
 def close_texts(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
@@ -111,10 +123,11 @@ def close_texts(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
     keyed = rare_letters(left.select("group", "folded").union(right.select("group", "folded")), ratio)
     l = keyed.join(left.distinct(), ["group", "folded"], "left_semi").alias("l")  # noqa: E741
     r = keyed.join(right.distinct(), ["group", "folded"], "left_semi").alias("r")
-    keys = [F.col("l.group") == F.col("r.group"), F.col("l.key") == F.col("r.key"), F.col("l.folded") != F.col("r.folded")]
-    enough = F.lit(ratio) * (F.col("l.n") + F.col("r.n")) / 2 - 1e-9
-    met = l.join(r, [*keys, F.least("l.n", "r.n") >= enough, F.size(F.array_intersect("l.letters", "r.letters")) >= enough])
-    met = met.select(F.col("l.group").alias("group"), F.col("l.folded").alias("folded"), F.col("r.folded").alias("like")).distinct()
+    enough = F.lit(ratio) * (F.length("l.folded") + F.length("r.folded")) / 2 - 1e-9
+    keys = [F.col("l.group") == F.col("r.group"), F.col("l.key") == F.col("r.key"), F.col("l.folded") != F.col("r.folded"), F.least(F.length("l.folded"), F.length("r.folded")) >= enough]
+    met = l.join(r, keys).select(F.col("l.group").alias("group"), F.col("l.folded").alias("folded"), F.col("r.folded").alias("like")).distinct()
+    common = F.size(F.array_intersect(letters(F.col("folded")), letters(F.col("like"))))
+    met = met.filter(common >= F.lit(ratio) * (F.length("folded") + F.length("like")) / 2 - 1e-9)
 
     def score(batches):
         for b in batches:
@@ -133,14 +146,13 @@ def first_come(pairs: DataFrame) -> DataFrame:
     """
     best = Window.partitionBy("group", "value").orderBy(F.desc("score"), "partner")
     first = Window.partitionBy("group", "partner").orderBy("pos", "value")
-    context = pairs.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_folder(pairs.sparkSession))
-    left, settled = pairs.checkpoint(), pairs.limit(0)
-    while not left.isEmpty():
-        now = left.withColumns({"best": F.row_number().over(best), "first": F.row_number().over(first)}).filter("best = 1 and first = 1").select(*pairs.columns).checkpoint()
+    keep_checkpoints(pairs.sparkSession)
+    told = lambda left: left.select(*pairs.columns, ((F.row_number().over(best) == 1) & (F.row_number().over(first) == 1)).alias("won")).checkpoint()
+    marked, settled = told(pairs), pairs.limit(0)
+    # while pairs are left, the first of all values wins
+    while not (now := marked.filter("won").drop("won")).isEmpty():
         settled = settled.unionByName(now)
-        left = left.join(now, ["group", "value"], "left_anti").join(now, ["group", "partner"], "left_anti").checkpoint()
+        marked = told(marked.filter("not won").join(now, ["group", "value"], "left_anti").join(now, ["group", "partner"], "left_anti"))
     return settled
 
 
