@@ -2,7 +2,7 @@
 
 import datetime as dt
 import random
-from difflib import SequenceMatcher
+from difflib import get_close_matches
 
 from pyspark.sql import functions as F
 
@@ -125,17 +125,17 @@ def test_compare_lists(spark):
 
 
 def walked(template, catalogue, ratio=0.75):
-    """One group's comparison by walking its lists, on folded values."""
-    known, like = sorted(set(catalogue)), lambda v: v.strip().lower()
+    """One group's comparison by walking its lists, on folded values: an equivalent one, else the closest match that is left."""
+    known, like = sorted(set(catalogue)), lambda v: " ".join(v.lower().split())
     listed = {}
     for pos, v in template:
         listed[v] = min(pos, listed.get(v, pos))
     rest, out = [v for v in known if v not in listed], set()
     for v in sorted((v for v in listed if v not in known), key=lambda v: (listed[v], v)):
         same = next((r for r in rest if like(r) == like(v)), None)
-        scored = [] if same else [(SequenceMatcher(None, like(v), like(r)).ratio(), r) for r in rest]
-        best = max(scored, key=lambda s: s[0], default=(0, None))
-        partner, status = (same, "EQUIVALENT") if same else (best[1], "TYPO") if best[0] >= ratio else (None, "MISSING")
+        named = {like(r): r for r in rest}
+        close = [] if same else get_close_matches(like(v), list(named), n=1, cutoff=ratio)
+        partner, status = (same, "EQUIVALENT") if same else (named[close[0]], "TYPO") if close else (None, "MISSING")
         if partner:
             rest.remove(partner)
         out.add((v, status, partner))
@@ -163,6 +163,25 @@ def test_compare_lists_like_a_walk(spark):
     assert diff.compare_lists(nothing, right).count() == right.distinct().count() and diff.compare_lists(left, nothing.drop("pos")).count() == 0
 
 
+def test_equally_close_values_take_a_fixed_number_of_jobs(spark):
+    """A thousand values that are all as close to each other's partners, and a long chain."""
+
+    def jobs(n):
+        template = [("g", f"item {k:04d}x", k) for k in range(n)] + [("chain", "ab" * k + "c", k) for k in range(4, 40)]
+        catalogue = [("g", f"item {k:04d}y") for k in range(n)] + [("chain", "ab" * k + "d") for k in range(4, 40)]
+        left, right = spark.createDataFrame(template, "group string, value string, pos long"), spark.createDataFrame(catalogue, "group string, value string")
+        mark = f"lists-{n}"
+        spark.sparkContext.setJobGroup(mark, mark)
+        got = {(r.group, r.value, r.status, r.partner) for r in diff.compare_lists(left, right).collect()}
+        done = len(spark.sparkContext.statusTracker().getJobIdsForGroup(mark))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert got == {(g, *x) for g in ("g", "chain") for x in walked([(p, v) for h, v, p in template if h == g], [v for h, v in catalogue if h == g])}
+        return done
+
+    few, many = jobs(10), jobs(250)
+    assert many <= few + 6
+
+
 def test_controlled_lookup_ignores_case_and_accents(spark):
     df = spark.createDataFrame([(1, "critico"), (2, None), (3, "nada")], "k int, v string")
     catalogue = spark.createDataFrame([("Crítico", 7), ("CRÍTICO", 9)], "text string, id int")

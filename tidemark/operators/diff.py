@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ..functions.clean import cut, fold
+from ..functions.clean import cut, fold_spaces
 from ..sources.sheets import shared_folder
 
 
@@ -63,17 +63,18 @@ def compare_lists(template: DataFrame, catalogue: DataFrame, ratio: float = 0.75
     """group, value, status, partner: MISSING in the catalogue, EXTRA there, EQUIVALENT but for case and accents, or possible TYPO.
 
     template: group, value, pos; catalogue: group, value. Exact matches go first, by joins. Of what is left, the template's values choose
-    in list order: an equivalent partner first, else the closest at ``ratio`` or more; each partner serves once.
-    Groups without any catalogue report nothing; the blank marker never counts.
+    in list order: an equivalent partner first, else the closest at ``ratio`` or more, of equally close ones the last in order; each
+    partner serves once. Groups without any catalogue report nothing; the blank marker never counts.
     """
     listed = template.filter("value is not null and value <> '-'").groupBy("group", "value").agg(F.min("pos").alias("pos"))
     known = catalogue.filter("value is not null").select("group", "value").distinct()
-    missing = listed.join(known, ["group", "value"], "left_anti").join(known.select("group").distinct(), "group", "left_semi").withColumn("folded", fold(F.col("value")))
-    extra = known.join(listed, ["group", "value"], "left_anti").select("group", F.col("value").alias("partner"), fold(F.col("value")).alias("like"))
+    missing = listed.join(known, ["group", "value"], "left_anti").join(known.select("group").distinct(), "group", "left_semi").withColumn("folded", fold_spaces(F.col("value")))
+    extra = known.join(listed, ["group", "value"], "left_anti").select("group", F.col("value").alias("partner"), fold_spaces(F.col("value")).alias("like"))
     keep_checkpoints(template.sparkSession)
     missing, extra = missing.checkpoint(), extra.checkpoint()
     scored = close_texts(missing.select("group", "folded"), extra.select("group", F.col("like").alias("folded")), ratio)
-    pairs = missing.join(scored, ["group", "folded"]).join(extra, ["group", "like"]).select("group", "value", "pos", "partner", "score", (F.col("folded") == F.col("like")).alias("same"))
+    same = F.col("folded") == F.col("like")
+    pairs = missing.join(scored, ["group", "folded"]).join(extra, ["group", "like"]).select("group", "value", "pos", "partner", "like", "score", same.alias("same"))
     chosen = first_come(pairs)
     status = F.when(F.col("partner").isNull(), "MISSING").when(F.col("same"), "EQUIVALENT").otherwise("TYPO")
     told = missing.join(chosen, ["group", "value"], "left").select("group", "value", status.alias("status"), "partner")
@@ -87,73 +88,121 @@ def keep_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
-def letters(text: Column) -> Column:
-    """A text's letters in order, numbered where they repeat."""
-    told = F.array_sort(F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substring(text, i, F.lit(1))))
-    return F.transform(told, lambda c, i: F.concat(c, (i - F.array_position(told, c) + 1).cast("string")))
+def numbered(parts: Column) -> Column:
+    """The parts in order, numbered where they repeat."""
+    told = F.array_sort(parts)
+    return F.transform(told, lambda c, i: F.concat(c, F.lit("\0"), (i - F.array_position(told, c) + 1).cast("string")))
 
 
-def rare_letters(texts: DataFrame, ratio: float) -> DataFrame:
-    """group, folded, key: every two of the text's rarest letters in its group.
+def grams(text: Column, q: int) -> Column:
+    """A text's runs of q letters, numbered where they repeat."""
+    return F.when(F.length(text) >= q, numbered(F.transform(F.sequence(F.lit(1), F.length(text) - q + 1), lambda i: F.substring(text, i, F.lit(q))))).otherwise(F.array().cast("array<string>"))
 
-    A ratio of r between texts of n and m letters takes r * (n + m) / 2 common letters, so m >= r / (2 - r) * n and at least
-    r / (2 - r) * n of a text's letters are common: two texts that close have at least two letters in common among as many of their
-    rarest ones as are left over beside these, and two more.
+
+def shared_pairs(n: Column, m: Column, ratio: float) -> Column:
+    """How many runs of two letters two texts of n and m letters have in common at least, if their ratio reaches ``ratio``.
+
+    A ratio of r takes k = r * (n + m) / 2 letters in matching blocks. Between two blocks a letter is left over in one of the texts, and
+    n + m - 2 * k are; so there is one block more than that at most, and each block of b letters has b - 1 pairs.
     """
-    each = texts.filter("length(folded) > 1").distinct().select("group", "folded", F.explode(letters(F.col("folded"))).alias("letter"))
-    counts = each.groupBy("group", "letter").agg(F.count("*").alias("times"))
+    return F.ceil((1.5 * ratio - 1) * (n + m) - 1 - 1e-9)
+
+
+def text_keys(texts: DataFrame, ratio: float) -> DataFrame:
+    """group, folded, key: what two texts share at least one of if their ratio reaches ``ratio``.
+
+    Of n - 1 pairs of letters, c must be shared: then the n - c rarest in the group have one of them. For short texts, of which none need
+    be shared, every two of the rarest letters.
+    """
+    least = F.greatest(F.lit(1), F.ceil(F.length("folded") * ratio / (2 - ratio) - 1e-9))
+    short = 1 / (1.5 * ratio - 1)  # up to this many letters in both together no pair need be shared
     n = F.length("folded")
-    first = n - F.greatest(F.lit(2), F.ceil(n * ratio / (2 - ratio) - 1e-9)) + 2
-    ranked = each.join(counts, ["group", "letter"]).groupBy("group", "folded").agg(F.array_sort(F.collect_list(F.struct("times", "letter"))).alias("by"))
-    rare = ranked.select("group", "folded", F.slice("by.letter", 1, first.cast("int")).alias("rare"))
-    two = F.explode(F.expr("flatten(transform(rare, (x, i) -> transform(slice(rare, i + 2, size(rare)), y -> concat_ws('\u0000', x, y))))"))
-    return rare.select("group", "folded", two.alias("key"))
+
+    def rarest(q: int, kept: Column, some: Column) -> DataFrame:
+        each = texts.filter(some).distinct().select("group", "folded", F.explode(grams(F.col("folded"), q)).alias("part"))
+        counts = each.groupBy("group", "part").agg(F.count("*").alias("times"))
+        ranked = each.join(counts, ["group", "part"]).groupBy("group", "folded").agg(F.array_sort(F.collect_list(F.struct("times", "part"))).alias("by"))
+        return ranked.select("group", "folded", F.slice("by.part", 1, F.greatest(kept, F.lit(0)).cast("int")).alias("rare"))
+
+    other = F.greatest(least, F.floor(F.lit(short)) + 1 - n)
+    pairs = rarest(2, n - F.greatest(F.lit(1), shared_pairs(n, other, ratio)), n > 1).select("group", "folded", F.explode("rare").alias("key"))
+    letters = rarest(1, n - F.greatest(F.lit(2), least) + 2, (n > 1) & (n + least <= short))
+    two = F.explode(F.expr("flatten(transform(rare, (x, i) -> transform(slice(rare, i + 2, size(rare)), y -> concat_ws('\u0001', x, y))))"))
+    return pairs.unionByName(letters.select("group", "folded", two.alias("key")))
 
 
 def close_texts(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
     """group, folded (of left), like (of right), score: pairs of equal texts (score 1) and of texts whose ratio reaches ``ratio``.
 
-    left, right: group, folded. Only texts that share a key of ``rare_letters`` meet; lengths and common letters are counted before the
-    ratio itself is taken, in batches of pairs. ratio: 2 / 3 at least.
+    left, right: group, folded. Only texts that share a key meet; lengths, common pairs of letters and common letters are counted before
+    the ratio itself is taken, in batches of pairs. ratio: above 2 / 3.
     """
-    if not 2 / 3 <= ratio <= 1:
-        raise ValueError("ratio: from 2 / 3 to 1")
+    if not 2 / 3 < ratio <= 1:
+        raise ValueError("ratio: above 2 / 3, up to 1")
     equal = left.distinct().join(right.distinct(), ["group", "folded"]).select("group", "folded", F.col("folded").alias("like"), F.lit(1.0).alias("score"))
-    # one order of letters for both sides: they are keyed together
-    keyed = rare_letters(left.select("group", "folded").union(right.select("group", "folded")), ratio)
+    # one order of keys for both sides
+    keyed = text_keys(left.select("group", "folded").union(right.select("group", "folded")), ratio)
     l = keyed.join(left.distinct(), ["group", "folded"], "left_semi").alias("l")  # noqa: E741
     r = keyed.join(right.distinct(), ["group", "folded"], "left_semi").alias("r")
     enough = F.lit(ratio) * (F.length("l.folded") + F.length("r.folded")) / 2 - 1e-9
     keys = [F.col("l.group") == F.col("r.group"), F.col("l.key") == F.col("r.key"), F.col("l.folded") != F.col("r.folded"), F.least(F.length("l.folded"), F.length("r.folded")) >= enough]
     met = l.join(r, keys).select(F.col("l.group").alias("group"), F.col("l.folded").alias("folded"), F.col("r.folded").alias("like")).distinct()
-    common = F.size(F.array_intersect(letters(F.col("folded")), letters(F.col("like"))))
-    met = met.filter(common >= F.lit(ratio) * (F.length("folded") + F.length("like")) / 2 - 1e-9)
+    n, m = F.length("folded"), F.length("like")
+    common = lambda q: F.size(F.array_intersect(grams(F.col("folded"), q), grams(F.col("like"), q)))
+    met = met.filter(common(2) >= shared_pairs(n, m, ratio)).filter(common(1) >= F.lit(ratio) * (n + m) / 2 - 1e-9)
 
     def score(batches):
         for b in batches:
-            b["score"] = [SequenceMatcher(None, x, y).ratio() for x, y in zip(b["folded"], b["like"], strict=True)]
+            b["score"] = [SequenceMatcher(None, y, x).ratio() for x, y in zip(b["folded"], b["like"], strict=True)]
             yield b
 
     scored = met.mapInPandas(score, StructType([*met.schema, StructField("score", DoubleType())]))
     return equal.unionByName(scored.filter(F.col("score") >= ratio))
 
 
+#: Rounds of linking in which pairs fall into groups; what isn't settled by then keeps its list as its group.
+LINK_ROUNDS = 6
+
+
+def pair_groups(pairs: DataFrame) -> DataFrame:
+    """pairs with ``part``: values and partners that hang together have the same. Every pair's value and partner take the least part of
+    those that they meet, in a fixed number of rounds; a list in which parts still change is one part."""
+    rows = pairs.withColumn("part", F.xxhash64("group", "value")).checkpoint()
+    by = lambda side: Window.partitionBy("group", side)
+    for _ in range(LINK_ROUNDS):
+        rows = rows.withColumn("part", F.min("part").over(by("value"))).withColumn("part", F.min("part").over(by("partner")))
+    rows = rows.checkpoint()
+    apart = rows.groupBy("group", "value").agg((F.min("part") != F.max("part")).alias("open")).groupBy("group").agg(F.max("open").alias("open"))
+    return rows.join(apart, "group").withColumn("part", F.when(F.col("open"), F.xxhash64("group")).otherwise(F.col("part"))).drop("open")
+
+
 def first_come(pairs: DataFrame) -> DataFrame:
-    """Of pairs (group, value, pos, partner, score, ...) those that come about if values choose the best partner left, by pos and value.
+    """Of pairs (group, value, pos, partner, like, score, same) those that come about if values choose the best partner left, by pos and value.
 
-    A value gets its best partner as soon as no earlier value could take it. Each round settles all such values at once; the pairs left
-    are cut from their lineage by checkpoint().
+    Every value's wishes pass in order through the task of its part, which remembers the partners that are taken and nothing else: a fixed
+    number of jobs, however many values are equally close.
     """
-    best = Window.partitionBy("group", "value").orderBy(F.desc("score"), "partner")
-    first = Window.partitionBy("group", "partner").orderBy("pos", "value")
     keep_checkpoints(pairs.sparkSession)
-    told = lambda left: left.select(*pairs.columns, ((F.row_number().over(best) == 1) & (F.row_number().over(first) == 1)).alias("won")).checkpoint()
-    marked, settled = told(pairs), pairs.limit(0)
-    # while pairs are left, the first of all values wins
-    while not (now := marked.filter("won").drop("won")).isEmpty():
-        settled = settled.unionByName(now)
-        marked = told(marked.filter("not won").join(now, ["group", "value"], "left_anti").join(now, ["group", "partner"], "left_anti"))
-    return settled
+    grouped = pair_groups(pairs)
+    wishes = grouped.repartition("part").sortWithinPartitions("part", "pos", "value", F.desc("score"), F.desc("like"), F.when(F.col("same"), F.col("partner")), F.desc("partner"))
+
+    def settle(batches):
+        part, value, taken, served = None, None, set(), True
+        for b in batches:
+            keep = []
+            for p, v, g, partner in zip(b["part"], b["value"], b["group"], b["partner"], strict=True):
+                if p != part:
+                    part, value, taken = p, None, set()
+                if (g, v) != value:
+                    value, served = (g, v), False
+                won = not served and (g, partner) not in taken
+                if won:
+                    served = True
+                    taken.add((g, partner))
+                keep.append(won)
+            yield b[keep]
+
+    return wishes.mapInPandas(settle, wishes.schema).drop("part", "like")
 
 
 def list_states(compared: DataFrame, groups: DataFrame) -> DataFrame:

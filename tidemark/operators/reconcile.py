@@ -68,26 +68,52 @@ def apply_versions(current: DataFrame, incoming: DataFrame, keys: list[str], fie
 
     INSERT: version 1. UPDATE: in place, only where a field differs. REPLACE: the old row ends, a new one has version + 1.
     DELETE: the row ends. SKIP: nothing. ``action`` tells what happened to a row; new rows have a null id (see ``new_ids``).
+
+    One full outer join, one exchange a side: either row travels as a struct, and a pair gives its one or two rows where it meets.
+    History takes no part in it.
     """
-    live, past = current.filter("active"), current.filter("not active")
-    plan = merge_plan(live, incoming, keys, date)
-    named = incoming.select(*keys, F.struct(*fields).alias("new_fields"), F.col(date).alias("in_date"))
-    told = live.join(plan.select(*keys, "action"), keys, "right").join(named, keys, "left")
-    differs = changed([F.col(f) for f in fields] + [F.col(date)], [F.col(f"new_fields.{f}") for f in fields] + [F.coalesce("in_date", F.col(date))])
-    acts = told.withColumn("what", F.when((F.col("action") == UPDATE) & ~differs, "UNCHANGED").otherwise(F.col("action")))
-    ends = F.col("what").isin(REPLACE, DELETE)
-    kept = acts.filter(F.col("what") != INSERT).select(
-        "id", *keys,
-        *(F.when(F.col("what") == UPDATE, F.col(f"new_fields.{f}")).otherwise(F.col(f)).alias(f) for f in fields),
-        F.when(F.col("what") == UPDATE, F.coalesce("in_date", F.col(date))).otherwise(F.col(date)).alias(date),
-        "version", (~ends).alias("active"), F.when(ends, end_date).otherwise(F.col("end_date")).alias("end_date"), F.col("what").alias("action"),
+    kept = [*fields, date, "version", "active", "end_date"]
+    old = current.filter("active").select(*keys, F.struct("id", *kept).alias("o"))
+    new = incoming.select(*keys, F.struct(*fields, date).alias("n"))
+    o, n = (lambda c: F.col(f"o.`{c}`")), (lambda c: F.col(f"n.`{c}`"))
+    same_day = o(date).isNull() | n(date).isNull() | (o(date) == n(date))
+    differs = changed([o(c) for c in (*fields, date)], [*(n(f) for f in fields), F.coalesce(n(date), o(date))])
+    action = (
+        F.when(F.col("o").isNull(), INSERT).when(F.col("n").isNull(), DELETE).when(same_day & ~differs, "UNCHANGED").when(same_day, UPDATE)
+        .when(n(date) > o(date), REPLACE).otherwise(SKIP)
     )
-    fresh = acts.filter(F.col("what").isin(INSERT, REPLACE)).select(
-        F.lit(None).cast(current.schema["id"].dataType).alias("id"), *keys, *(F.col(f"new_fields.{f}").alias(f) for f in fields), F.col("in_date").alias(date),
-        F.when(F.col("what") == INSERT, F.lit("1")).otherwise(next_version(F.col("version"))).alias("version"),
-        F.lit(True).alias("active"), F.lit(None).cast("date").alias("end_date"), F.concat("what", F.lit("_NEW")).alias("action"),
+    what = F.col("what")
+    ends, update = what.isin(REPLACE, DELETE), what == UPDATE
+    stays = F.struct(
+        o("id").alias("id"), *(F.when(update, n(f)).otherwise(o(f)).alias(f) for f in fields), F.when(update, F.coalesce(n(date), o(date))).otherwise(o(date)).alias(date),
+        o("version").alias("version"), (~ends).alias("active"), F.when(ends, end_date).otherwise(o("end_date")).alias("end_date"), what.alias("action"),
     )
-    return kept.unionByName(fresh).unionByName(past.select(*[c for c in kept.columns if c != "action"], F.lit("HISTORY").alias("action")))
+    comes = F.struct(
+        F.lit(None).cast(current.schema["id"].dataType).alias("id"), *(n(f).alias(f) for f in fields), n(date).alias(date),
+        F.when(what == INSERT, F.lit("1")).otherwise(next_version(o("version"))).alias("version"), F.lit(True).alias("active"),
+        F.lit(None).cast(current.schema["end_date"].dataType).alias("end_date"), F.concat(what, F.lit("_NEW")).alias("action"),
+    )
+    rows = F.array_compact(F.array(F.when(what != INSERT, stays), F.when(what.isin(INSERT, REPLACE), comes)))
+    told = old.join(new, keys, "full_outer").withColumn("what", action).select(*keys, F.explode(rows).alias("r"))
+    columns = ["id", *keys, *kept]
+    live = told.select(F.col("r.id").alias("id"), *keys, *(F.col(f"r.`{c}`").alias(c) for c in (*kept, "action")))
+    return live.unionByName(current.filter("not active").select(*columns, F.lit("HISTORY").alias("action")))
+
+
+def apply_linked(current: DataFrame, incoming: DataFrame, keys: list[str], fields: list[str], parents: DataFrame, on: list[str], link: str, end_date: Column) -> DataFrame:
+    """The next snapshot of undated rows that hang on versioned ones: current(id, keys, fields, link, active, end_date).
+
+    Inserts, updates and deletes only. ``link`` is a field like the others: the id of the live row of ``parents`` (on, id), so a row whose
+    parent has a new version moves to it in the same pass; where no parent lives, it keeps the link that it had.
+    """
+    live = parents.select(*on, F.col("id").alias(link))
+    none = {"approval_date": F.lit(None).cast("date"), "version": F.lit(None).cast("string")}
+    had = current.filter("active").select(*keys, F.col(link).alias("__had"))
+    # a row whose parent has gone is rare: only those ask for the link that they had
+    told = incoming.join(live, on, "left")
+    gone = told.filter(F.col(link).isNull()).drop(link).join(had, keys, "left").withColumnRenamed("__had", link)
+    linked = told.filter(F.col(link).isNotNull()).unionByName(gone)
+    return apply_versions(current.withColumns(none), linked.withColumns({"approval_date": none["approval_date"]}), keys, [*fields, link], end_date).drop("approval_date", "version")
 
 
 def cascade(children: DataFrame, plan: DataFrame, parent: str, end_date: Column, follow: bool = False) -> DataFrame:

@@ -9,7 +9,8 @@ from ..operators import diff as D
 from ..operators import graph as G
 from ..operators import kpi as K
 from ..sources import sheets
-from ..streaming.intake import intake
+from ..sources.versions import Store
+from ..streaming.intake import ROWS, intake
 from .registry import query, table
 
 SIDES = """b AS (SELECT c_custkey AS k, c_name AS name, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_mktsegment END AS segment, CAST(c_nationkey AS VARCHAR) AS nation FROM customer WHERE c_custkey % 10 <> 0),
@@ -294,6 +295,6 @@ def stream_intake(spark, sf):
     root = sheets.shared_folder(spark)
     columns = ["event_id", "user_id", "event_type", "value"]
     table(spark, sf, "events").select(*columns).repartition(8, "event_id").write.parquet(f"{root}/arriving")
-    q = intake(spark, f"{root}/arriving", "event_id bigint, user_id bigint, event_type string, value double", f"{root}/taken", f"{root}/checkpoint", columns, files_per_batch=3)
+    q = intake(spark, f"{root}/arriving", "event_id bigint, user_id bigint, event_type string, value double", f"{root}/taken", f"{root}/checkpoint", files_per_batch=3)
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/taken").select(*columns)
+    return Store(spark, f"{root}/taken").read(ROWS).select(*columns)

@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .versions import Part, Store
+
 
 @dataclass(frozen=True)
 class Contract:
@@ -75,17 +77,15 @@ def replace_slices(current: DataFrame, batch: DataFrame, touched: DataFrame, key
     return current.join(slices, slice_of == F.col("__slice"), "left_anti").unionByName(batch.join(slices, slice_of == F.col("__slice"), "left_semi"), allowMissingColumns=True)
 
 
-def publish_snapshot(df: DataFrame, root: str, partition: str | None = None) -> str:
-    """Writes a new snapshot folder, then the pointer that names it: readers see the old or the new table, never half of one."""
-    name = f"snapshot-{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(partition) if partition else df.write
-    writer.parquet(f"{root}/{name}")
-    df.sparkSession.createDataFrame([(name,)], "name string").coalesce(1).write.mode("overwrite").json(f"{root}/current")
-    return name
+def publish_snapshot(df: DataFrame, root: str) -> int:
+    """Replaces the whole table at ``root`` and gives its version: readers see the old or the new table, never half of one or none, and of
+    two writers that have read the same version one gets ``versions.Conflict``."""
+    store = Store(df.sparkSession, root)
+    return store.publish([Part("rows", df)], store.latest()).number
 
 
 def current_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{spark.read.schema('name string').json(f'{root}/current').first()['name']}")
+    return Store(spark, root).read("rows")
 
 
 def stamped(df: DataFrame, id_load: int | None) -> DataFrame:
