@@ -89,7 +89,8 @@ def tokens(address: Column) -> Column:
 def index(pages: DataFrame, rules: list[tuple[str, int, str, str, list[str]]]) -> DataFrame:
     """key, label, tier, action, expression: each rule under the one of its tokens that the fewest URLs of the table have."""
     spark = pages.sparkSession
-    told = spark.createDataFrame([(k, *r) for k, r in enumerate(rules)], "rule int, label string, tier int, action string, expression string, tokens array<string>")
+    # as a table, whose size Catalyst knows: rows on the driver have none
+    told = common.written(spark.createDataFrame([(k, *r) for k, r in enumerate(rules)], "rule int, label string, tier int, action string, expression string, tokens array<string>"))
     each = told.select("rule", F.explode("tokens").alias("key"))
     counts = pages.select(F.explode(tokens(F.col("address"))).alias("key")).join(each.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.count("*").alias("n"))
     rarest = each.join(counts, "key", "left").groupBy("rule").agg(F.min_by("key", F.struct(F.coalesce("n", F.lit(0)), "key")).alias("key"))
