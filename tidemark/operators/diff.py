@@ -89,9 +89,9 @@ def keep_checkpoints(spark: SparkSession) -> None:
 
 
 def numbered(parts: Column) -> Column:
-    """The parts in order, numbered where they repeat."""
-    told = F.array_sort(parts)
-    return F.transform(told, lambda c, i: F.concat(c, F.lit("\0"), (i - F.array_position(told, c) + 1).cast("string")))
+    """The parts in order, numbered where they repeat. They are sorted once: as an array of one array, whose element has a name."""
+    each = lambda told: F.transform(told, lambda c, i: F.concat(c, F.lit("\0"), (i - F.array_position(told, c) + 1).cast("string")))
+    return F.transform(F.array(F.array_sort(parts)), each)[0]
 
 
 def grams(text: Column, q: int) -> Column:
@@ -134,8 +134,8 @@ def text_keys(texts: DataFrame, ratio: float) -> DataFrame:
 def close_texts(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
     """group, folded (of left), like (of right), score: pairs of equal texts (score 1) and of texts whose ratio reaches ``ratio``.
 
-    left, right: group, folded. Only texts that share a key meet; lengths, common pairs of letters and common letters are counted before
-    the ratio itself is taken, in batches of pairs. ratio: above 2 / 3.
+    left, right: group, folded. Only texts that share a key and fit in length meet; their common letters are counted before the ratio
+    itself is taken, in batches of pairs. ratio: above 2 / 3.
     """
     if not 2 / 3 < ratio <= 1:
         raise ValueError("ratio: above 2 / 3, up to 1")
@@ -147,13 +147,15 @@ def close_texts(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
     enough = F.lit(ratio) * (F.length("l.folded") + F.length("r.folded")) / 2 - 1e-9
     keys = [F.col("l.group") == F.col("r.group"), F.col("l.key") == F.col("r.key"), F.col("l.folded") != F.col("r.folded"), F.least(F.length("l.folded"), F.length("r.folded")) >= enough]
     met = l.join(r, keys).select(F.col("l.group").alias("group"), F.col("l.folded").alias("folded"), F.col("r.folded").alias("like")).distinct()
-    n, m = F.length("folded"), F.length("like")
-    common = lambda q: F.size(F.array_intersect(grams(F.col("folded"), q), grams(F.col("like"), q)))
-    met = met.filter(common(2) >= shared_pairs(n, m, ratio)).filter(common(1) >= F.lit(ratio) * (n + m) / 2 - 1e-9)
 
     def score(batches):
         for b in batches:
-            b["score"] = [SequenceMatcher(None, y, x).ratio() for x, y in zip(b["folded"], b["like"], strict=True)]
+            found = []
+            for x, y in zip(b["folded"], b["like"], strict=True):
+                s = SequenceMatcher(None, y, x)
+                # letters in common bound the ratio, and are counted first
+                found.append(s.ratio() if s.quick_ratio() >= ratio else 0.0)
+            b["score"] = found
             yield b
 
     scored = met.mapInPandas(score, StructType([*met.schema, StructField("score", DoubleType())]))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.clean import percent
+from ..sources.sheets import kept
+
 #: Fixed order of problems in reports.
 PROBLEM_ORDER = ("BROKEN", "INCONSISTENT", "NO_LINK", "NO_TYPE", "SAME_DOMAIN")
 DRAWN = ("RESOLVED", "TARGET_INACTIVE")
@@ -49,10 +52,15 @@ def nodes(domains: DataFrame, links: DataFrame) -> DataFrame:
     return every.join(out, "domain_id", "left").join(into, "domain_id", "left").join(open_links, "domain_id", "left").na.fill(0)
 
 
+def problem_rank(state: Column) -> Column:
+    """Place of a problem in reports; null for drawn links."""
+    rank = F.array_position(F.array(*map(F.lit, PROBLEM_ORDER)), state)
+    return F.when(~state.isin(*DRAWN), F.when(rank > 0, rank).otherwise(len(PROBLEM_ORDER) + 1)).cast("int")
+
+
 def problems(links: DataFrame) -> DataFrame:
     """Links that are not drawn, with the rank of their state."""
-    rank: Column = F.array_position(F.array(*map(F.lit, PROBLEM_ORDER)), F.col("state"))
-    return links.filter(~F.col("state").isin(*DRAWN)).withColumn("priority", F.when(rank > 0, rank).otherwise(len(PROBLEM_ORDER) + 1).cast("int"))
+    return links.filter(~F.col("state").isin(*DRAWN)).withColumn("priority", problem_rank(F.col("state")))
 
 
 def summary(domains: DataFrame, links: DataFrame) -> DataFrame:
@@ -95,3 +103,32 @@ def counts_by(links: DataFrame, *columns: str) -> DataFrame:
     """field, value, n of each of the columns; null is an empty text."""
     told = F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.coalesce(F.col(c).cast("string"), F.lit("")).alias("value")) for c in columns)))
     return links.select(told.alias("x")).groupBy("x.field", "x.value").agg(F.count("*").alias("n"))
+
+
+class Neighbourhoods:
+    """Edges in both directions and declared links in folders by domain: what is told of one domain is read from its folders alone."""
+
+    def __init__(self, edge_rows: DataFrame, links: DataFrame) -> None:
+        out = edge_rows.select(F.col("origin").alias("domain_id"), F.col("target").alias("neighbour"), "type", F.col("n").alias("n_out"), F.lit(0).cast("long").alias("n_in"))
+        into = edge_rows.select(F.col("target").alias("domain_id"), F.col("origin").alias("neighbour"), "type", F.lit(0).cast("long").alias("n_out"), F.col("n").alias("n_in"))
+        both = out.unionByName(into).groupBy("domain_id", "neighbour", "type").agg(F.sum("n_out").alias("n_out"), F.sum("n_in").alias("n_in"))
+        self.edges = kept(both.hint("rebalance", F.col("domain_id")), "domain_id")
+        declared = links.select("id", "primary_id", "primary_domain_id", "state", problem_rank(F.col("state")).alias("priority"), "domain_id")
+        self.declared = kept(declared.hint("rebalance", F.col("domain_id")), "domain_id")
+
+    def neighbours(self, domain: int, min_n: int = 1) -> DataFrame:
+        """neighbour, n_out, n_in, n over edges of at least min_n links, by weight."""
+        near = self.edges.filter(F.col("domain_id") == domain)
+        told = near.groupBy("neighbour").agg(*(F.sum(F.when(F.col(c) >= min_n, F.col(c)).otherwise(0)).alias(c) for c in ("n_out", "n_in")))
+        return told.withColumn("n", F.col("n_out") + F.col("n_in")).filter("n > 0")
+
+    def attributes(self, domain: int) -> DataFrame:
+        """Links that the domain declares, problems among them: id, primary_id, primary_domain_id, state, priority (null: none)."""
+        return self.declared.filter(F.col("domain_id") == domain).drop("domain_id")
+
+    def measures(self, domain: int) -> DataFrame:
+        """One row: declared, drawn and pending links, problems, neighbours on either side, the share of drawn links."""
+        drawn = F.col("state").isin(*DRAWN)
+        own = self.attributes(domain).agg(F.count("*").alias("n_declared"), F.count_if(drawn).alias("n_drawn"), F.count_if(F.col("priority").isNotNull()).alias("n_problems"))
+        near = self.neighbours(domain).agg(F.count_if(F.col("n_out") > 0).alias("n_targets"), F.count_if(F.col("n_in") > 0).alias("n_sources"), F.coalesce(F.sum("n_in"), F.lit(0)).alias("n_used"))
+        return own.select("*", *(near.select(c).scalar().alias(c) for c in ("n_targets", "n_sources", "n_used")), percent(F.col("n_drawn"), F.col("n_declared")).alias("drawn_share"))

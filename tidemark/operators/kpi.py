@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import MARKED, fold, fold_spaces, overdue, percent, progress_bucket
+from .paging import Pages
 
 #: Points that an attribute without official source costs.
 PENALTIES = {"critical_structure": 5, "critical": 3, "other": 1}
@@ -109,10 +110,8 @@ def any_field(df: DataFrame, part: str, columns: list[str]) -> DataFrame:
 
 
 def page(df: DataFrame, order: list[Column], number: int, size: int = 100) -> DataFrame:
-    """One page of the ordered rows, numbered from 1, without sorting more than a top: number is clamped to the last page."""
-    total = df.count()
-    number = max(1, min(number, -(-total // size)))
-    return df.orderBy(*order).offset((number - 1) * size).limit(size)
+    """One page of the ordered rows, numbered from 1 and clamped to the last one. Keep ``Pages`` itself to turn more pages."""
+    return Pages(df, order).page(number, size)
 
 
 def plan_rows(plans: DataFrame, today: Column) -> DataFrame:

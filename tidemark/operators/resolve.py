@@ -49,6 +49,30 @@ def chain(df: DataFrame, levels: list[tuple[str, DataFrame, str, str, str | None
     return df.withColumn("failed_level", F.coalesce(*failed))
 
 
+def created_chain(df: DataFrame, top: tuple[str, DataFrame, str, str], levels: list[tuple[str, DataFrame, str, str, str, str | None]]) -> tuple[DataFrame, DataFrame]:
+    """Lookups below a level that makes what it lacks: rows with all ids, ``failed_level`` and ``reason`` (unknown, inactive), and the top
+    catalogue with its new members.
+
+    top: column, catalogue, its text, its id. A level: column, catalogue, its text, its id, the column with the upper level's id, the
+    column that tells whether it is active (None: not asked). A new member of the top has nothing below it yet, so its rows fail one level
+    down. New ids feed the next level's join in the same job.
+    """
+    column, catalogue, text, id_col = top
+    members = get_or_create(df.filter(F.col(column).isNotNull()).select(F.col(column).alias(text)), catalogue, text, id_col)
+    df = df.join(members.select(F.col(text).alias("__text"), id_col), F.col(column) == F.col("__text"), "left").drop("__text")
+    failed = [F.when(F.col(column).isNull(), F.struct(F.lit(column).alias("level"), F.lit("unknown").alias("reason")))]
+    upper = id_col
+    for column, catalogue, text, id_col, parent, active in levels:
+        known = catalogue.select(F.col(text).alias("__text"), F.col(parent).alias("__parent"), F.col(id_col), (F.col(active) if active else F.lit(True)).alias(f"__{id_col}"))
+        df = df.join(known, (F.col(column) == F.col("__text")) & (F.col(upper) == F.col("__parent")), "left").drop("__text", "__parent")
+        bad = F.when(F.col(id_col).isNull(), "unknown").when(~F.col(f"__{id_col}"), "inactive")
+        failed.append(F.when(bad.isNotNull(), F.struct(F.lit(column).alias("level"), bad.alias("reason"))))
+        upper = id_col
+    told = df.withColumn("__failed", F.coalesce(*failed))
+    told = told.withColumns({"failed_level": F.col("__failed.level"), "reason": F.col("__failed.reason")})
+    return told.drop("__failed", *(f"__{level[3]}" for level in levels)), members
+
+
 def best_effort(df: DataFrame, columns: list[str], targets: DataFrame, names: list[str], id_col: str, active: str) -> DataFrame:
     """All texts must match together; no match gives null. Of several targets the active ones come first, then the highest id."""
     w = Window.partitionBy(*names).orderBy(F.col(active).desc(), F.col(id_col).desc())

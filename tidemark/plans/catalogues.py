@@ -40,6 +40,28 @@ def chain_lookup(spark, sf):
     return found.select("k", "region_id", "nation_id", "failed_level")
 
 
+CREATED = """servers AS (SELECT n_nationkey + 1 AS server_id, n_name AS server FROM nation WHERE n_nationkey < 20),
+fresh AS (SELECT (SELECT max(server_id) FROM servers) + row_number() OVER (ORDER BY n_name) AS server_id, n_name AS server FROM (SELECT DISTINCT n_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey >= 20)),
+dbs AS (SELECT server_id * 10 + length(segment) AS db_id, server_id AS up, segment AS db FROM servers, (SELECT DISTINCT c_mktsegment AS segment FROM customer) WHERE (server_id + length(segment)) % 3 <> 0),
+tabs AS (SELECT db_id * 10 + t AS table_id, db_id AS up, 'table ' || t AS tab, (db_id + t) % 4 <> 0 AS active FROM dbs, (SELECT unnest(range(6)) AS t))"""
+
+
+@query(f"""WITH {CREATED}, c AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 17 <> 0 THEN n_name END AS server, c_mktsegment AS db, 'table ' || (c_custkey % 7) AS tab FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT k, s.server_id, d.db_id, t.table_id, CASE WHEN s.server_id IS NULL THEN 'server' WHEN d.db_id IS NULL THEN 'db' WHEN t.table_id IS NULL OR NOT active THEN 'tab' END AS failed_level,
+CASE WHEN t.table_id IS NULL THEN 'unknown' WHEN NOT active THEN 'inactive' END AS reason
+FROM c LEFT JOIN (SELECT * FROM servers UNION ALL SELECT * FROM fresh) s ON s.server = c.server LEFT JOIN dbs d ON d.up = s.server_id AND d.db = c.db LEFT JOIN tabs t ON t.up = d.db_id AND t.tab = c.tab""")
+def created_chain(spark, sf):
+    """Servers are made where they lack, databases and tables must be there, tables active too."""
+    n, c = table(spark, sf, "nation"), table(spark, sf, "customer")
+    servers = n.filter("n_nationkey < 20").selectExpr("n_nationkey + 1 as server_id", "n_name as server_name")
+    pairs = servers.withColumn("segment", F.explode(c.agg(F.collect_set("c_mktsegment")).scalar()))
+    dbs = pairs.filter("(server_id + length(segment)) % 3 <> 0").selectExpr("server_id * 10 + length(segment) as db_id", "server_id as db_up", "segment as db_name")
+    tabs = dbs.select("db_id", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("t")).selectExpr("db_id * 10 + t as table_id", "db_id as tab_up", "concat('table ', t) as tab_name", "(db_id + t) % 4 <> 0 as active")
+    rows = c.join(n, F.expr("c_nationkey = n_nationkey")).selectExpr("c_custkey as k", "if(c_custkey % 17 <> 0, n_name, null) as server", "c_mktsegment as db", "concat('table ', c_custkey % 7) as tab")
+    told, _ = S.created_chain(rows, ("server", servers, "server_name", "server_id"), [("db", dbs, "db_name", "db_id", "db_up", None), ("tab", tabs, "tab_name", "table_id", "tab_up", "active")])
+    return told.select("k", "server_id", "db_id", "table_id", "failed_level", "reason")
+
+
 @query("""WITH have AS (SELECT DISTINCT p_brand AS brand FROM part WHERE p_size < 5), old AS (SELECT brand, row_number() OVER (ORDER BY brand) AS id FROM have),
 fresh AS (SELECT DISTINCT p_brand AS brand FROM part WHERE p_brand NOT IN (SELECT brand FROM have))
 SELECT id, brand, false AS created FROM old UNION ALL SELECT (SELECT coalesce(max(id), 0) FROM old) + row_number() OVER (ORDER BY brand), brand, true FROM fresh""")

@@ -141,20 +141,6 @@ def load_detail_rows(spark, sf):
     return G.load_details(loads(spark, sf).select("id_load", F.col("state").alias("stage"), (F.col("domain") % 3).cast("bigint").alias("object")))
 
 
-@query("SELECT c_mktsegment AS \"group\", c_name AS value FROM customer WHERE c_custkey % 3 = 0 AND c_mktsegment <> 'BUILDING'")
-def seed_values(spark, sf):
-    compared = table(spark, sf, "customer").selectExpr("c_mktsegment as group", "c_name as value", "case c_custkey % 3 when 0 then 'MISSING' when 1 then 'TYPO' else 'EQUIVALENT' end as status")
-    return D.seed_candidates(compared, compared.select("group").distinct().filter("group <> 'BUILDING'"))
-
-
-@query("""WITH c AS (SELECT c_mktsegment AS g, CASE WHEN c_mktsegment = 'BUILDING' THEN 0 ELSE c_custkey % 3 END AS s FROM customer WHERE c_mktsegment <> 'MACHINERY') SELECT m.g AS "group", CAST(count(s) FILTER (s = 1) AS BIGINT) AS n_differences, CAST(count(s) FILTER (s = 0) AS BIGINT) AS n_equivalent,
-CASE WHEN count(s) FILTER (s = 1) > 0 THEN 'DIFFERENCES' WHEN count(s) FILTER (s = 0) > 0 THEN 'SPELLING' ELSE 'OK' END AS state FROM (SELECT DISTINCT c_mktsegment AS g FROM customer) m LEFT JOIN c ON c.g = m.g GROUP BY 1""")
-def list_states(spark, sf):
-    c = table(spark, sf, "customer").selectExpr("c_mktsegment as group", "if(c_mktsegment = 'BUILDING', 0, c_custkey % 3) as s")
-    compared = c.filter("group <> 'MACHINERY' and s < 2").selectExpr("group", "if(s = 0, 'EQUIVALENT', 'MISSING') as status")
-    return D.list_states(compared, c.select("group").distinct())
-
-
 @query(f"WITH {REL} SELECT id, state, state IN ('RESOLVED', 'TARGET_INACTIVE', 'NO_TYPE', 'SAME_DOMAIN') AS drawn FROM lk WHERE state <> 'NO_LINK' OR id % 10 = 1".replace("state IN ('RESOLVED', 'TARGET_INACTIVE', 'NO_TYPE', 'SAME_DOMAIN')", "state IN ({})".format(", ".join(f"'{s}'" for s in R.DRAWN))))
 def all_relations(spark, sf):
     told = links(spark, sf).filter("state <> 'NO_LINK' or id % 10 = 1")

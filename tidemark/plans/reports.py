@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean as C
 from ..operators import diff as D
 from ..operators import graph as G
 from ..operators import kpi as K
+from ..operators.paging import Pages
+from ..operators.search import TextIndex
 from ..sources import sheets
 from ..sources.versions import Store
 from ..streaming.intake import ROWS, intake
@@ -59,6 +64,35 @@ def natural_order(spark, sf):
     return names.withColumn("place", F.row_number().over(Window.orderBy(C.chunk_key(F.col("name")))))
 
 
+LISTS = """ls AS (SELECT s_nationkey AS g, s_suppkey AS k, s_suppkey % 4 AS kind, CASE s_suppkey % 4 WHEN 1 THEN upper(s_name) WHEN 2 THEN s_name || 'e' WHEN 3 THEN translate(CAST(s_suppkey AS VARCHAR), '0123456789', '!@#$%^&*()') || '=?=' ELSE s_name END AS value, s_name AS name FROM supplier WHERE s_nationkey <> 8 OR s_suppkey % 4 < 2),
+cmp AS (SELECT g, value, CASE kind WHEN 1 THEN 'EQUIVALENT' WHEN 2 THEN 'TYPO' ELSE 'MISSING' END AS status, CASE WHEN kind < 3 THEN name END AS partner FROM ls WHERE kind > 0 AND g IN (SELECT g FROM ls WHERE kind < 3 AND g <> 7))"""
+
+
+def compared(spark, sf):
+    """Suppliers' names by nation, some in capitals, with a letter more, or of signs alone; one nation has no catalogue."""
+    s = table(spark, sf, "supplier").filter("s_nationkey <> 8 or s_suppkey % 4 < 2")
+    value = F.expr("case s_suppkey % 4 when 1 then upper(s_name) when 2 then concat(s_name, 'e') when 3 then concat(translate(cast(s_suppkey as string), '0123456789', '!@#$%^&*()'), '=?=') else s_name end")
+    told = s.select(F.col("s_nationkey").alias("group"), value.alias("value"), F.col("s_suppkey").alias("pos"), "s_name")
+    return D.compare_lists(told.select("group", "value", "pos"), told.filter("pos % 4 < 3 and group <> 7").select("group", F.col("s_name").alias("value")))
+
+
+@query(f'WITH {LISTS} SELECT g AS "group", value, status, partner FROM cmp')
+def compared_lists(spark, sf):
+    return compared(spark, sf)
+
+
+@query(f"""WITH {LISTS} SELECT g AS "group", value FROM cmp WHERE status = 'MISSING' AND g <> 3""")
+def seed_values(spark, sf):
+    """What the comparison misses, as candidates for simple catalogues."""
+    return D.seed_candidates(compared(spark, sf), table(spark, sf, "nation").select(F.col("n_nationkey").alias("group")).filter("group <> 3"))
+
+
+@query(f"""WITH {LISTS}, n AS (SELECT g, count(*) FILTER (status <> 'EQUIVALENT') AS d, count(*) FILTER (status = 'EQUIVALENT') AS e FROM cmp GROUP BY 1)
+SELECT n_nationkey AS "group", coalesce(d, 0) AS n_differences, coalesce(e, 0) AS n_equivalent, CASE WHEN d > 0 THEN 'DIFFERENCES' WHEN e > 0 THEN 'SPELLING' ELSE 'OK' END AS state FROM nation LEFT JOIN n ON g = n_nationkey""")
+def list_states(spark, sf):
+    return D.list_states(compared(spark, sf), table(spark, sf, "nation").select(F.col("n_nationkey").alias("group")))
+
+
 @query()
 def fuzzy_lists(spark, sf):
     p = table(spark, sf, "part").select(F.col("p_brand").alias("group"), F.col("p_name").alias("value"), F.col("p_partkey").alias("pos"), "p_size")
@@ -122,7 +156,19 @@ def inactive_rewrite(spark, sf):
 
 @query(f"WITH {REL} SELECT CASE WHEN origin = 3 THEN target ELSE origin END AS neighbour, CAST(sum(CASE WHEN origin = 3 THEN n ELSE 0 END) AS BIGINT) AS n_out, CAST(sum(CASE WHEN origin <> 3 THEN n ELSE 0 END) AS BIGINT) AS n_in, CAST(sum(n) AS BIGINT) AS n FROM ed WHERE n >= 2 AND (origin = 3 OR target = 3) GROUP BY 1")
 def neighbourhood(spark, sf):
-    return G.neighbourhood(edges(spark, sf), F.lit(3), 2)
+    return G.Neighbourhoods(edges(spark, sf), links(spark, sf)).neighbours(3, 2)
+
+
+@query(f"WITH {REL} SELECT id, primary_id, primary_domain_id, state, CAST(CASE state WHEN 'BROKEN' THEN 1 WHEN 'INCONSISTENT' THEN 2 WHEN 'NO_LINK' THEN 3 WHEN 'NO_TYPE' THEN 4 WHEN 'SAME_DOMAIN' THEN 5 END AS INTEGER) AS priority FROM lk WHERE domain_id = 3")
+def declared_links(spark, sf):
+    return G.Neighbourhoods(edges(spark, sf), links(spark, sf)).attributes(3)
+
+
+@query(f"""WITH {REL}, own AS (SELECT count(*) AS n_declared, count(*) FILTER (state IN ('RESOLVED', 'TARGET_INACTIVE')) AS n_drawn, count(*) FILTER (state NOT IN ('RESOLVED', 'TARGET_INACTIVE')) AS n_problems FROM lk WHERE domain_id = 3)
+SELECT *, (SELECT count(DISTINCT target) FROM ed WHERE origin = 3) AS n_targets, (SELECT count(DISTINCT origin) FROM ed WHERE target = 3) AS n_sources, (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM ed WHERE target = 3) AS n_used,
+CASE WHEN n_declared > 0 THEN round_even(100 * n_drawn / n_declared, 1) END AS drawn_share FROM own""")
+def neighbourhood_measures(spark, sf):
+    return G.Neighbourhoods(edges(spark, sf), links(spark, sf)).measures(3)
 
 
 ATT = """ats AS (SELECT c_nationkey AS domain, o_orderkey AS k, o_orderpriority IN ('1-URGENT', '2-HIGH') AS critical, o_orderstatus = 'P' AS structure, o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 48) AS has_source FROM orders JOIN customer ON o_custkey = c_custkey),
@@ -224,6 +270,13 @@ def page(spark, sf):
     return K.page(table(spark, sf, "orders").selectExpr("o_orderkey as k", "o_totalprice as price"), [F.col("price").desc(), F.col("k")], 3)
 
 
+@query("SELECT l_orderkey AS k, l_linenumber AS line, l_partkey AS part, l_extendedprice AS price FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey LIMIT 5 OFFSET 5 * (least(10000, (SELECT greatest(1, CAST(ceil(count(*) / 5.0) AS BIGINT)) FROM lineitem)) - 1)")
+def deep_page(spark, sf):
+    """The ten thousandth page of all line items, or the last one."""
+    li = table(spark, sf, "lineitem").selectExpr("l_orderkey as k", "l_linenumber as line", "l_partkey as part", "l_extendedprice as price")
+    return Pages(li, [F.col("price").desc(), F.col("k"), F.col("line"), F.col("part")]).page(10_000, 5)
+
+
 PLANS = """pl AS (SELECT o_orderkey AS k, c_nationkey AS domain, CASE WHEN o_orderkey % 12 = 0 THEN NULL ELSE CAST(o_orderkey % 21 * 5 AS INTEGER) END AS progress, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS due, CASE o_orderstatus WHEN 'F' THEN 'Finalizado' WHEN 'P' THEN 'En proceso' ELSE 'Alertado' END AS state,
 CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderkey END AS live_id, o_orderkey % 4 <> 0 AS linked_active FROM orders JOIN customer ON o_custkey = c_custkey),
 pr AS (SELECT *, CASE WHEN progress IS NULL THEN 'no data' WHEN progress <= 0 THEN '0 %' WHEN progress <= 25 THEN '1-25 %' WHEN progress <= 50 THEN '26-50 %' WHEN progress <= 75 THEN '51-75 %' WHEN progress < 100 THEN '76-99 %' ELSE '100 %' END AS bucket, coalesce(due < DATE '1999-01-01' AND state <> 'Finalizado', false) AS overdue, live_id IS NULL AS without_live_attribute, live_id IS NOT NULL AND NOT linked_active AS previous_version FROM pl)"""
@@ -278,6 +331,17 @@ def text_search(spark, sf):
     return K.text_search(table(spark, sf, "documents"), "SRC1 éau", ["source", "text"]).select(F.col("doc_id").alias("k"))
 
 
+ASKED = {"SRC1 éau": ("src1", "eau"), "là THE": ("la", "the"), "zz%": ("zz%",)}
+
+
+@query(" UNION ALL ".join("SELECT '{}' AS query, doc_id AS k FROM documents WHERE {}".format(q, " AND ".join(f"contains(lower(strip_accents(concat_ws(' ', source, text))), '{w}')" for w in words)) for q, words in ASKED.items()))
+def indexed_search(spark, sf):
+    """Several searches over one table of runs of letters."""
+    index = TextIndex(table(spark, sf, "documents"), "doc_id", ["source", "text"])
+    found = [index.search(q).select(F.lit(q).alias("query"), F.col("id").alias("k")) for q in ASKED]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("SELECT doc_id AS k FROM documents WHERE contains(lower(coalesce(source, '')), 'src12') OR contains(lower(coalesce(lang, '')), 'fr')")
 def any_field_search(spark, sf):
     d = table(spark, sf, "documents")

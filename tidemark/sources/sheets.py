@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .versions import Part, Store
 
@@ -31,6 +33,22 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base}/{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame, *by: str) -> DataFrame:
+    """df as a table in the shared folder, in folders by these columns: it is computed once, and survives the loss of any executor."""
+    path = shared_folder(df.sparkSession)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    schema = StructType([*(f for f in df.schema if f.name not in by), *(df.schema[c] for c in by)])
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def find_package(spark: SparkSession) -> None:
+    """Local workers look for this package where the driver has it; a cluster installs it or gets --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    have = spark.sparkContext.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
+    if root not in have.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, have) if x)
+
+
 def scan(spark: SparkSession, path: str, contract: Contract, kind: str = "csv", **options: str) -> DataFrame:
     """The declared columns as text with ``_file``; header names are stripped, others ignored, missing ones an error; blank rows go."""
     reader = spark.read.options(**({"header": "true"} if kind == "csv" else {}) | options)
