@@ -62,9 +62,18 @@ def rotate(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", rol
     views = views.join(masks, F.col("conv_id").eqNullSafe(F.col("m_conv")) & (F.col("part") == F.col("m_part")) & (F.col("perspective") == F.col("m_speaker")), "left")
     rendered = F.transform("said", lambda x: F.concat(F.when(x["speaker"] == F.col("perspective"), own_head).otherwise(x["head"]), x["body"]))
     views = views.select("conv_id", "perspective", "part", F.coalesce("masked", F.expr("array()")).alias("masked"), F.size("said").alias("n_turns"), F.array_join(rendered, "").alias("text"))
+    # where parts start: sums of lengths over narrow rows of the conversations that have several, a row a part
+    size = said.groupBy("conv_id", "part").agg(F.sum(F.length("head") + F.length("body")).alias("size"))
+    less = said.groupBy("conv_id", "part", "speaker").agg(F.sum(saved).alias("less"))
+    long_ = size.filter("part > 0").select(F.col("conv_id").alias("of")).distinct()
+    each = size.join(long_, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of").join(speakers.select(F.col("conv_id").alias("of"), "perspective"), F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
+    own_less = less.select(F.col("conv_id").alias("l_conv"), F.col("part").alias("l_part"), F.col("speaker").alias("l_speaker"), "less")
+    each = each.join(own_less, F.col("conv_id").eqNullSafe(F.col("l_conv")) & (F.col("part") == F.col("l_part")) & (F.col("perspective") == F.col("l_speaker")), "left")
     dialogue = Window.partitionBy("conv_id", "perspective").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = each.select(F.col("conv_id").alias("s_conv"), F.col("perspective").alias("s_perspective"), F.col("part").alias("s_part"), F.sum(F.col("size") - F.coalesce("less", F.lit(0))).over(dialogue).alias("start"))
+    views = views.join(starts.filter("s_part > 0"), F.col("conv_id").eqNullSafe(F.col("s_conv")) & (F.col("perspective") == F.col("s_perspective")) & (F.col("part") == F.col("s_part")), "left")
     return views.select(
-        "conv_id", "perspective", "part", F.coalesce(F.sum(F.length("text")).over(dialogue), F.lit(0)).cast("long").alias("part_start"), "n_turns", F.size("masked").alias("n_own"), "text",
+        "conv_id", "perspective", "part", F.coalesce("start", F.lit(0)).cast("long").alias("part_start"), "n_turns", F.size("masked").alias("n_own"), "text",
         F.array_join(F.transform("masked", lambda s: F.concat((s["end"] - s["n"]).cast("string"), F.lit(":"), s["end"].cast("string"))), ",").alias("mask_spans"),
         F.aggregate("masked", F.lit(0), lambda a, s: a + s["n"]).cast("long").alias("mask_chars"),
     )
