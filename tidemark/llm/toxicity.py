@@ -129,10 +129,12 @@ def held_out_of(column: str) -> Column:
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> DataFrame:
-    """text, toxic, fitted: at most ``limit`` rows of labels that are not held out, with their texts; a quarter is not fitted but calibrates."""
+    """text, toxic, fitted: at most ``limit`` rows of labels that are not held out, with their texts; a quarter is not fitted but calibrates.
+    An id is one row, however many documents have it: of several texts the least stands for it, folded where they are read."""
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     some = known.filter(~held_out_of("doc_id")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return docs.join(F.broadcast(some), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic", (F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(4)) > 0).alias("fitted"))
+    one = docs.join(F.broadcast(some), "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    return one.select("text", "toxic", (F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(4)) > 0).alias("fitted"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
