@@ -308,9 +308,8 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         stays = common.written(kept_rows(classes(df, id_col, text_col)), keep=True)
     key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     bare = key.isNull() & F.coalesce(text.rlike(r"\A[ \t\n\x0B\f\r]*\z"), F.lit(True))
-    kept = df.filter(~bare).withColumn("__at", row_key(key, text)).join(stays, F.col("__at") == F.col("__kept"), "left_semi")
-    one = Window.partitionBy("__at").orderBy("__at")
-    kept = kept.withColumn("__row", F.row_number().over(one)).filter("__row = 1").drop("__row", "__at")
+    # repeats of one id and text fold where they are read
+    kept = df.filter(~bare).withColumn("__at", row_key(key, text)).dropDuplicates(["__at"]).join(stays, F.col("__at") == F.col("__kept"), "left_semi").drop("__at")
     return kept.unionByName(df.filter(bare))
 
 
