@@ -109,20 +109,25 @@ def test_measures_equal_brute_force():
 def brute_verdicts(rows):
     """Verdicts with exact arithmetic on sketches that are built by hand."""
     feats, sketches, langs = {}, {}, {}
-    bucket = lambda v: v if v < 32 else 16 * (v.bit_length() - 5) + (v >> (v.bit_length() - 5))
-    top = lambda b: b if b < 32 else ((b % 16 + 17) << (b // 16 - 1)) - 1
+    def edges(v):
+        """The least and the most value of a value's bucket."""
+        width = 1
+        while v >= 128 * width:
+            width *= 2
+        return v - v % width, v - v % width + width - 1
+
     for k, (_, text, lang, source) in enumerate(rows):
-        n, chars, sym, dup, rep, lines, upper, _ = quality.measure(text)
+        n, chars, sym, _, _, upper = quality.measure(text)
         per = lambda a, b, s: s * a // b if b else 0
-        feats[k] = {"symbols": per(sym, chars, 1000), "dup_lines": per(dup, lines, 1000), "repeat_words": per(rep, n, 1000), "upper": per(upper, chars, 1000), "word_length": per(chars, n, 100)}
+        feats[k] = {"symbols": per(sym, chars, 10_000), "upper": per(upper, chars, 10_000), "word_length": per(chars, n, 100)}
         for f, v in feats[k].items():
-            sketches.setdefault((lang, source, f), Counter())[bucket(v)] += 1
-            langs.setdefault((lang, f), Counter())[bucket(v)] += 1
+            sketches.setdefault((lang, source, f), Counter())[edges(v)] += 1
+            langs.setdefault((lang, f), Counter())[edges(v)] += 1
     out = []
     for k, (i, text, lang, source) in enumerate(rows):
         n, _, _, _, rep, *_ = quality.measure(text)
         failed, beyond = n < 20 or 100 * rep > 30 * n, False
-        for f, slack in quality.FEATURES.items():
+        for f, start in (("symbols", 75), ("upper", 50), ("word_length", 50)):
             whole = sum(langs[lang, f].values())
             w = Counter({b: c * whole for b, c in sketches[lang, source, f].items()})
             w.update({b: c * quality.PRIOR for b, c in langs[lang, f].items()})
@@ -133,9 +138,10 @@ def brute_verdicts(rows):
                 for b in sorted(w):
                     below += w[b]
                     if below * 100 >= total * q:
-                        return top(b)
+                        return b
 
-            beyond |= feats[k][f] > at(50) + quality.FENCE * (at(50) - at(quality.LOWER)) + slack
+            middle, low = at(start)[1], at(25)[0]
+            beyond |= feats[k][f] > middle + 12 * (middle - low + 1)
         out.append(str((i, failed, not failed and not beyond)))
     return sorted(out)
 
@@ -150,11 +156,23 @@ def test_verdicts(make, empty):
 
 
 def test_junk_does_not_move_its_own_fence(spark):
-    """40 of 100 documents of a source are full of symbols: they go, the clean ones stay."""
-    clean = [words(60, k) for k in range(60)]
-    junk = [" ".join(w + "#$%"[: 1 + n % 3] for n, w in enumerate(words(60, 100 + k).split())) for k in range(40)]
+    """20 of 100 documents of a source are full of signs: they go, the clean ones stay."""
+    clean = [words(60, k) for k in range(80)]
+    junk = [" ".join(w + "#$%"[: 1 + n % 3] for n, w in enumerate(words(60, 100 + k).split())) for k in range(20)]
     df = spark.createDataFrame([(k, t, "en", "s") for k, t in enumerate(clean + junk)], "doc_id long, text string, lang string, source string")
-    assert sorted(r.doc_id for r in quality.assess(df).filter("kept").collect()) == list(range(60))
+    assert sorted(r.doc_id for r in quality.assess(df).filter("kept").collect()) == list(range(80))
+
+
+def test_what_is_usual_in_a_source_passes_there_only(spark):
+    """The same text in two sources: one of plain prose, one in which most texts are full of signs and capitals."""
+    odd = [" ".join(w.upper() + "#$" * (n % 2) for n, w in enumerate(words(60, 500 + k).split())) for k in range(300)]
+    rows = [(k, words(60, k), "en", "prose") for k in range(400)] + [(1000 + k, words(60, 900 + k), "en", "lists") for k in range(100)]
+    rows += [(2000 + k, t, "en", "lists") for k, t in enumerate(odd)] + [(3000, odd[0], "en", "prose"), (3001, odd[0], "en", "lists")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id for r in quality.assess(df).filter("kept").collect()}
+    assert 3000 not in kept and 3001 in kept and set(range(400)) <= kept
+    fences = {r.origin: r for r in quality.thresholds(quality.sketch(quality.measures(df))).collect()}
+    assert all(fences["=lists"][f"{f}_fence"] > fences["=prose"][f"{f}_fence"] for f in ("symbols", "upper"))
 
 
 def test_sketches_merge(make):

@@ -21,8 +21,9 @@ WITH RECURSIVE w AS (
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least_of.component_id, w.doc_id) AS component_id FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN least_of ON least_of.x = w.doc_id
 """
 
-FEATURES = {"symbols": "1000 * n_symbols // nullif(word_chars, 0)", "dup_lines": "1000 * n_dup_lines // nullif(n_lines, 0)", "repeat_words": "1000 * n_repeat_words // nullif(n_words, 0)", "upper": "1000 * n_upper // nullif(word_chars, 0)", "word_length": "100 * word_chars // nullif(n_words, 0)"}
-SLACK = " ".join(f"WHEN '{k}' THEN {v}" for k, v in quality.FEATURES.items())
+FEATURES = {k: f"{scale} * {a} // nullif({b}, 0)" for k, (a, b, scale, _) in quality.FEATURES.items()}
+START = " ".join(f"WHEN '{k}' THEN {v[3]}" for k, v in quality.FEATURES.items())
+N, SHIFT = 1 << quality.FINE, quality.FINE + 1
 
 QUALITY = rf"""
 WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text, lang, source FROM documents
@@ -32,9 +33,9 @@ WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text
 ), covered AS (SELECT id, count(DISTINCT i + k) AS n FROM g JOIN twice USING (id, g), (SELECT unnest(range(8)) AS k) GROUP BY 1
 ), m AS (
     SELECT w.id, doc_id, lang, source, len(ws) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
-           len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words, len(ls) AS n_lines, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper FROM w LEFT JOIN covered ON covered.id = w.id
+           len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper FROM w LEFT JOIN covered ON covered.id = w.id
 ), f AS ({" UNION ALL ".join(f"SELECT id, lang, source, '{k}' AS feature, coalesce({v}, 0) AS v FROM m" for k, v in FEATURES.items())}
-), k AS (SELECT lang, source, feature, CASE WHEN v < 32 THEN v ELSE 16 * (length(bin(v)) - 5) + (v >> CAST(length(bin(v)) - 5 AS BIGINT)) END AS bucket, count(*) AS n FROM f GROUP BY ALL
+), k AS (SELECT lang, source, feature, CASE WHEN v < {2 * N} THEN v ELSE {N} * (length(bin(v)) - {SHIFT}) + (v >> CAST(length(bin(v)) - {SHIFT} AS BIGINT)) END AS bucket, count(*) AS n FROM f GROUP BY ALL
 ), l AS (SELECT lang, feature, bucket, sum(n) AS n FROM k GROUP BY ALL
 ), t AS (SELECT lang, feature, sum(n) AS total FROM l GROUP BY ALL
 ), u AS (
@@ -43,11 +44,12 @@ WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text
 ), v AS (SELECT lang, source, feature, bucket, sum(weight) AS weight FROM u GROUP BY 1, 2, 3, 4
 ), p AS (SELECT *, sum(weight) OVER (PARTITION BY lang, source, feature ORDER BY bucket) AS below, sum(weight) OVER (PARTITION BY lang, source, feature) AS whole FROM v
 ), q AS (
-    SELECT lang, source, feature, min(top) FILTER (below * 100 >= whole * {quality.LOWER}) AS low, min(top) FILTER (below * 100 >= whole * 50) AS middle
-    FROM (SELECT *, CASE WHEN bucket < 32 THEN bucket ELSE ((bucket % 16 + 17) << CAST(bucket // 16 - 1 AS BIGINT)) - 1 END AS top FROM p) GROUP BY ALL
+    SELECT lang, source, feature, min(least_of) FILTER (below * 100 >= whole * {quality.LOWER}) AS low, min(most_of) FILTER (below * 100 >= whole * CASE feature {START} END) AS middle
+    FROM (SELECT *, CASE WHEN bucket < {2 * N} THEN bucket ELSE (bucket % {N} + {N}) << CAST(bucket // {N} - 1 AS BIGINT) END AS least_of,
+                 CASE WHEN bucket < {2 * N} THEN bucket ELSE ((bucket % {N} + {N + 1}) << CAST(bucket // {N} - 1 AS BIGINT)) - 1 END AS most_of FROM p) GROUP BY lang, source, feature
 ), e AS (
     SELECT id, f.feature FROM f JOIN q ON f.lang IS NOT DISTINCT FROM q.lang AND f.source IS NOT DISTINCT FROM q.source AND f.feature = q.feature
-    WHERE v > middle + {quality.FENCE} * (middle - low) + CASE f.feature {SLACK} END
+    WHERE v > middle + {quality.FENCE} * (middle - low + 1)
 ), b AS (SELECT id, string_agg(feature, ',' ORDER BY list_position({list(quality.FEATURES)}, feature)) AS beyond FROM e GROUP BY 1
 ), r AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m LEFT JOIN b USING (id))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND beyond IS NULL AS kept, coalesce(beyond, '') AS beyond FROM r

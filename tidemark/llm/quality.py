@@ -1,15 +1,17 @@
 """Quality rules with adaptive thresholds: mergeable quantile sketches per language and source replace fixed cutoffs.
 
 1. Each text gets its measures (Python, one pass); they are written once.
-2. A sketch of a measure is a histogram over buckets whose width is 1/16 of their power of two: it is a plain (group, bucket, count)
-   table, so sketches merge by adding counts, in any order, with the same result. A quantile's relative error is at most 1/16.
+2. A sketch of a measure is a histogram over buckets whose width is 1/64 of their power of two: it is a plain (group, bucket, count)
+   table, so sketches merge by adding counts, in any order, with the same result. A quantile's relative error is at most 1/64.
 3. Thresholds of each (language, source) come from the quantiles of its own sketch, merged with ``PRIOR`` times its language's sketch
    scaled to one document, so that small groups lean on their language.
 4. The measures are joined with the thresholds and filtered.
 
-A document that passes the base rules is kept unless a measure lies beyond its group's fence: the median plus ``FENCE`` times its distance
-from the lower quantile, plus a slack of that measure (what clean texts show where most documents show nothing). Junk lies at the upper
-end, so it doesn't move the fence much before it makes up half of a group.
+A document that passes the base rules is kept unless a measure lies beyond its group's fence: a middle quantile plus ``FENCE`` times its
+distance from the lower quartile, both told by the sketch, whose resolution is the least distance. No measure has a cutoff of its own: what
+is usual in a source passes there and not elsewhere. The middle is the median; for signs, which most texts lack, the upper quartile. Junk
+lies at the upper end, so it doesn't move the fence before it makes up half (of signs, a quarter) of a group. Repeated words and lines have
+no fence, as the base rules and their counts cover them.
 
 Null text: no words, so the base rules reject it. Null language or source: a group of its own. Repeated rows count as often as they come.
 An empty table gives no rows. A text is measured whole, in memory that grows with it.
@@ -24,12 +26,14 @@ from pyspark.sql import functions as F
 from . import common
 
 MEASURES = {
-    "doc_id": "long", "lang": "string", "source": "string", "n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "n_lines": "long", "n_upper": "long", "n_distinct": "long",
+    "doc_id": "long", "lang": "string", "source": "string", "n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "n_upper": "long",
 }
 WINDOW = 8
-#: Measures per thousand (or hundredths), with the slack that a group's fence gets in any case.
-FEATURES = {"symbols": 20, "dup_lines": 400, "repeat_words": 300, "upper": 150, "word_length": 100}
-LOWER, FENCE, PRIOR = 25, 8, 50
+#: Measures: numerator, denominator, parts of one, the quantile (in hundredths) that the fence starts from.
+FEATURES = {"symbols": ("n_symbols", "word_chars", 10_000, 75), "upper": ("n_upper", "word_chars", 10_000, 50), "word_length": ("word_chars", "n_words", 100, 50)}
+LOWER, FENCE, PRIOR = 25, 12, 50
+#: Buckets of a power of two, as a power of two.
+FINE = 6
 #: Groups whose thresholds may be broadcast; with more of them the join shuffles.
 BROADCAST_GROUPS = 10_000
 
@@ -73,7 +77,7 @@ def measure(text: str | None) -> tuple[int, ...]:
     lines = [x for x in raw.split(b"\n") if x.strip()] if b"\n" in raw else [raw] * bool(words)
     blank = sum(map(text.count, " \t\n\r\x0b\x0c"))
     upper = len(raw) - len(raw.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
-    return len(words), len(text) - blank, sum(map(text.count, "#*$%&|<>")), len(lines) - len(set(lines)), repeated_words(words), len(lines), upper, len(set(words))
+    return len(words), len(text) - blank, sum(map(text.count, "#*$%&|<>")), len(lines) - len(set(lines)), repeated_words(words), upper
 
 
 def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -87,18 +91,17 @@ def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
 
 def features() -> dict[str, Column]:
     """The measures that get thresholds, as whole numbers."""
-    parts = {"symbols": ("n_symbols", "word_chars", 1000), "dup_lines": ("n_dup_lines", "n_lines", 1000), "repeat_words": ("n_repeat_words", "n_words", 1000), "upper": ("n_upper", "word_chars", 1000), "word_length": ("word_chars", "n_words", 100)}
-    return {k: F.expr(f"if({b} > 0, ({scale} * {a}) div {b}, 0)") for k, (a, b, scale) in parts.items()}
+    return {k: F.expr(f"if({b} > 0, ({scale} * {a}) div {b}, 0)") for k, (a, b, scale, _) in FEATURES.items()}
 
 
 def sketch(measured: DataFrame) -> DataFrame:
-    """language, source, feature, bucket, n: mergeable by adding n. Buckets 0 to 31 hold one value each, above them a power of two has 16."""
+    """language, source, feature, bucket, n: mergeable by adding n. The lowest buckets hold one value each, above them a power of two has 2**FINE."""
     values = F.explode(F.array(*(F.struct(F.lit(k).alias("feature"), c.alias("v")) for k, c in features().items())))
     bits = "length(bin(v))"
     return (
         measured.select(key("lang").alias("language"), key("source").alias("origin"), values.alias("x"))
         .select("language", "origin", "x.feature", "x.v")
-        .withColumn("bucket", F.expr(f"if(v < 32, v, 16 * ({bits} - 5) + shiftright(v, {bits} - 5))"))
+        .withColumn("bucket", F.expr(f"if(v < {2 << FINE}, v, {1 << FINE} * ({bits} - {FINE + 1}) + shiftright(v, {bits} - {FINE + 1}))"))
         .groupBy("language", "origin", "feature", "bucket")
         .agg(F.count("*").alias("n"))
     )
@@ -120,12 +123,13 @@ def thresholds(sketches: DataFrame) -> DataFrame:
     merged = own.unionByName(lent).groupBy("language", "origin", "feature", "bucket").agg(F.sum("w").alias("w"))
     group = Window.partitionBy("language", "origin", "feature")
     placed = merged.withColumn("below", F.sum("w").over(group.orderBy("bucket"))).withColumn("all", F.sum("w").over(group))
-    # a bucket's largest value stands for it
-    top = F.expr("if(bucket < 32, bucket, shiftleft(bucket % 16 + 17, cast(bucket div 16 - 1 as int)) - 1)")
-    at = lambda q: F.min(F.when(F.col("below") * 100 >= F.col("all") * q, top))
-    slack = F.create_map(*(F.lit(x) for kv in FEATURES.items() for x in kv))
-    fences = placed.groupBy("language", "origin", "feature").agg(at(LOWER).alias("low"), at(50).alias("middle"))
-    fences = fences.withColumn("fence", F.col("middle") + FENCE * (F.col("middle") - F.col("low")) + slack[F.col("feature")])
+    n = 1 << FINE
+    low = F.expr(f"if(bucket < {2 * n}, bucket, shiftleft(bucket % {n} + {n}, cast(bucket div {n} - 1 as int)))")
+    high = F.expr(f"if(bucket < {2 * n}, bucket, shiftleft(bucket % {n} + {n + 1}, cast(bucket div {n} - 1 as int)) - 1)")
+    start = F.create_map(*(F.lit(x) for k, v in FEATURES.items() for x in (k, v[3])))[F.col("feature")]
+    at = lambda q, edge: F.min(F.when(F.col("below") * 100 >= F.col("all") * q, edge))
+    fences = placed.groupBy("language", "origin", "feature").agg(at(F.lit(LOWER), low).alias("low"), at(start, high).alias("middle"))
+    fences = fences.withColumn("fence", F.col("middle") + FENCE * (F.col("middle") - F.col("low") + 1))
     return fences.groupBy("language", "origin").agg(*(F.max(F.when(F.col("feature") == k, F.col("fence"))).alias(f"{k}_fence") for k in FEATURES))
 
 
