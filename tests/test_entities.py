@@ -93,3 +93,52 @@ def test_empty_entities(spark):
         assert E.paired(spark.createDataFrame([], ", ".join(f"`{x}` string" for x in c.columns)), c).count() == 0
     with pytest.raises(ValueError, match="missing columns"):
         sheets.scan(spark, "/root/testdata/sf0.001/region.parquet", contracts.RESEARCH, kind="parquet")
+
+
+def test_plans_have_numbers_and_split_codes(spark):
+    base = dict.fromkeys(contracts.PLANS.columns) | {"codigo_dominio_atributo": "AB-C-12 ", "id_problema": "P1"}
+    rows = [base | {"avance": v, "id_problema": str(k)} for k, v in enumerate(["7", "7.0", "-", None, "half"])] + [base | {"codigo_dominio_atributo": "nocode", "id_problema": None}]
+    got = {r.id_problema: r for r in E.plans(spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in contracts.PLANS.columns))).collect()}
+    assert [got[str(k)].avance for k in range(5)] == [7, 7, None, None, None] and got["0"].errors == "" and "half" in got["4"].errors
+    assert (got["0"].codigo_dominio, got["0"].codigo_atributo) == ("AB-C", 12) and "missing: id_problema" in got[None].errors and "nocode" in got[None].errors
+
+
+def test_typed_sheets(spark):
+    rows = [dict.fromkeys(contracts.ATTRIBUTES.columns, "-") | {"codigo_atributo": a, "fecha_aprobada": d} for a, d in (("4.0", "2026-01-31 00:00:00"), ("x", "soon"))]
+    got = E.typed(spark.createDataFrame(rows, ", ".join(f"{c} string" for c in contracts.ATTRIBUTES.columns)), contracts.ATTRIBUTES).collect()
+    assert got[0].codigo_atributo == 4 and str(got[0].fecha_aprobada) == "2026-01-31" and got[0].errors == "" and got[1].errors.count(";") == 1
+    plain = E.typed(spark.createDataFrame([("a", "-", None, " ")], ", ".join(f"`{c}` string" for c in contracts.RESEARCH.columns)), contracts.RESEARCH).first()
+    assert plain.clasificacion == "a" and plain.nombre is None and plain.errors == ""
+
+
+def test_relations_either_way(spark):
+    chosen = spark.createDataFrame([("A", 1, "Código "), ("A", 2, "other")], "domain string, code long, name string")
+    links = spark.createDataFrame([("A", 1, "Código", "B", "x", "RESOLVED"), ("B", 9, "y", "A", "CODIGO", "RESOLVED"), ("B", 9, "y", "C", "codigo", "BROKEN"), ("C", 3, "z", None, None, "NO_LINK")], "origin_domain string, origin_code long, origin_name string, target_domain string, target_name string, state string")
+    got = sorted(tuple(r) for r in E.relation_details(chosen, links).collect())
+    assert got == [("used by", "A", 1, "B", "9 · y", "RESOLVED"), ("uses", "A", 1, "B", "x", "RESOLVED")]
+
+
+def test_research_is_split_by_class(spark):
+    research = spark.createDataFrame([("d", " TÉRMINO"), ("d", "termino"), ("d", "Norma"), ("d", None)], "domain string, classification string")
+    told = {k: v.count() for k, v in E.with_terms({}, research).items()}
+    assert told == {"research": 2, "terms": 2}
+
+
+def test_wide_rows_hide_confidential_details(spark):
+    from tidemark.operators import kpi as K
+
+    attributes = spark.createDataFrame([(d, c, *[f"{p} {c}" for p in K.PLAIN]) for d, c in ((1, 10), (1, 11), (2, 20), (2, 21), (3, 30))], "domain_id long, code long, " + ", ".join(f"{p} string" for p in K.PLAIN)).withColumns({"criticality": F.lit(" CRÍTICO"), "structure": F.when(F.col("code") == 11, "Sí").otherwise("No")})
+    domains = spark.createDataFrame([(1, "A", "a", "Activo"), (2, "B", "b", "Confidencial"), (3, "C", "c", "Inactivo")], "domain_id long, domain string, domain_name string, state_class string")
+    path = "domain_id long, code long, server string, database string, table string, field string"
+    official = spark.createDataFrame([(1, 10, "s2", "d", None, "f", False), (1, 10, "s9", "d", "t", " ", True), (2, 20, "s", "d", "t", "f", True)], path + ", primary boolean")
+    used = spark.createDataFrame([(1, 10, "s", None, "t", "f", "own")], path + ", class string")
+    links = spark.createDataFrame([(10, "RESOLVED")], "id long, state string")
+    people = spark.createDataFrame([(1, 1, "Ana"), (1, 9, "Ben"), (2, 2, None)], "domain long, role_id int, name string")
+    got = {r.code: r for r in K.wide_rows(attributes, domains, official, used, links, people).collect()}
+    assert set(got) == {10, 11, 20, 21}
+    one = got[10]
+    assert (one.full_code, one.official_server, one.official_table, one.official_field, one.official_path) == ("A-10", "s9 | s2", "t | —", "— | f", "s9 / d / t")
+    assert (one.has_official, one.n_official, one.consumption_database, one.link_state, one.role_1, one.other_roles, one.points) == ("Sí", 2, "—", "RESOLVED", "Ana", "Ben", 0)
+    assert got[11].points == 5 and got[11].official_server == "" and got[11].link_state == "" and "critico" not in got[11].search and "ana" in got[11].search
+    assert got[20].official_server == "(confidential)" and got[20].n_official == 1 and got[21].official_server == "" and got[21].points == 3
+    assert len(attributes.columns) == 17 and len([c for c in one.asDict() if not c.startswith(("role_", "other_roles", "search"))]) == 35

@@ -73,6 +73,18 @@ def paired(staged: DataFrame, contract: contracts.Contract) -> DataFrame:
     return with_errors(staged, values, errors)
 
 
+def typed(rows: DataFrame, contract: contracts.Contract) -> DataFrame:
+    """A scanned sheet with its contract's types: whole numbers and declared dates, all else as text, and ``errors``."""
+    values, errors = {c: C.text_or_null(F.col(f"`{c}`")) for c in contract.columns}, []
+    for c in contract.whole:
+        values[c], error = C.tolerant_int(F.col(f"`{c}`"))
+        errors.append(error)
+    for c, declared in contract.dates.items():
+        values[c], error = C.declared_date(F.col(f"`{c}`"), declared)
+        errors.append(error)
+    return with_errors(rows, values, errors) if errors else rows.select(*(c.alias(k) for k, c in values.items()), F.lit("").alias("errors"))
+
+
 def star(facts: DataFrame, lookups: list[tuple[str, DataFrame, str, str, str]]) -> DataFrame:
     """Ids as texts. A lookup: the facts' column, the catalogue, its id, its text, the name of the text; unknown ids give null."""
     for column, catalogue, id_col, text, name in lookups:
@@ -133,3 +145,62 @@ def any_order(c: Column, numeric: bool, descending: bool = False) -> list[Column
     """Numbers by value, other columns by folded text and natural number; null last."""
     keys = [c] if numeric else [C.natural_key(C.fold(c))]
     return [c.isNull(), *(k.desc() if descending else k.asc() for k in keys)]
+
+
+def plans(staged: DataFrame) -> DataFrame:
+    """Plans as ``paired`` has them, with their progress as a whole number and their code as domain and attribute."""
+    told = paired(staged, contracts.PLANS)
+    progress, progress_error = C.tolerant_int(F.col("avance"))
+    domain, attribute, code_error = C.code_parts(F.col("codigo_dominio_atributo"))
+    errors = F.array_join(F.array_compact(F.array(F.nullif("errors", F.lit("")), progress_error, code_error)), "; ")
+    return told.withColumns({"errors": errors, "avance": progress, "codigo_dominio": domain, "codigo_atributo": attribute})
+
+
+#: Fixed value: the class of research that is a glossary's term.
+TERM = "termino"
+
+
+def is_term(classification: Column) -> Column:
+    return F.coalesce(F.trim(C.fold(classification)) == TERM, F.lit(False))
+
+
+def with_terms(sections: dict[str, DataFrame], research: DataFrame, classification: str = "classification") -> dict[str, DataFrame]:
+    """Sections to be counted, research being two of them: terms and all else."""
+    return sections | {"research": research.filter(~is_term(F.col(classification))), "terms": research.filter(is_term(F.col(classification)))}
+
+
+def text_order(*texts: Column) -> list[Column]:
+    """By texts, missing ones as empty."""
+    return [F.coalesce(t, F.lit("")) for t in texts]
+
+
+def responsible_order(role: Column, area: Column, place: Column) -> list[Column]:
+    return text_order(role, area, place)
+
+
+def evidence_order(kind: Column, link: Column) -> list[Column]:
+    return text_order(kind, link)
+
+
+def research_order(classification: Column, name: Column) -> list[Column]:
+    """Names whatever their case."""
+    return text_order(classification, F.lower(name))
+
+
+def consumption_order(kind: Column, *path: Column) -> list[Column]:
+    return text_order(kind, *path)
+
+
+def relation_details(chosen: DataFrame, links: DataFrame) -> DataFrame:
+    """direction, domain, code, other_domain, other, state: links that the chosen attributes declare (uses), and links of others that name
+    one of them inside its domain (used by), case and accents apart.
+
+    chosen: domain, code, name. links: origin_domain, origin_code, origin_name, target_domain, target_name, state.
+    """
+    own = chosen.select("domain", "code", F.trim(C.fold(F.col("name"))).alias("__name"))
+    uses = links.join(own.select("domain", "code"), (F.col("origin_domain") == F.col("domain")) & (F.col("origin_code") == F.col("code")))
+    uses = uses.select(F.lit("uses").alias("direction"), "domain", "code", F.col("target_domain").alias("other_domain"), F.col("target_name").alias("other"), "state")
+    named = own.groupBy("domain", "__name").agg(F.max("code").alias("code"))
+    used = links.join(named, (F.col("target_domain") == F.col("domain")) & (F.trim(C.fold(F.col("target_name"))) == F.col("__name")))
+    used = used.select(F.lit("used by").alias("direction"), "domain", "code", F.col("origin_domain").alias("other_domain"), F.concat(F.col("origin_code").cast("string"), F.lit(" · "), F.col("origin_name")).alias("other"), "state")
+    return uses.unionByName(used)

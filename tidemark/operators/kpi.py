@@ -176,3 +176,53 @@ def groupings(df: DataFrame, columns: list[str]) -> DataFrame:
     """grouping, value, n, n_overdue: the charts of plans."""
     told = F.explode(F.array(*(F.struct(F.lit(c).alias("grouping"), F.coalesce(F.col(c).cast("string"), F.lit("")).alias("value")) for c in columns)))
     return df.select(told.alias("x"), "overdue").groupBy("x.grouping", "x.value").agg(F.count("*").alias("n"), F.count_if("overdue").alias("n_overdue"))
+
+
+HIDDEN = "(confidential)"
+#: Parts of a source's path, and the columns that tell of its attribute.
+PATH = ("server", "database", "table", "field")
+PLAIN = ("name", "description", "criticality", "kind", "shared", "primary_name", "primary_domain", "personal", "personal_class", "report", "project", "process", "structure", "approved", "version")
+
+
+def source_texts(sources: DataFrame, prefix: str, fields: tuple[str, ...], order: list[Column]) -> DataFrame:
+    """One row an attribute (domain_id, code): n_<prefix>, the first one's path, and each field's texts in one order, blanks shown."""
+    listed = F.array_sort(F.collect_list(F.struct(*(c.alias(f"o{k}") for k, c in enumerate(order)), *(F.coalesce(F.nullif(F.trim(f), F.lit("")), F.lit("")).alias(f"f_{f}") for f in fields))))
+    g = sources.groupBy("domain_id", "code").agg(listed.alias("__all"), F.count("*").alias(f"n_{prefix}"))
+    first = F.element_at("__all", 1)
+    path = F.array_join(F.filter(F.array(*(first[f"f_{f}"] for f in PATH)), lambda t: t != ""), " / ")
+    shown = lambda f: F.transform(F.col(f"__all.f_{f}"), lambda t: F.when(t == "", "—").otherwise(t))
+    texts = {f"{prefix}_{f}": F.array_join(shown(f), " | ") for f in fields}
+    return g.select("domain_id", "code", f"n_{prefix}", path.alias(f"{prefix}_path"), *(c.alias(k) for k, c in texts.items()))
+
+
+def wide_rows(attributes: DataFrame, domains: DataFrame, official: DataFrame, consumption: DataFrame, links: DataFrame, people: DataFrame, roles: tuple[int, ...] = REQUIRED_ROLES) -> DataFrame:
+    """One wide row an attribute of published domains: its domain, its own columns (PLAIN), link state, sources of both kinds with counts
+    and joined texts, points, one column a role, and ``search``, the folded text of all that can be searched.
+
+    attributes, official, consumption: domain_id, code and theirs; domains: domain_id, domain, domain_name, state_class; links: id (the
+    attribute's code), state; people: domain (its domain_id), role_id, name. Details of confidential domains' sources are hidden; where an
+    attribute has none, the text is empty there too, and counts and points are the true ones.
+    """
+    by_path = [F.coalesce(F.col(f), F.lit("")) for f in PATH]
+    fo = source_texts(official, "official", PATH, [~F.coalesce(F.col("primary"), F.lit(False)), *by_path])
+    fc = source_texts(consumption, "consumption", ("class", *PATH), [F.coalesce(F.col("class"), F.lit("")), *by_path]).drop("consumption_path")
+    names = role_columns(people, roles).withColumnRenamed("domain", "domain_id")
+    published = domains.filter("state_class <> 'Inactivo'").select("domain_id", "domain", "domain_name", "state_class")
+    rows = attributes.join(published, "domain_id").join(fo, ["domain_id", "code"], "left").join(fc, ["domain_id", "code"], "left").join(names, "domain_id", "left")
+    rows = rows.join(links.select(F.col("id").alias("code"), F.col("state").alias("link_state")), "code", "left").na.fill(0, ["n_official", "n_consumption"])
+    secret = F.col("state_class") == "Confidencial"
+    hide = lambda c, n: F.when(secret, F.when(F.col(n) > 0, HIDDEN).otherwise("")).otherwise(F.coalesce(c, F.lit("")))
+    critical = F.coalesce(fold_spaces(F.col("criticality")) == "critico", F.lit(False))
+    told = {
+        "full_code": F.concat_ws("-", "domain", F.col("code").cast("string")), "link_state": F.coalesce("link_state", F.lit("")),
+        "has_official": F.when(F.col("n_official") > 0, "Sí").otherwise("No"), "has_consumption": F.when(F.col("n_consumption") > 0, "Sí").otherwise("No"),
+        "points": points(penalty_class(critical, F.coalesce(F.col("structure") == "Sí", F.lit(False)), F.col("n_official") > 0)),
+        "official_path": hide(F.col("official_path"), "n_official"), **{f"official_{f}": hide(F.col(f"official_{f}"), "n_official") for f in PATH},
+        **{f"consumption_{f}": hide(F.col(f"consumption_{f}"), "n_consumption") for f in ("class", *PATH)},
+    }
+    rows = rows.withColumns(told)
+    role_names = [*(f"role_{r}" for r in roles), "other_roles"]
+    searched = [F.col("full_code"), *(F.col(c) for c in ("name", "description", "primary_name", "primary_domain", "kind", "personal_class", *role_names)), *(F.col(c) for c in rows.columns if c.startswith(("official_", "consumption_")) and c != "official_path")]
+    rows = rows.withColumn("search", fold(F.concat_ws(" ", *(F.nullif(c, F.lit("")) for c in searched))))
+    sources = ["has_official", "n_official", "official_path", *(f"official_{f}" for f in PATH), "has_consumption", "n_consumption", "consumption_class", *(f"consumption_{f}" for f in PATH)]
+    return rows.select("domain", "domain_name", "state_class", "full_code", "code", *PLAIN, "link_state", *sources, "points", *role_names, "search")

@@ -141,9 +141,9 @@ def load_detail_rows(spark, sf):
     return G.load_details(loads(spark, sf).select("id_load", F.col("state").alias("stage"), (F.col("domain") % 3).cast("bigint").alias("object")))
 
 
-@query(f"WITH {REL} SELECT id, state, state IN ('RESOLVED', 'TARGET_INACTIVE', 'NO_TYPE', 'SAME_DOMAIN') AS drawn FROM lk WHERE state <> 'NO_LINK' OR id % 10 = 1".replace("state IN ('RESOLVED', 'TARGET_INACTIVE', 'NO_TYPE', 'SAME_DOMAIN')", "state IN ({})".format(", ".join(f"'{s}'" for s in R.DRAWN))))
+@query(f"WITH {REL} SELECT id, state, state IN ('RESOLVED', 'TARGET_INACTIVE', 'NO_TYPE', 'SAME_DOMAIN') AS drawn FROM lk ".replace("state IN ('RESOLVED', 'TARGET_INACTIVE', 'NO_TYPE', 'SAME_DOMAIN')", "state IN ({})".format(", ".join(f"'{s}'" for s in R.DRAWN))))
 def all_relations(spark, sf):
-    told = links(spark, sf).filter("state <> 'NO_LINK' or id % 10 = 1")
+    told = links(spark, sf)
     drawn = told.filter(F.col("state").isin(*R.DRAWN)).select("id", "state", F.lit(True).alias("drawn"))
     return drawn.unionByName(R.problems(told).select("id", "state", F.lit(False).alias("drawn")))
 
@@ -177,10 +177,10 @@ def applied_counts(spark, sf):
     return M.action_counts(applied, ["domain"], (M.INSERT, M.UPDATE, M.REPLACE, M.DELETE, M.SKIP, "UNCHANGED"))
 
 
-@query(f"WITH {merging.BASE} SELECT domain, k, action, existing_id, old_date, new_date FROM plan WHERE domain = 3")
+@query(f"WITH {merging.BASE} SELECT domain, k, action, existing_id, old_date, new_date FROM plan")
 def dry_run(spark, sf):
     """The plan alone: nothing is written without a sink."""
-    plan = M.merge_plan(merging.existing(spark, sf), merging.incoming(spark, sf), ["domain", "k"]).filter("domain = 3")
+    plan = M.merge_plan(merging.existing(spark, sf), merging.incoming(spark, sf), ["domain", "k"])
     return M.planned(plan, None)
 
 
@@ -189,18 +189,6 @@ def distinct_keys(spark, sf):
     return E.distinct_keys(table(spark, sf, "customer").selectExpr("case c_custkey % 9 when 0 then null when 1 then ' - ' else concat(c_mktsegment, ' ') end as key"), "key")
 
 
-SECTIONS = {"customers": "(SELECT c_nationkey AS d FROM customer)", "suppliers": "(SELECT s_nationkey AS d FROM supplier)", "orders": "(SELECT c_nationkey AS d FROM orders JOIN customer ON o_custkey = c_custkey)", "urgent": "(SELECT c_nationkey AS d FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT')"}
-SECTION_SQL = "WITH c AS (SELECT n_nationkey AS domain, " + ", ".join(f"(SELECT count(*) FROM {q} x WHERE x.d = n_nationkey) AS {n}" for n, q in SECTIONS.items()) + " FROM nation) SELECT * FROM c UNION ALL SELECT NULL, " + ", ".join(f"CAST(sum({n}) AS BIGINT)" for n in SECTIONS) + " FROM c"
-
-
-@query(SECTION_SQL)
-def section_counts(spark, sf):
-    c, o = table(spark, sf, "customer"), table(spark, sf, "orders")
-    sold = o.join(c, F.expr("o_custkey = c_custkey")).selectExpr("c_nationkey as domain", "o_orderpriority as p")
-    sections = {"customers": c.selectExpr("c_nationkey as domain"), "suppliers": table(spark, sf, "supplier").selectExpr("s_nationkey as domain"), "orders": sold, "urgent": sold.filter("p = '1-URGENT'")}
-    return E.section_counts(table(spark, sf, "nation").selectExpr("n_nationkey as domain"), sections)
-
-
 STAR = "SELECT o_orderkey AS k, c_name AS customer, n_name AS nation, r_name AS region FROM orders LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey"
 
 
@@ -225,22 +213,13 @@ def entity_snapshot(spark, sf):
     return out
 
 
-@query("""SELECT 'responsible' AS entity, CAST(s_nationkey AS VARCHAR) AS domain, '{"name":"' || s_name || '","nation":"' || n_name || '"}' AS fields FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE s_acctbal > 0
-UNION ALL SELECT 'attribute', CAST(c_nationkey AS VARCHAR), '{"k":' || CAST(c_custkey AS VARCHAR) || ',"segment":"' || c_mktsegment || '","nation":"' || n_name || '"}' FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_acctbal > 0""")
-def whole_model(spark, sf):
-    n = [("domain", table(spark, sf, "nation"), "n_nationkey", "n_name", "nation")]
-    s = table(spark, sf, "supplier").filter("s_acctbal > 0").selectExpr("s_nationkey as domain", "s_name as name")
-    c = table(spark, sf, "customer").filter("c_acctbal > 0").selectExpr("c_nationkey as domain", "c_custkey as k", "c_mktsegment as segment")
-    return E.model({"responsible": E.star(s, n), "attribute": E.star(c, n)})
-
-
 @query(f"""WITH {REL}, l AS (SELECT domain_id AS d, count(*) FILTER (state = 'RESOLVED') AS n_resolved, count(*) FILTER (state <> 'RESOLVED') AS n_pending FROM lk WHERE state <> 'NO_LINK' GROUP BY 1),
-x AS (SELECT n_nationkey AS domain, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey AND c_custkey % 40 = 0) AS n_consumption, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey AND s_suppkey % 20 = 0) AS n_evidence, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey AND c_acctbal > 9900) AS n_terms FROM nation)
+x AS (SELECT n_nationkey AS domain, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey AND c_acctbal > 9950) AS n_consumption, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal > 9000) AS n_evidence, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey AND c_acctbal > 9900) AS n_terms FROM nation)
 SELECT x.*, n_resolved, n_pending, n_consumption > 0 AS has_consumption, n_evidence > 0 AS has_evidence, n_terms > 0 AS has_terms, n_pending = 0 AS links_complete FROM x LEFT JOIN l ON d = domain""")
 def compliance_flags(spark, sf):
     c, s = table(spark, sf, "customer"), table(spark, sf, "supplier")
     told = links(spark, sf).filter("state <> 'NO_LINK'").select(F.col("domain_id").alias("domain"), (F.col("state") == "RESOLVED").alias("resolved"))
-    return E.compliance(table(spark, sf, "nation").selectExpr("n_nationkey as domain"), c.filter("c_custkey % 40 = 0").selectExpr("c_nationkey as domain"), s.filter("s_suppkey % 20 = 0").selectExpr("s_nationkey as domain"), c.filter("c_acctbal > 9900").selectExpr("c_nationkey as domain"), told)
+    return E.compliance(table(spark, sf, "nation").selectExpr("n_nationkey as domain"), c.filter("c_acctbal > 9950").selectExpr("c_nationkey as domain"), s.filter("s_acctbal > 9000").selectExpr("s_nationkey as domain"), c.filter("c_acctbal > 9900").selectExpr("c_nationkey as domain"), told)
 
 
 @query("""WITH a AS (SELECT o_orderkey AS k FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')) SELECT 'official' AS section, l_orderkey AS k, l_linestatus AS detail FROM lineitem WHERE l_linenumber = 1 AND l_orderkey IN (FROM a) UNION ALL SELECT 'consumption', l_orderkey, l_returnflag FROM lineitem WHERE l_linenumber > 1 AND l_orderkey IN (FROM a)""")

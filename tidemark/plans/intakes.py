@@ -96,6 +96,20 @@ def submission_intake(spark, sf):
     return run().select(F.regexp_extract("file", "file=([^/]*)/", 1).alias("file"), "domain", "state", "n_rows", "n_errors", *ACTIONS)
 
 
+@query("""WITH t AS (SELECT event_type AS domain, user_id AS code FROM events GROUP BY 1, 2) SELECT 'all-' || domain AS file, domain, 'MERGE_OK' AS state, count(*) AS n_rows, count(*) AS n_inserts, 0 AS n_versions FROM t GROUP BY domain""")
+def dry_submissions(spark, sf):
+    """First loads of all domains without a sink: outcomes are those of a run, and there is no version afterwards."""
+    root = shared_folder(spark)
+    job, folder = submissions(spark, root), f"{root}/arriving"
+    job.dry = True
+    rows = totals(spark, sf).withColumn("approval_date", F.expr(DAY)).withColumn("file", F.concat(F.lit("all-"), "domain"))
+    heads = rows.select("file", "domain").distinct().select("file", control(domain=F.col("domain")).alias("value"))
+    arrive(lines(rows).union(heads), folder)
+    job.start(spark, folder, f"{root}/checkpoint").awaitTermination()
+    told = [(f["file"].split("file=")[1].split("/")[0], f["domain"], f["state"], f["n_rows"], f["insert"], len(job.store.numbers())) for f in job.outcomes]
+    return spark.createDataFrame(told, "file string, domain string, state string, n_rows long, n_inserts long, n_versions int")
+
+
 LINKED = """p AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey * 10 + 1 ELSE o_orderkey * 10 END AS id FROM orders WHERE o_orderkey % 5 <> 0),
 li AS (SELECT l_orderkey AS k, l_linenumber AS line, max(l_quantity) AS quantity FROM lineitem GROUP BY 1, 2),
 o AS (SELECT k, line, k * 100 + line AS id, quantity, k * 10 AS parent_id FROM li WHERE line % 3 <> 0),

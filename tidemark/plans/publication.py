@@ -74,17 +74,6 @@ def structure_differences(spark, sf):
     return told.select("file", F.array_join("missing", ",").alias("missing"), F.array_join(F.array_sort("unexpected"), ",").alias("unexpected"))
 
 
-@query("SELECT n_nationkey AS domain, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS n_customers, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey) AS n_suppliers, (SELECT count(*) FROM customer JOIN orders ON o_custkey = c_custkey WHERE c_nationkey = n_nationkey AND o_orderstatus = 'P') AS n_pending FROM nation")
-def domain_overview(spark, sf):
-    n, c, s, o = (table(spark, sf, t) for t in ("nation", "customer", "supplier", "orders"))
-    pending = o.filter("o_orderstatus = 'P'").join(c, F.expr("o_custkey = c_custkey")).groupBy(F.col("c_nationkey").alias("domain")).agg(F.count("*").alias("n_pending"))
-    counts = [c.groupBy(F.col("c_nationkey").alias("domain")).agg(F.count("*").alias("n_customers")), s.groupBy(F.col("s_nationkey").alias("domain")).agg(F.count("*").alias("n_suppliers")), pending]
-    out = n.select(F.col("n_nationkey").alias("domain"))
-    for df in counts:
-        out = out.join(df, "domain", "left")
-    return out.na.fill(0)
-
-
 @query(f"WITH {REL} SELECT origin, target, type, n, n_inactive, row_number() OVER (ORDER BY n DESC, origin, target, type) AS id FROM ed")
 def edge_ids(spark, sf):
     ordered = R.edges(links(spark, sf)).withColumn("less", -F.col("n"))

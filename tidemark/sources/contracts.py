@@ -15,6 +15,7 @@ ATTRIBUTES = Contract(
     ),
     key="codigo_dominio",
     dates={"fecha_aprobada": STORED},
+    whole=("codigo_atributo",),
 )
 OFFICIAL_SOURCES = Contract(
     "MetadataTecnica",
@@ -46,6 +47,7 @@ PLANS = Contract(
     key="codigo_dominio_atributo",
     by_prefix=True,
     dates={"fecha_identificacion": STORED, "fecha_finalizacion_definitiva": STORED, "fecha_ultima_modificacion": STORED},
+    whole=("avance",),
 )
 
 ALL = (ATTRIBUTES, OFFICIAL_SOURCES, CONSUMPTION, RESEARCH, RESPONSIBLES, EVIDENCE, PLANS)

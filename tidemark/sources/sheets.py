@@ -25,6 +25,8 @@ class Contract:
     inherits_key: bool = False
     dates: dict[str, str] = field(default_factory=dict)
     widths: dict[str, int] = field(default_factory=dict)
+    #: Columns that are whole numbers.
+    whole: tuple[str, ...] = ()
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -10,13 +10,16 @@ Files of one domain take effect one after the other, by name, as each may build
 one file a domain at most. Waves are numbered in the published version; a batch that is run again goes on behind the last one. If another
 writer publishes in between, the wave is done anew on its version.
 
+Each wave's files also go to ``outcomes``. With ``dry`` that is all: rows are typed, judged and merged against the last version, and no
+version is published.
+
 Only the slices of the batch's domains are read or written. What the driver gets is one row a file, ``files_per_batch`` at most.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -52,6 +55,9 @@ class Submissions:
     fields: list[str]
     date: str = "approval_date"
     name: str = "submissions"
+    #: A dry run judges and merges as any run, and publishes nothing: ``outcomes`` has what the load history would get.
+    dry: bool = False
+    outcomes: list[dict] = field(default_factory=list)
 
     def heads(self, lines: DataFrame) -> list[dict]:
         """One record a file: control, domain of its rows, fingerprint of its columns, content, gate before its base is looked at."""
@@ -118,6 +124,9 @@ class Submissions:
             good = [f for f in accepted.values() if f["state"] == "MERGE_OK"]
             if good:
                 parts += self.merged(typed.filter(F.col("id_load").isin([f["id_load"] for f in good])).drop("errors"), good, now, counters, work)
+        self.outcomes += files
+        if self.dry:
+            return
         loads = spark.createDataFrame([tuple(f[c] for c in ("id_load", "file", "domain", "state", "hash", "base_id", "n_rows", "n_errors", "message", *ACTIONS)) for f in files], LOAD)
         parts.append(Part(LOADS, loads.withColumn("place", F.coalesce("domain", F.lit(NOWHERE))), "place", tuple(sorted({f["domain"] or NOWHERE for f in files})), append=True))
         self.store.publish(parts, now, counters, batch=(self.name, mark))
