@@ -48,7 +48,7 @@ def change_summary(changed: DataFrame, sections: DataFrame, section: str) -> Dat
 
 
 def first_rows(df: DataFrame, section: str, order: list[Column], n: int) -> DataFrame:
-    """The first n rows of each section and how many more there are. Only n + 1 rows of a section are ever ranked at full width."""
+    """The first n rows of each section and how many more there are. All rows are ranked; Spark keeps the first n of a group as it ranks."""
     w = Window.partitionBy(section)
     ranked = df.withColumn("rank", F.row_number().over(w.orderBy(*order)))
     more = df.groupBy(section).agg(F.greatest(F.count("*") - n, F.lit(0)).alias("n_more"))
