@@ -41,6 +41,20 @@ def test_long_dialogues_come_in_parts(spark):
             assert all(r.text[int(a) :].startswith("t") and r.text[int(b) - 10 : int(b)] == "<|im_end|>" for a, b in (x.split(":") for x in r.mask_spans.split(",") if x))
 
 
+def test_no_window_carries_texts(spark):
+    """A dialogue without an id that is a third of all rows: parts start where the ones before them end, and windows are narrow."""
+    rows = [(None, k, f"s{k % 3}", f"turn {k}", 0, "") for k in range(300)] + [(k % 90, k, "ann", f"t{k}", 0, "") for k in range(600)]
+    got = chat.rotate(spark.createDataFrame(rows, CONV), part_turns=50)
+    for who in ("s0", "s1", "s2"):
+        at = 0
+        for r in sorted((r for r in got.collect() if r.conv_id is None and r.perspective == who), key=lambda r: r.part):
+            assert r.part_start == at
+            at += len(r.text)
+        assert at > 0
+    windows = [line for line in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window [" in line]
+    assert windows and not any("array_join" in line for line in windows)
+
+
 def check(df, shards=16):
     got = sharding.shard(df, shards=shards).collect()
     sizes = Counter(r.shard for r in got)
