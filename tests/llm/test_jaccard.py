@@ -103,3 +103,34 @@ def test_rows_without_id_and_ids_with_two_texts(make):
     roots = [{b[k][1] for k in range(len(t)) if (ids[k], t[k]) == row} for row in kept]
     assert sorted(min(x) for (_, text), x in zip(kept, roots, strict=True) if text) == sorted({c for k, (_, c) in enumerate(b) if t[k]}) and len(kept) == len({c for _, c in b})
     assert all(i == min((j for j, (_, c) in zip(ids, b, strict=True) if {c} == x and j is not None), default=None) for (i, text), x in zip(kept, roots, strict=True) if text)
+
+
+def test_cells_divide_recursively(make, monkeypatch):
+    """With cells and blocks of a few members, links around the limit are still all found."""
+    monkeypatch.setattr(jaccard, "SMALL", 12)
+    monkeypatch.setattr(jaccard, "BLOCK", 3)
+    rounds, cells = [], jaccard.cells
+    monkeypatch.setattr(jaccard, "cells", lambda m: rounds.append(cells(m)) or rounds[-1])
+    r = random.Random(11)
+    base = words(200, 11)
+    # sizes from 120 to 330 words, a chain, and many edits: balls around two pivots don't cover them
+    t = [edited(base, r.randrange(3, 9), r) for _ in range(40)] + [edited(" ".join(base.split()[: r.randrange(150, 200)]), 3, r) for _ in range(40)]
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.digests(make(t)).collect()}
+    assert [got[k] for k in range(len(t))] == brute(t)
+    parts, sizes = rounds[0]
+    assert max(x.nl for x in sizes.collect()) < 80 and parts.count() > 0
+
+
+def test_texts_of_one_template_do_not_meet(make):
+    """Texts that share 56 of 67 shingles have a similarity of 0.72: the cores leave the template out, so there is nothing to compare."""
+    r = random.Random(13)
+    template = words(60, 13)
+    t = [" ".join([template, *(f"own{r.randrange(10**9)}" for _ in range(11))]) for _ in range(60)]
+    t += [edited(x, 0, r) + " end" for x in t[:5]]
+    docs = make(t)
+    keyed = docs.selectExpr("doc_id", "text", "xxhash64(doc_id, text) at")
+    late = jaccard.frequent(jaccard.summaries(keyed.coalesce(1)))
+    members = jaccard.regions(docs, late).collect()
+    assert max(sum(m.region == x for m in members) for x in {m.region for m in members}) == 2
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.digests(docs).collect()}
+    assert [got[k] for k in range(len(t))] == brute(t)

@@ -1,15 +1,19 @@
 """Exact Jaccard join of documents' word shingle sets as a metric-space join, reduced to classes and components.
 
 1. Equal sets are one node, so copies never meet as pairs.
-2. Regions: two sets with a similarity of at least 80 % share one of their first n // 5 + 1 shingles in any common order, so each shared
-   first shingle spans a region, and every link lies in one. The order puts frequent shingles last (a sketch of their counts says which;
-   it changes the work, not the result). Regions with the same members count once.
+2. Regions: of two sets with a similarity of at least 80 %, the first n // 9 + 1 shingles of the smaller and the first n // 5 + 1 of the
+   larger one share a shingle in any common order, so each shingle that is among the former of one set (its core) and the latter of another
+   spans a region, and every link lies in one, with its smaller set in the core. The order puts frequent shingles last (a sketch of their
+   counts says which; it changes the work, not the result), so texts of one template meet in a region only if they are nearly similar.
+   Regions with the same members count once. Frequent shingles are counted by partial aggregates, so none is gathered in a task.
 3. Each region's pivot is its smallest node. Members are compared with the pivot; those within the radius join its ball, and components
    of the links found so far need no further comparison inside. Regions that still hold several components take their member nearest to
    the pivot as second pivot and compare again.
-4. What is left joins by triangle-inequality windows: bitmaps of the sets under Hamming distance are a metric space, and linked sets'
-   distances to the pivot differ by at most a ninth of their sizes' sum. Documents are keyed by (region, size class, distance window) and
-   replicated to the neighbouring windows, so every link meets; pairs of one component are left out.
+4. What is left joins by triangle-inequality windows, recursively: bitmaps of the sets under Hamming distance are a metric space, and
+   linked sets' distances to a pivot differ by at most a ninth of their sizes' sum. A cell (region and size class) that is not small takes
+   a pivot of its own and is divided into windows of distance; core members are replicated to the neighbouring windows, so every link
+   meets. Its parts are cells in turn, until they are small or keep over half of the work of the cell they come from; those are compared
+   in blocks of bounded size. Pairs of one component are left out.
 
 A pair is first held against the bitmaps (their distance is at most that of the sets), then decided by its sets, from whole texts.
 
@@ -21,6 +25,7 @@ Shingles, sets and row keys compare by 64-bit hashes.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections import OrderedDict
 
@@ -35,6 +40,8 @@ SHINGLE, CACHE = 5, 300_000
 BUCKETS, SURPRISE = 1 << 20, 6.0
 #: Bits of the smallest bitmaps, to which all fold for the comparison inside windows.
 SKETCH = 1024
+#: Comparisons that a cell may cost without being divided, and members of either side in a block of one that can't be divided.
+SMALL, BLOCK = 10_000, 2048
 MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -126,38 +133,48 @@ def frequent(told: DataFrame) -> np.ndarray:
     return out
 
 
-def first_shingles(docs: DataFrame, late: np.ndarray) -> DataFrame:
-    """shingle, node: the first n // 5 + 1 shingles of each set, frequent ones last."""
-    schema = {"shingle": "long", "node": "long"}
+def first_shingles(docs: DataFrame, late: np.ndarray, hot: bool) -> DataFrame:
+    """shingle, node, core: the first n // 5 + 1 shingles of each set, frequent ones last, and whether they are of the first n // 9 + 1. Only
+    the frequent ones if hot, otherwise only the others."""
+    schema = {"shingle": "long", "node": "long", "core": "boolean"}
     packed = np.packbits(late)
 
     def make():
         last, told = np.unpackbits(packed).astype(bool), set()
 
         def f(texts):
-            tokens, nodes = [], []
+            tokens, nodes, core = [], [], []
             for s in sets_of(texts):
                 node = node_of(s)
                 # a task tells of a set once, as far as it remembers
                 if len(s) and node not in told:
                     heavy = last[s & np.uint64(BUCKETS - 1)]
-                    tokens.append(np.concatenate([s[~heavy], s[heavy]])[: len(s) // 5 + 1].view(np.int64))
-                    nodes.append(np.full(len(tokens[-1]), node, np.int64))
+                    first, light = len(s) // 5 + 1, len(s) - int(heavy.sum())
+                    some = s[heavy][: max(0, first - light)] if hot else s[~heavy][:first]
+                    tokens.append(some.view(np.int64))
+                    nodes.append(np.full(len(some), node, np.int64))
+                    core.append(np.arange(len(some)) + (light if hot else 0) <= len(s) // 9)
                     if len(told) >= CACHE:
                         told.clear()
                     told.add(node)
-            return [np.concatenate(x) if x else [] for x in (tokens, nodes)]
+            return [np.concatenate(x) if x else [] for x in (tokens, nodes, core)]
 
         return f
 
     return common.map_rows(docs, ["text"], schema, make)
 
 
-def regions(firsts: DataFrame) -> DataFrame:
-    """region, pivot, node: members of each shared first shingle; regions with the same members count once."""
+def regions(docs: DataFrame, late: np.ndarray) -> DataFrame:
+    """region, pivot, node, core: members of each shingle that is in the core of one set and among the first ones of another; regions with
+    the same members count once, core is true where one of their shingles says so."""
+    marks = {"low": F.min("node"), "high": F.max("node"), "mix": F.bit_xor("node"), "n": F.count("node"), "sum": F.sum(F.hash("node").cast("long")), "cored": F.max("core")}
     same = Window.partitionBy("shingle")
-    marked = firsts.select("node", *(f("node").over(same).alias(k) for k, f in (("low", F.min), ("high", F.max), ("mix", F.bit_xor), ("n", F.count))), F.sum(F.hash("node").cast("long")).over(same).alias("sum"))
-    return marked.filter("low <> high").select(F.xxhash64("low", "high", "mix", "n", "sum").alias("region"), F.col("low").alias("pivot"), "node").distinct()
+    light = first_shingles(docs, late, hot=False).select("node", "core", *(m.over(same).alias(k) for k, m in marks.items())).filter("cored and low <> high")
+    # frequent shingles: no task gets all rows of one
+    hot = common.written(first_shingles(docs, late, hot=True).distinct())
+    shared = hot.groupBy("shingle").agg(*(m.alias(k) for k, m in marks.items())).filter("cored and low <> high")
+    marked = light.unionByName(hot.join(shared, "shingle").select(light.columns))
+    return marked.groupBy(F.xxhash64("low", "high", "mix", "n", "sum").alias("region"), F.col("low").alias("pivot"), "node").agg(F.max("core").alias("core"))
 
 
 def near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -228,21 +245,57 @@ def apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     return told.join(mixed, "region")
 
 
-def windows(members: DataFrame) -> DataFrame:
-    """a, b: pairs of one region, of different components, whose sizes and distances to the pivot allow a link; a < b.
+def cells(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(parts, sizes): members dealt out so that those who may link meet in exactly one cell, recursively.
 
-    members: region, node, component, n (set size), h (distance to the region's pivot at one bitmap size), sketch (``folded``).
+    members: region, node, component, core, n (set size), h (distance to the region's pivot), hn (the bitmaps' size there), sketch
+    (``folded``). parts: cell, left (core members stand left of all members of at least their size), and members' columns; sizes: cell,
+    nl, nr (rows of either side). Each round divides cells that cost over SMALL comparisons and halve at least, so rounds are at most the
+    logarithm of the largest region's comparisons.
     """
-    # linked sets' distances to the pivot differ by a ninth of their sizes' sum at most: so much is a region's window
-    step = members.groupBy("region").agg(F.greatest(F.lit(1.0), F.max("n") * 2 / 9).alias("step"))
-    placed = members.join(step, "region").withColumn("place", F.floor(F.col("h") / F.col("step")).cast("long"))
-    side = lambda x, place: placed.select("region", F.col("node").alias(x), F.col("component").alias(f"c{x}"), F.col("n").cast("int").alias(f"n{x}"), F.col("h").cast("int").alias(f"h{x}"), F.col("sketch").alias(f"s{x}"), place.alias("place"))
-    l = side("a", F.explode(F.array(*(F.col("place") + k for k in (-1, 0, 1))))).alias("l")  # noqa: E741
-    r = side("b", F.col("place")).alias("r")
-    keys = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in ("region", "place")]
-    sizes = F.expr("a < b and ca <> cb and 5 * least(na, nb) >= 4 * greatest(na, nb) and 9 * abs(ha - hb) <= na + nb")
+    # a larger partner has at most 5/4 of the size: it is in the same class or the next
+    classed = members.withColumn("above", F.explode(F.expr("if(core, array(-1, 0, 1), array(-1))")))
+    parts = classed.select(
+        F.xxhash64("region", F.length(F.bin("n")) + F.greatest("above", F.lit(0))).alias("cell"), (F.col("above") >= 0).alias("left"), "node", "component", "n", "h", "hn", "sketch", F.lit(None).cast("double").alias("was"),
+    )
+    done, counted = [], []
+    while True:
+        parts = common.written(parts)
+        told = parts.groupBy("cell").agg(
+            F.count_if("left").cast("double").alias("nl"), F.count_if(~F.col("left")).cast("double").alias("nr"), F.max("was").alias("was"), F.min("component").alias("c1"), F.max("component").alias("c2"),
+            F.greatest(F.lit(1.0), F.max("n") * 2 / 9).alias("step"), F.min(F.when(F.col("left"), F.col("node"))).alias("pivot"),
+        )
+        told = common.written(told.filter("nl > 0 and nr > 0 and c1 <> c2").withColumn("divide", F.expr(f"nl * nr > {SMALL} and (was is null or 2 * nl * nr <= was)")))
+        ready = told.filter("not divide")
+        done.append(parts.drop("was").join(ready.select("cell"), "cell", "left_semi"))
+        counted.append(ready.select("cell", "nl", "nr"))
+        if told.filter("divide").limit(1).count() == 0:
+            break
+        pivots = parts.filter("left").join(told.filter("divide").select("cell", F.col("pivot").alias("node"), "step", (F.col("nl") * F.col("nr")).alias("work")), ["cell", "node"])
+        pivots = pivots.groupBy("cell").agg(F.first("sketch").alias("at"), F.first("step").alias("step"), F.first("work").alias("work"))
+        far = F.expr("aggregate(zip_with(sketch, at, (x, y) -> bit_count(x ^ y)), 0, (t, x) -> t + x)")
+        placed = parts.drop("was").join(pivots, "cell").withColumn("place", F.floor(far / F.col("step")).cast("long"))
+        # core members go to the neighbouring windows too
+        placed = placed.withColumn("k", F.explode(F.expr("if(left, array(-1, 0, 1), array(0))")))
+        parts = placed.select(F.xxhash64("cell", F.col("place") + F.col("k")).alias("cell"), "left", "node", "component", "n", "h", "hn", "sketch", F.col("work").alias("was"))
+    union = lambda tables: functools.reduce(DataFrame.unionByName, tables)
+    return union(done), union(counted)
+
+
+def windows(members: DataFrame) -> DataFrame:
+    """a, b: pairs that share a cell, of different components, whose sizes, distances to pivots and sketches allow a link; a < b. Sides of
+    more than BLOCK members are compared block by block, so no task gets all of a cell."""
+    parts, sizes = cells(members)
+    dealt = parts.join(sizes, "cell").select("*", F.ceil(F.col("nl") / BLOCK).cast("int").alias("p"), F.ceil(F.col("nr") / BLOCK).cast("int").alias("q"))
+    own = F.pmod(F.hash("node"), F.when(F.col("left"), F.col("p")).otherwise(F.col("q")))
+    dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, if(left, q, p) - 1)")))
+    # keyed by cell, block of the left side, block of the right side
+    side = lambda x, left, i, j: dealt.filter(F.col("left") == left).select("cell", F.col(i).alias("i"), F.col(j).alias("j"), F.col("node").alias(x), F.col("component").alias(f"c{x}"), F.col("n").cast("int").alias(f"n{x}"), F.col("h").cast("int").alias(f"h{x}"), F.col("hn").alias(f"r{x}"), F.col("sketch").alias(f"s{x}"))
+    l, r = side("a", True, "own", "other").alias("l"), side("b", False, "other", "own").alias("r")  # noqa: E741
+    keys = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in ("cell", "i", "j")]
+    allowed = F.expr("a <> b and ca <> cb and na <= nb and 5 * na >= 4 * nb and (ra <> rb or 9 * abs(ha - hb) <= na + nb)")
     apart_bits = F.expr("9 * aggregate(zip_with(sa, sb, (x, y) -> bit_count(x ^ y)), 0, (t, x) -> t + x) <= na + nb")
-    return l.join(r, [*keys, sizes, apart_bits]).select("a", "b").distinct()
+    return l.join(r, [*keys, allowed, apart_bits]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -251,7 +304,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     docs = df.select(key.alias("doc_id"), row_key(key, text).alias("at"), text.alias("text"))
     told = common.written(summaries(docs))
     rows = told.filter("bucket is null").drop("bucket", "n")
-    members = common.written(regions(first_shingles(docs, frequent(told))))
+    members = common.written(regions(docs, frequent(told)))
     some = members.select("node").distinct()
     # one row a node: copies fold before anything is joined
     first_rows = rows.filter("node is not null").groupBy("node").agg(F.min("at").alias("at")).join(some, "node", "left_semi")
@@ -280,9 +333,9 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     rest = apart(told.drop("component", "s"), labels).join(sets.select("node", F.col("n_shingles").alias("n"), F.octet_length("bits").alias("room")), "node")
     rest = rest.join(sets.select(F.col("node").alias("pivot"), F.octet_length("bits").alias("pivot_room")), "pivot")
     # distances of bitmaps compare at one size only: that of the smaller of the member and the pivot
-    rest = common.written(rest.select("region", "node", "component", "n", "h", F.least("room", "pivot_room").alias("hn")))
+    rest = common.written(rest.select("region", "node", "component", "core", "n", "h", F.least("room", "pivot_room").alias("hn")))
     sketches = common.map_rows(sets.join(rest.select("node").distinct(), "node", "left_semi"), ["node", "bits"], {"node": "long", "sketch": "array<long>"}, lambda: lambda n, b: [n, [folded(x) for x in b]])
-    pairs = windows(across_sizes(rest).join(sketches, "node"))
+    pairs = windows(rest.join(sketches, "node"))
     edges.append(common.written(links(near(pairs, sets).filter("possible"), texts)))
     labels = components(edges[0].union(edges[1]).union(edges[2]))
 
@@ -291,12 +344,6 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return told.join(smallest, "root", "left").select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"), "node", "root", "at")
 
 
-def across_sizes(rest: DataFrame) -> DataFrame:
-    """Regions whose members' distances were taken at several bitmap sizes have no common measure: there all count as equally far."""
-    sizes = rest.groupBy("region").agg(F.min("hn").alias("h1"), F.max("hn").alias("h2"))
-    return rest.join(sizes, "region").select("region", "node", "component", "n", F.when(F.col("h1") == F.col("h2"), F.col("h")).otherwise(0).alias("h"))
-
-
 def digests(df: DataFrame) -> DataFrame:
     return classes(df).select("doc_id", "n_shingles", "component_id")
 
