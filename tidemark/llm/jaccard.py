@@ -194,6 +194,13 @@ def near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return common.map_rows(both, ["a", "b", "na", "nb", "bits_a", "bits_b"], schema, make)
 
 
+def texts_of(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, text of the nodes in pairs, one row each: other texts are not dealt out."""
+    some = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = common.written(docs.join(sets.select("at", "node", "times").join(some, "node"), "at").select("node", "text", "times"))
+    return texts.filter("times = 1").select("node", "text").union(texts.filter("times > 1").groupBy("node").agg(F.first("text").alias("text")))
+
+
 def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """a, b of the pairs whose sets are similar, decided by the sets themselves."""
     both = pairs.select("a", "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
@@ -314,10 +321,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     first = common.written(near(members.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), sets))
     labels = None
     edges: list[DataFrame] = []
-    # texts of the members, one row a node
-    texts = common.written(docs.join(sets.select("at", "node", "times"), "at").select("node", "text", "times"))
-    texts = texts.filter("times = 1").select("node", "text").union(texts.filter("times > 1").groupBy("node").agg(F.first("text").alias("text")))
-    edges.append(common.written(links(first.filter("possible"), texts)))
+    edges.append(common.written(links(maybe := first.filter("possible"), texts_of(maybe, sets, docs))))
     labels = components(edges[0])
 
     left = apart(members, labels)
@@ -326,7 +330,8 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     second = left.filter("node <> pivot").groupBy("region").agg(F.min_by(F.struct("node", "component"), F.struct("h", "node")).alias("s"))
     told = common.written(left.join(second, "region").filter("node <> s.node and node <> pivot"))
     again = told.filter("component <> s.component").select(F.col("node").alias("a"), F.col("s.node").alias("b")).distinct()
-    edges.append(common.written(links(near(again, sets).filter("possible"), texts)))
+    maybe = common.written(near(again, sets).filter("possible"))
+    edges.append(common.written(links(maybe, texts_of(maybe, sets, docs))))
     labels = components(edges[0].union(edges[1]))
 
     # both pivots of a region have met all its members: what is left are the others, where they are of several components
@@ -336,7 +341,8 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     rest = common.written(rest.select("region", "node", "component", "core", "n", "h", F.least("room", "pivot_room").alias("hn")))
     sketches = common.map_rows(sets.join(rest.select("node").distinct(), "node", "left_semi"), ["node", "bits"], {"node": "long", "sketch": "array<long>"}, lambda: lambda n, b: [n, [folded(x) for x in b]])
     pairs = windows(rest.join(sketches, "node"))
-    edges.append(common.written(links(near(pairs, sets).filter("possible"), texts)))
+    maybe = common.written(near(pairs, sets).filter("possible"))
+    edges.append(common.written(links(maybe, texts_of(maybe, sets, docs))))
     labels = components(edges[0].union(edges[1]).union(edges[2]))
 
     told = rows.join(labels, "node", "left").select("doc_id", "n_shingles", "node", "at", F.coalesce("root", "node").alias("root"))
