@@ -1,4 +1,6 @@
 import json
+import os
+import threading
 import zlib
 
 import numpy as np
@@ -45,6 +47,31 @@ def test_stages_equal_plain_versions(spark):
         assert p.doc_tokens == len(ids) and p.ids_crc32 == zlib.crc32(np.array(ids[p.start : p.start + p.length], "<u4").tobytes())
 
 
+def test_run_leaves_only_its_result(spark):
+    """Tables of the stages go, the pieces stay readable."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    pieces = corpus_pipeline.run(spark, SF)
+    new = set(os.listdir(folder)) - before
+    assert len(new) <= 1 and pieces.agg(F.sum("length")).first()[0] == pieces.dropDuplicates(["doc_id"]).agg(F.sum("doc_tokens")).first()[0]
+
+
+def test_blocks_of_two_threads(spark):
+    """A block that ends in one thread leaves another thread's tables alone."""
+    with common.scratch(spark):
+        mine = common.written(spark.range(5))
+
+        def other():
+            with common.scratch(spark) as paths:
+                common.written(spark.range(3))
+                assert len(paths) == 1
+
+        t = threading.Thread(target=other)
+        t.start()
+        t.join()
+        assert mine.count() == 5 and len(common.SCRATCH.open) == 1
+
+
 def test_edges_pass_all_stages(spark, edge, empty):
     for df in (edge, empty, common.documents(spark, SF).limit(0)):
         for _, f in corpus_pipeline.STAGES:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -64,29 +66,38 @@ OWN_FOLDERS: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new path in the folder that all machines share (spark.checkpoint.dir); where it is unset, as in tests, a temporary one."""
+    """A new path in the folder that all machines share (spark.checkpoint.dir); where it is unset, a temporary one in local mode, an error
+    on a cluster."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         base = OWN_FOLDERS.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="spark-checkpoint-")
         OWN_FOLDERS[spark.sparkContext.applicationId] = base
     return f"{base}/{uuid.uuid4().hex}"
 
 
-#: Tables of the ``scratch`` blocks that are open.
-SCRATCH: list[list[str]] = []
+class Blocks(threading.local):
+    """Tables of the ``scratch`` blocks that are open in this thread: threads of one driver don't delete each other's."""
+
+    def __init__(self):
+        self.open: list[list[str]] = []
+
+
+SCRATCH = Blocks()
 #: Names in the catalogue of tables in buckets, by path.
 BUCKETED: dict[str, str] = {}
 
 
 @contextmanager
 def scratch(spark: SparkSession):
-    """Tables written inside are deleted at the end, but for those with ``keep``."""
-    SCRATCH.append([])
+    """Tables written inside are deleted at the end, but for those with ``keep``. Gives the list of their paths."""
+    SCRATCH.open.append([])
     try:
-        yield
+        yield SCRATCH.open[-1]
     finally:
         jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for path in SCRATCH.pop():
+        for path in SCRATCH.open.pop():
             if path in BUCKETED:
                 spark.sql(f"DROP TABLE IF EXISTS {BUCKETED.pop(path)}")
             where = jvm.org.apache.hadoop.fs.Path(path)
@@ -110,8 +121,8 @@ def cleaned(spark: SparkSession):
 def written(df: DataFrame, keep: bool = False) -> DataFrame:
     """df as a table in the shared folder: it is computed once, and survives the loss of any executor. keep: past the ``scratch`` block."""
     path = shared_folder(df.sparkSession)
-    if len(SCRATCH) > keep:
-        SCRATCH[-1 - keep].append(path)
+    if len(SCRATCH.open) > keep:
+        SCRATCH.open[-1 - keep].append(path)
     with cleaned(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -121,8 +132,8 @@ def bucketed(df: DataFrame, keys: list[str]) -> DataFrame:
     """As ``written``, in buckets of these columns: joins by them deal out the other side only."""
     spark = df.sparkSession
     path, name = shared_folder(spark), f"bucketed_{uuid.uuid4().hex}"
-    if SCRATCH:
-        SCRATCH[-1].append(path)
+    if SCRATCH.open:
+        SCRATCH.open[-1].append(path)
         BUCKETED[path] = name
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     with cleaned(spark):
