@@ -45,7 +45,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces, as a table: each stage's own tables and the one that it has read are deleted once its output is written."""
     docs = common.documents(spark, sf_dir)
-    for _, stage in STAGES[:-1]:
-        docs = common.written(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with common.scratch(spark) as last:
+        for _, stage in STAGES[:-1]:
+            with common.scratch(spark) as done:
+                done += last
+                last.clear()
+                docs = common.written(stage(spark, docs, sf_dir), keep=True)
+        return common.written(STAGES[-1][1](spark, docs, sf_dir), keep=True)
