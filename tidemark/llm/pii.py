@@ -1,18 +1,32 @@
-"""Personal data by anchor expansion: an Aho-Corasick automaton finds at-signs, plus signs, digits, schemes and identifier cues; a local
-parser at each anchor expands to the boundaries and validates.
+"""Personal data by anchor expansion: an Aho-Corasick automaton finds at-signs, plus signs, digits, schemes, identifier cues in any case,
+street types and prefixes of known keys; a local parser at each anchor expands to the boundaries and validates.
 
 Base kinds, leftmost and non-overlapping per kind: email, ip (parts at most 255), card (13 to 19 digits, Luhn), phone (+, 9 to 15
-digits). Added kinds: url (http, https, ftp and their host), secret (a quoted or bare value of 16 or more letters and digits behind a cue
-such as ``token =``), account (6 to 20 digits behind a cue), iban (check digits mod 97). Added spans never remove base spans; kinds may
-overlap each other.
-
-Null and empty texts: no spans. Repeated rows give repeated results, an empty table an empty one. Offsets are code points, ends exclusive.
-Each letter is looked at a bounded number of times a kind, so very long texts take linear time. Spans of one kind don't overlap.
+digits). Added kinds:
+
+* url: http, https, ftp and their host.
+* secret: 16 or more letters and digits behind a cue such as ``token =``, mixed and of at least ``ENTROPY`` bits a letter; without a cue,
+  values of the known forms in ``FORMS``.
+* account: 6 to 20 digits, single blanks or hyphens between them, behind a cue and perhaps ``number``, ``no.``, ``#``.
+* iban: behind its cue, in one piece or in groups, check digits mod 97.
+* ssn: behind its cue, three, two and four digits, none of the numbers that are never given out.
+* address: a street with its house number (``12 Oak Street``, ``12 rue de la Paix``, ``Calle Mayor 5``, ``Lindenstraße 7``) or a post box,
+  with unit, place and postal code where they follow. Names start with capitals; a number that reads as a year counts only if a place
+  with its postal code follows.
+
+Added spans never remove base spans; kinds may overlap each other.
+
+Null and empty texts: no spans. Repeated rows give repeated results, an empty table an empty one, other columns play no part. Offsets are
+code points, ends exclusive. Each letter is looked at a bounded number of times a kind (address parsers see ``NEAR`` letters on either
+side of a street type), so very long texts take linear time. Spans of one kind don't overlap.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import ahocorasick
@@ -23,7 +37,7 @@ from pyspark.sql import functions as F
 from . import common
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "url", "secret", "account", "iban")
+KINDS = (*BASE, "url", "secret", "account", "iban", "ssn", "address")
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 LOCAL = frozenset(LOWER + UPPER + DIGITS + "._%+-")
 LABEL = frozenset(LOWER + UPPER + DIGITS + "-")
@@ -32,7 +46,48 @@ IN_PHONE = frozenset(DIGITS + " ().-")
 WORD = frozenset(LOWER + UPPER + DIGITS)
 VALUE = frozenset(LOWER + UPPER + DIGITS + "_-./+=")
 SCHEMES = ("http", "https", "ftp")
-CUES = {"token": "secret", "secret": "secret", "password": "secret", "api_key": "secret", "apikey": "secret", "account": "account", "acct": "account", "konto": "account", "cuenta": "account", "compte": "account", "iban": "iban"}
+#: Anchors are found in texts whose A-Z are lower case, letter by letter, so places stay.
+FOLD = str.maketrans(UPPER, LOWER)
+CUES = {
+    "token": "secret", "secret": "secret", "password": "secret", "passwd": "secret", "api_key": "secret", "apikey": "secret", "api-key": "secret", "access_key": "secret",
+    "account": "account", "acct": "account", "konto": "account", "cuenta": "account", "compte": "account", "iban": "iban", "ssn": "ssn", "social security": "ssn",
+}
+#: What may stand between a cue and its value.
+BETWEEN = re.compile(r"[ \t]*(?:(?:number|num|no|nr|is)\b\.?|#)?[ \t]*[:=]?[ \t]*[\"']?", re.IGNORECASE)
+#: Bits a letter of a secret behind a cue: repeated or patterned fillings have fewer.
+ENTROPY = 2.5
+#: Keys that are known by their form, under their prefixes.
+FORMS = {
+    "AKIA": re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"),
+    "ghp_": re.compile(r"ghp_[0-9A-Za-z]{36}(?![0-9A-Za-z])"),
+    "xoxb-": re.compile(r"xoxb-[0-9]+-[0-9A-Za-z-]{16,}"),
+    "sk_live_": re.compile(r"sk_live_[0-9A-Za-z]{16,}"),
+    "eyJ": re.compile(r"eyJ[0-9A-Za-z_-]{8,}\.eyJ[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}"),
+}
+IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){11,30}")
+SSN = re.compile(r"(?!000|666|9)[0-9]{3}([- ]?)(?!00)[0-9]{2}\1(?!0000)[0-9]{4}(?![0-9])")
+#: Letters on either side of a street type at which address parsers look.
+NEAR = 160
+#: Street types by where the name and the number stand: name and number before; number before, name behind; name, then number behind; a
+#: word's end with the number behind; a box with its number behind.
+STREETS = {
+    "street": "before", "avenue": "before", "road": "before", "lane": "before", "drive": "before", "boulevard": "before", "court": "before", "square": "before", "terrace": "before",
+    "rue": "around", "calle": "behind", "avenida": "behind", "paseo": "behind", "straße": "end", "strasse": "end", "po box": "box", "p.o. box": "box",
+}
+NAME = r"[A-ZÀ-ÖØ-Þ][^\W\d_]*(?:['’-][^\W\d_]+)*"
+NAMES = rf"{NAME}(?:[ -]{NAME}){{0,3}}"
+HOUSE = r"[0-9]{1,5}[A-Za-z]?(?![0-9A-Za-z])"
+LINKED = rf"(?:(?:de|del|des|du|la|las|le|les|los|el)[ ]|d['’]|l['’])*{NAME}"
+HOUSE_WORD, NAME_WORD = re.compile(rf"{HOUSE}\Z"), re.compile(rf"(?:{NAME}\.?|[0-9]+(?:st|nd|rd|th))\Z")
+BEHIND = {
+    "around": re.compile(rf"[ ]+{LINKED}(?:[ ]{LINKED}){{0,3}}"),
+    "behind": re.compile(rf"[ ]+{LINKED}(?:[ ]{LINKED}){{0,3}},?[ ]+{HOUSE}"),
+    "end": re.compile(rf"[ ]+{HOUSE}"),
+    "box": re.compile(r"[ ]+[0-9]{1,6}(?![0-9A-Za-z])"),
+}
+UNIT = re.compile(r",?[ ]+(?:(?:[Aa]pt|[Ss]te)\.?|[Aa]partment|[Ss]uite|[Uu]nit|[Ff]lat|#)[ ]?[0-9A-Za-z-]{1,8}(?![0-9A-Za-z])")
+GAP = r"(?:,?[ ]+|,?[ ]*\n[ ]*)"
+PLACE = re.compile(rf"{GAP}(?:{NAMES}{GAP}(?:[A-Z]{{2}}[ ]+)?(?:[0-9]{{5}}(?:-[0-9]{{4}})?|[A-Z]{{1,2}}[0-9][0-9A-Z]?[ ][0-9][A-Z]{{2}})(?![0-9A-Za-z])|[0-9]{{4,5}}[ ]+{NAMES})")
 
 
 def luhn(digits: str) -> bool:
@@ -119,19 +174,69 @@ def url(text: str, at: int) -> tuple[int, int] | None:
     return start, end
 
 
-def behind_cue(text: str, at: int, allowed: frozenset) -> tuple[int, int] | None:
-    """The value behind a cue: blanks, one ``:`` or ``=`` or none, blanks, a quote or none."""
-    n = len(text)
-    while at < n and text[at] in " \t":
-        at += 1
-    if at < n and text[at] in ":=":
-        at += 1
-    while at < n and text[at] in " \t":
-        at += 1
-    if at < n and text[at] in "\"'":
-        at += 1
-    end = run_end(text, at, allowed)
-    return (at, end) if end > at else None
+def secret(value: str) -> bool:
+    n = len(value)
+    if n < 16 or not any(c in DIGIT for c in value) or not any(c in WORD and c not in DIGIT for c in value):
+        return False
+    return -sum(k / n * math.log2(k / n) for k in Counter(value).values()) >= ENTROPY
+
+
+def behind_cue(text: str, at: int, kind: str) -> tuple[int, int, bool]:
+    """Start and end of what stands behind a cue that ends here, and whether it is a value of the cue's kind."""
+    at = BETWEEN.match(text, at).end()
+    if kind == "secret":
+        end = run_end(text, at, VALUE)
+        return at, end, secret(text[at:end])
+    if kind == "account":
+        end = digit_groups(text, at)
+        return at, end, 6 <= sum(c in DIGIT for c in text[at:end]) <= 20
+    if m := (IBAN if kind == "iban" else SSN).match(text, at):
+        ends = [m.end()] if kind == "ssn" else [e for e in range(m.end(), at + 14, -1) if text[e - 1] != " " and text[e : e + 1] not in WORD]
+        for end in ends:
+            if kind == "ssn" or iban(text[at:end].replace(" ", "")):
+                return at, end, True
+    return at, at, False
+
+
+def street_start(text: str, at: int, names: bool) -> int | None:
+    """Start of the house number before a street type, with one to four words of a name between them, or none."""
+    low = max(0, at - NEAR)
+    words = [m.span() for m in re.finditer(r"\S+", text[low:at])][-5:]
+    for k, (i, j) in enumerate(reversed(words)):
+        word, start = text[low + i : low + j], low + i
+        if HOUSE_WORD.match(word.rstrip(",")) and (k > 0) == names and (start == 0 or text[start - 1].isspace()):
+            return start
+        if not names or not NAME_WORD.match(word):
+            return None
+    return None
+
+
+def address(text: str, at: int, end: int, form: str) -> tuple[int, int] | None:
+    """Expands from a street type (or box) at text[at:end] to the street, its unit and its place."""
+    start, limit, last = at, min(len(text), end + NEAR), end
+    if form == "end":
+        while start > max(0, at - NEAR) and (text[start - 1].isalpha() or text[start - 1] == "-"):
+            start -= 1
+        if start == at or not text[start].isupper():
+            return None
+    elif at and text[at - 1].isalnum():
+        return None
+    if last < len(text) and text[last].isalnum():
+        return None
+    if form in ("before", "around"):
+        if at == 0 or text[at - 1] != " " or (found := street_start(text, at, form == "before")) is None:
+            return None
+        start = found
+    if form in BEHIND:
+        if form == "behind" and not text[at].isupper() or (m := BEHIND[form].match(text, last, limit)) is None:
+            return None
+        last = m.end()
+    if m := UNIT.match(text, last, limit):
+        last = m.end()
+    if m := PLACE.match(text, last, limit):
+        return start, m.end()
+    number = re.match(r"[0-9]+", text[start:at])
+    return None if number and 1500 <= int(number.group()) <= 2099 else (start, last)
 
 
 def iban(value: str) -> bool:
@@ -146,8 +251,11 @@ def automaton() -> ahocorasick.Automaton:
     for x in (*DIGITS, "@", "+", "://"):
         a.add_word(x, (len(x), "digit" if x in DIGIT else x))
     for cue, kind in CUES.items():
-        for form in (cue, cue.upper(), cue.capitalize()):
-            a.add_word(form, (len(form), kind))
+        a.add_word(cue, (len(cue), kind))
+    for word in STREETS:
+        a.add_word(word, (len(word), "address"))
+    for prefix in FORMS:
+        a.add_word(prefix.lower(), (len(prefix), "form"))
     a.make_automaton()
     return a
 
@@ -155,9 +263,9 @@ def automaton() -> ahocorasick.Automaton:
 def find(anchors: ahocorasick.Automaton, text: str) -> dict[str, list[tuple[int, int]]]:
     """All spans of a text by kind, in order of their starts."""
     out: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
-    mail_end = ip_from = card_from = phone_end = url_end = 0
+    mail_end = ip_from = card_from = phone_end = url_end = street_end = 0
     cue_end = dict.fromkeys(KINDS, 0)
-    for last, (size, what) in anchors.iter(text):
+    for last, (size, what) in anchors.iter(text.translate(FOLD)):
         at = last - size + 1
         if what == "digit":
             if at >= ip_from:
@@ -185,18 +293,24 @@ def find(anchors: ahocorasick.Automaton, text: str) -> dict[str, list[tuple[int,
             if at >= url_end and (span := url(text, at)):
                 out["url"].append(span)
                 url_end = span[1]
-        elif not (at and (text[at - 1] in WORD)) and not (last + 1 < len(text) and text[last + 1] in WORD):
-            allowed = VALUE if what == "secret" else DIGIT if what == "account" else WORD
+        elif what == "address":
+            if at >= street_end and (span := address(text, at, last + 1, STREETS[text[at : last + 1].translate(FOLD)])) and span[0] >= street_end:
+                out["address"].append(span)
+                street_end = span[1]
+        elif at and text[at - 1] in WORD:
+            continue
+        elif what == "form":
+            form = FORMS.get(text[at : last + 1])
+            if form and at >= cue_end["secret"] and (m := form.match(text, at)):
+                out["secret"].append(m.span())
+                cue_end["secret"] = m.end()
+        elif not (last + 1 < len(text) and text[last + 1] in WORD):
             # what a cue inside an earlier value would give is a part of that value, and no better
-            if at >= cue_end[what] and (span := behind_cue(text, last + 1, allowed)):
-                cue_end[what] = span[1]
-                value = text[span[0] : span[1]]
-                if what == "secret":
-                    good = len(value) >= 16 and any(c in DIGIT for c in value) and any(c in WORD and c not in DIGIT for c in value)
-                else:
-                    good = 6 <= len(value) <= 20 if what == "account" else iban(value)
+            if at >= cue_end[what]:
+                start, end, good = behind_cue(text, last + 1, what)
+                cue_end[what] = max(cue_end[what], end if end > start else 0)
                 if good:
-                    out[what].append(span)
+                    out[what].append((start, end))
     return out
 
 
