@@ -52,6 +52,7 @@ def test_addresses_and_near_misses():
         ("Vive en Calle Mayor 5, 28013 Madrid.", "Calle Mayor 5, 28013 Madrid"),
         ("Er wohnt Lindenstraße 7, 10969 Berlin.", "Lindenstraße 7, 10969 Berlin"),
         ("Write to PO Box 4411, Springfield, IL 62704", "PO Box 4411, Springfield, IL 62704"),
+        ("İİ LINDENSTRAẞE 7, 10969 Berlin", "LINDENSTRAẞE 7, 10969 Berlin"),
         ("é 1999 Wall Street, New York, NY 10005", "1999 Wall Street, New York, NY 10005"),
     ]:
         assert values(text) == {"address": [want]}, text

@@ -46,8 +46,6 @@ IN_PHONE = frozenset(DIGITS + " ().-")
 WORD = frozenset(LOWER + UPPER + DIGITS)
 VALUE = frozenset(LOWER + UPPER + DIGITS + "_-./+=")
 SCHEMES = ("http", "https", "ftp")
-#: Anchors are found in texts whose A-Z are lower case, letter by letter, so places stay.
-FOLD = str.maketrans(UPPER, LOWER)
 CUES = {
     "token": "secret", "secret": "secret", "password": "secret", "passwd": "secret", "api_key": "secret", "apikey": "secret", "api-key": "secret", "access_key": "secret",
     "account": "account", "acct": "account", "konto": "account", "cuenta": "account", "compte": "account", "iban": "iban", "ssn": "ssn", "social security": "ssn",
@@ -249,23 +247,29 @@ def iban(value: str) -> bool:
 def automaton() -> ahocorasick.Automaton:
     a = ahocorasick.Automaton()
     for x in (*DIGITS, "@", "+", "://"):
-        a.add_word(x, (len(x), "digit" if x in DIGIT else x))
+        a.add_word(x, (len(x), "digit" if x in DIGIT else x, None))
     for cue, kind in CUES.items():
-        a.add_word(cue, (len(cue), kind))
-    for word in STREETS:
-        a.add_word(word, (len(word), "address"))
+        a.add_word(cue, (len(cue), kind, None))
+    for word, form in STREETS.items():
+        a.add_word(word, (len(word), "address", form))
     for prefix in FORMS:
-        a.add_word(prefix.lower(), (len(prefix), "form"))
+        a.add_word(prefix.lower(), (len(prefix), "form", None))
     a.make_automaton()
     return a
 
 
+def lowered(text: str) -> str:
+    """The text in lower case, letters whose lower case is more than one letter as they are, so places stay."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(x if len(x) == 1 else c for c in text for x in [c.lower()])
+
+
 def find(anchors: ahocorasick.Automaton, text: str) -> dict[str, list[tuple[int, int]]]:
     """All spans of a text by kind, in order of their starts."""
     out: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     mail_end = ip_from = card_from = phone_end = url_end = street_end = 0
     cue_end = dict.fromkeys(KINDS, 0)
-    for last, (size, what) in anchors.iter(text.translate(FOLD)):
+    for last, (size, what, street) in anchors.iter(lowered(text)):
         at = last - size + 1
         if what == "digit":
             if at >= ip_from:
@@ -294,7 +298,7 @@ def find(anchors: ahocorasick.Automaton, text: str) -> dict[str, list[tuple[int,
                 out["url"].append(span)
                 url_end = span[1]
         elif what == "address":
-            if at >= street_end and (span := address(text, at, last + 1, STREETS[text[at : last + 1].translate(FOLD)])) and span[0] >= street_end:
+            if at >= street_end and (span := address(text, at, last + 1, street)) and span[0] >= street_end:
                 out["address"].append(span)
                 street_end = span[1]
         elif at and text[at - 1] in WORD:
