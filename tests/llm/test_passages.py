@@ -82,7 +82,9 @@ def brute_words(texts):
         for i in range(len(r) - N + 1):
             if strings[r[i : i + N]] > 1:
                 gone[i : i + N] = True
-        out.append(np.frombuffer(r, np.uint8)[~gone].tobytes().decode(errors="replace"))
+        ends = np.cumsum([len(c.encode()) for c in r.decode()])
+        # letters that would be cut in part stay whole
+        out.append("".join(c for c, end in zip(r.decode(), ends, strict=True) if not gone[end - len(c.encode()) : end].all()))
     return out
 
 
