@@ -2,11 +2,13 @@
 
 import json
 import threading
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import intakes
+from tidemark.sources import sheets
 from tidemark.sources.versions import Conflict, Part, Store
 from tidemark.streaming import intake as I
 from tidemark.streaming.submissions import AUDIT, GOVERNED, LOADS, STAGED
@@ -140,3 +142,14 @@ def test_contents_of_lines(spark, tmp_path):
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
     # whatever the splits: equal files are equal, an order or a line more isn't
     assert told["1000b"] == told["128m"] and told["128m"]["one"] == told["128m"]["copy"] and len(set(told["128m"].values())) == 3
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    for master, fine in (("local[4]", True), ("local", True), ("local-cluster[2,1,1024]", False), ("spark://host:7077", False), ("yarn", False)):
+        context = SimpleNamespace(master=master, applicationId="none", getConf=lambda: SimpleNamespace(get=lambda k: None))
+        spark = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d=None: "/tmp/warehouse" if "warehouse" in k else None))
+        if fine:
+            assert sheets.shared_folder(spark)
+        else:
+            with pytest.raises(ValueError):
+                sheets.shared_folder(spark)

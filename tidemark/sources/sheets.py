@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from dataclasses import dataclass, field
 
@@ -30,8 +31,13 @@ class Contract:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new path in the folder that all machines share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")
+    """A new path in the folder that all machines share (spark.checkpoint.dir); where it is unset, in the warehouse in local mode, an error on
+    a cluster."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base}/{uuid.uuid4().hex}"
 
 
