@@ -20,7 +20,7 @@ NO_DATE = "9999"
 
 def with_errors(df: DataFrame, values: dict[str, Column], errors: list[Column]) -> DataFrame:
     """The values, and ``errors``: what is wrong with the row, joined by ``; ``."""
-    return df.select(*(c.alias(k) for k, c in values.items()), F.array_join(F.array_compact(F.array(*errors)), "; ").alias("errors"))
+    return df.select(*(c.alias(k) for k, c in values.items()), F.concat_ws("; ", *errors).alias("errors"))
 
 
 def missing(*columns: str) -> list[Column]:
