@@ -1,8 +1,12 @@
 """Steps whose cost must not grow faster than their input."""
 
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from tidemark.functions import clean as C
+from tidemark.operators import entities as E
+from tidemark.operators import kpi as K
 
 
 def plan(df):
@@ -25,3 +29,39 @@ def test_shapes_let_through_all_that_formats_take(spark):
     for r in df.select("t", value.cast("string").alias("a"), plainly.cast("string").alias("b"), error.isNull().alias("ok")).collect():
         assert r.a == r.b and r.ok == (r.a is not None or r.t in ("-", "", None)), r
     assert C.shape("d MMM yyyy") is None
+
+
+def test_facts_without_id_are_dealt_out(spark):
+    facts = spark.range(4000).select("id", F.when(F.col("id") < 10, F.col("id")).alias("k"))
+    names = spark.range(8).select(F.col("id").alias("n"), F.concat(F.lit("name "), "id").alias("text"), (F.col("id") * 2).alias("twice"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    had = {c: spark.conf.get(c) for c in conf}
+    for c, v in conf.items():
+        spark.conf.set(c, v)
+    try:
+        told = E.star(facts, [("k", names, "n", "text", "name"), ("k", names, "n", "twice", "twice")])
+        assert plan(told).count("Join") == 1
+        sizes = [r["count"] for r in told.filter("k is null").groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 3990 and max(sizes) < 2000
+        got = {r.id: (r.name, r.twice) for r in told.filter("id < 12").collect()}
+    finally:
+        for c, v in had.items():
+            spark.conf.set(c, v)
+    assert got == {k: (f"name {k}", 2 * k) if k < 8 else (None, None) for k in range(12)}
+
+
+def test_names_of_a_domain_join_rows_that_are_shuffled_no_more(spark):
+    of = lambda rows, schema: spark.createDataFrame(rows, schema)
+    attributes = of([(1, k, *([" É "] * len(K.PLAIN))) for k in range(3)], "domain_id long, code long, " + ", ".join(f"{c} string" for c in K.PLAIN))
+    domains = of([(1, "\tD", "d", "Activo")], "domain_id long, domain string, domain_name string, state_class string")
+    source = "domain_id long, code long, primary boolean, class string, server string, database string, `table` string, field string"
+    official = of([(1, 0, True, "c", "S", "b", "t", "ÁF")], source)
+    used = of([(1, 2, False, "c", "s", "b", "t", "f")], source)
+    people = of([(1, 2, "Ñandú"), (1, 9, "Zoë ")], "domain long, role_id int, name string")
+    told = K.wide_rows(attributes, domains, official, used, of([(1, "RESOLVED")], "id long, state string"), people)
+    # the join on top is theirs
+    assert "strategy=broadcast" in plan(told).split("Join LeftOuter")[1].split("\n")[0]
+    for r in told.collect():
+        pieces = [r.full_code, r["name"], r.description, r.primary_name, r.primary_domain, r.kind, r.personal_class, r.role_1, r.role_2, r.role_3, r.role_4, r.other_roles, *(r[f"official_{f}"] for f in K.PATH), *(r[f"consumption_{f}"] for f in ("class", *K.PATH))]
+        whole = " ".join(p for p in pieces if p)
+        assert r.search == "".join(c for c in unicodedata.normalize("NFD", whole) if not unicodedata.combining(c)).lower().strip(), r
