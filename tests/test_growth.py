@@ -1,10 +1,13 @@
 """Steps whose cost must not grow faster than their input."""
 
+import random
 import unicodedata
+from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
 from tidemark.functions import clean as C
+from tidemark.operators import diff as D
 from tidemark.operators import entities as E
 from tidemark.operators import kpi as K
 
@@ -65,3 +68,40 @@ def test_names_of_a_domain_join_rows_that_are_shuffled_no_more(spark):
         pieces = [r.full_code, r["name"], r.description, r.primary_name, r.primary_domain, r.kind, r.personal_class, r.role_1, r.role_2, r.role_3, r.role_4, r.other_roles, *(r[f"official_{f}"] for f in K.PATH), *(r[f"consumption_{f}"] for f in ("class", *K.PATH))]
         whole = " ".join(p for p in pieces if p)
         assert r.search == "".join(c for c in unicodedata.normalize("NFD", whole) if not unicodedata.combining(c)).lower().strip(), r
+
+
+def test_lists_of_alike_texts_meet_few_pairs(spark, monkeypatch):
+    """Names that all look alike, each with its own spelling in the list: pairs that are scored grow with the names."""
+    asked = []
+    scored = D.scored_pairs
+    monkeypatch.setattr(D, "scored_pairs", lambda met, ratio: asked.append(met.count()) or scored(met, ratio))
+    n = 300
+    catalogue = [(1, f"Supplier#{k:09d}") for k in range(n)]
+    template = [(1, f"SUPPLIER#{k:09d}" if k % 2 else f"Supplier#{k:09d}e", k) for k in range(n)] + [(1, "=?=" + "!@#$%"[k % 5] * (k + 2), n + k) for k in range(40)]
+    told = D.compare_lists(spark.createDataFrame(template, "group int, value string, pos long"), spark.createDataFrame(catalogue, "group int, value string")).collect()
+    assert {(r.value, r.status, r.partner) for r in told if r.status != "MISSING"} == {(v, "EQUIVALENT" if p % 2 else "TYPO", catalogue[p][1]) for _, v, p in template[:n]}
+    assert len(told) == n + 40 and sum(asked) <= 4 * n
+
+
+def test_partners_as_a_plain_walk_chooses_them(spark):
+    """Contested partners: values that lose their best one, and values that lose theirs to those."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randint(2, 9)))
+    template = [(g, v, k) for g in range(6) for k, v in enumerate(dict.fromkeys([word() for _ in range(30)] + [word().upper() for _ in range(10)] + ["abcabc" * 12, "abcabc" * 12 + "a"]))]
+    catalogue = [(g, v) for g in range(6) for v in dict.fromkeys([word() for _ in range(20)] + [word().title() for _ in range(10)] + ["Abcabc" * 12 + "b", "x" + "abcabc" * 12])]
+    want = set()
+    for g in range(6):
+        listed, known = [v for h, v, _ in template if h == g], [v for h, v in catalogue if h == g]
+        left = sorted(set(known) - set(listed))
+        for v in listed:
+            if v in known:
+                continue
+            best = max(((SequenceMatcher(None, p.lower(), v.lower()).ratio(), p.lower(), p) for p in left if p.lower() != v.lower()), default=(0, "", ""))
+            same = [p for p in left if p.lower() == v.lower()]
+            p = min(same) if same else best[2] if best[0] >= 0.75 else None
+            if p:
+                left.remove(p)
+            want.add((g, v, "EQUIVALENT" if same else "TYPO" if p else "MISSING", p))
+        want |= {(g, p, "EXTRA", None) for p in left}
+    told = D.compare_lists(spark.createDataFrame(template, "group int, value string, pos long"), spark.createDataFrame(catalogue, "group int, value string")).collect()
+    assert {(r.group, r.value, r.status, r.partner) for r in told} == want

@@ -72,16 +72,46 @@ def compare_lists(template: DataFrame, catalogue: DataFrame, ratio: float = 0.75
     extra = known.join(listed, ["group", "value"], "left_anti").select("group", F.col("value").alias("partner"), fold_spaces(F.col("value")).alias("like"))
     keep_checkpoints(template.sparkSession)
     missing, extra = missing.checkpoint(), extra.checkpoint()
-    scored = close_texts(missing.select("group", "folded"), extra.select("group", F.col("like").alias("folded")), ratio)
-    same = F.col("folded") == F.col("like")
-    pairs = missing.join(scored, ["group", "folded"]).join(extra, ["group", "like"]).select("group", "value", "pos", "partner", "like", "score", same.alias("same"))
-    chosen = first_come(pairs)
+    chosen = best_partners(missing, extra, ratio)
     status = F.when(F.col("partner").isNull(), "MISSING").when(F.col("same"), "EQUIVALENT").otherwise("TYPO")
     told = missing.join(chosen, ["group", "value"], "left").select("group", "value", status.alias("status"), "partner")
     unused = extra.join(chosen, ["group", "partner"], "left_anti").select("group", F.col("partner").alias("value"), F.lit("EXTRA").alias("status"), F.lit(None).cast("string").alias("partner"))
     return told.unionByName(unused)
 
 
+#: Rounds in which only values that need them look for all their partners; after that all values do.
+ASK_ROUNDS = 4
+
+
+def best_partners(missing: DataFrame, extra: DataFrame, ratio: float) -> DataFrame:
+    """group, value, partner, score, same: what values choose in list order (``first_come``).
+
+    Partners that differ in no letter, or have one more or less, are found by joins, and no others come before them. So a value that gets one
+    of these needs no others; one that gets none of them looks for all, which may take another value's partner, so that one looks, too.
+    """
+    def wishes(scored: DataFrame, values: DataFrame) -> DataFrame:
+        same = F.col("folded") == F.col("like")
+        return values.join(scored, ["group", "folded"]).join(extra, ["group", "like"]).select("group", "value", "pos", "partner", "like", "score", same.alias("same"))
+
+    likes = extra.select("group", F.col("like").alias("folded"))
+    first = wishes(near_texts(missing.select("group", "folded"), likes, ratio), missing).checkpoint()
+    chosen = first_come(first).checkpoint()
+    asking = missing.join(chosen, ["group", "value"], "left_anti").checkpoint()
+    new = asking
+    for left in range(ASK_ROUNDS, 0, -1):
+        if new.isEmpty():
+            break
+        if left == 1:
+            asking = missing
+        found = wishes(close_texts(asking.select("group", "folded"), likes, ratio), asking).checkpoint()
+        if found.isEmpty():
+            break
+        chosen = first_come(found.unionByName(first.join(asking, ["group", "value"], "left_anti"))).checkpoint()
+        new = missing.join(chosen, ["group", "value"], "left_anti").join(asking, ["group", "value"], "left_anti").checkpoint()
+        asking = asking.unionByName(new)
+    return chosen
+
+
 def keep_checkpoints(spark: SparkSession) -> None:
     """Where spark.checkpoint.dir is unset, checkpoints go to a new folder in the shared one."""
     if not spark.sparkContext.getCheckpointDir():
@@ -131,6 +161,50 @@ def text_keys(texts: DataFrame, ratio: float) -> DataFrame:
     return pairs.unionByName(letters.select("group", "folded", two.alias("key")))
 
 
+def scored_pairs(met: DataFrame, ratio: float) -> DataFrame:
+    """Pairs (group, folded, like) with their score, where it reaches ``ratio``."""
+    def score(batches):
+        for b in batches:
+            found = []
+            for x, y in zip(b["folded"], b["like"], strict=True):
+                s = SequenceMatcher(None, y, x)
+                # letters in common bound the ratio, and are counted first
+                found.append(s.ratio() if s.quick_ratio() >= ratio else 0.0)
+            b["score"] = found
+            yield b
+
+    return met.mapInPandas(score, StructType([*met.schema, StructField("score", DoubleType())])).filter(F.col("score") >= ratio)
+
+
+def equal_texts(left: DataFrame, right: DataFrame) -> DataFrame:
+    return left.distinct().join(right.distinct(), ["group", "folded"]).select("group", "folded", F.col("folded").alias("like"), F.lit(1.0).alias("score"))
+
+
+#: Letters of the texts that are looked up with each letter left out; of longer ones only equal texts are near.
+NEAR_LETTERS = 64
+
+
+def near_texts(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
+    """group, folded (of left), like (of right), score: of each left text the pairs that no other pair of it reaches in score, as far as they
+    are equal or have one letter more or less.
+
+    Texts of n and m letters that differ in d letters, left out or put in, have a ratio of (n + m - d) / (n + m) at most, and m is n + d at
+    most: with two letters or more it is n / (n + 1). Pairs above that are kept; all of them are here.
+    """
+    def without_letter(texts: DataFrame, up_to: int) -> DataFrame:
+        cut = F.transform(F.sequence(F.lit(1), F.length("folded")), lambda i: F.concat(F.substring("folded", F.lit(1), i - 1), F.substring("folded", i + 1, F.length("folded"))))
+        some = texts.distinct().filter(F.length("folded").between(1, up_to))
+        return some.select("group", "folded", F.explode(F.array_distinct(cut)).alias("rest"))
+
+    l, r = left.select("group", "folded").distinct(), right.select("group", "folded").distinct()  # noqa: E741
+    fewer = without_letter(l, NEAR_LETTERS).join(r.withColumnsRenamed({"folded": "like"}), ["group"]).filter(F.col("rest") == F.col("like")).select("group", "folded", "like")
+    short = l.filter(F.length("folded") <= NEAR_LETTERS)
+    more = without_letter(r, NEAR_LETTERS + 1).withColumnsRenamed({"folded": "like"}).join(short, ["group"]).filter(F.col("rest") == F.col("folded")).select("group", "folded", "like")
+    n = F.length("folded")
+    others = F.when(n <= NEAR_LETTERS, n / (n + 1)).otherwise(2 * n / (2 * n + 1))
+    return equal_texts(left, right).unionByName(scored_pairs(fewer.unionByName(more), ratio)).filter(F.col("score") > others + 1e-9)
+
+
 def close_texts(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
     """group, folded (of left), like (of right), score: pairs of equal texts (score 1) and of texts whose ratio reaches ``ratio``.
 
@@ -139,7 +213,6 @@ def close_texts(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
     """
     if not 2 / 3 < ratio <= 1:
         raise ValueError("ratio: above 2 / 3, up to 1")
-    equal = left.distinct().join(right.distinct(), ["group", "folded"]).select("group", "folded", F.col("folded").alias("like"), F.lit(1.0).alias("score"))
     # one order of keys for both sides
     keyed = text_keys(left.select("group", "folded").union(right.select("group", "folded")), ratio)
     l = keyed.join(left.distinct(), ["group", "folded"], "left_semi").alias("l")  # noqa: E741
@@ -148,18 +221,7 @@ def close_texts(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
     keys = [F.col("l.group") == F.col("r.group"), F.col("l.key") == F.col("r.key"), F.col("l.folded") != F.col("r.folded"), F.least(F.length("l.folded"), F.length("r.folded")) >= enough]
     met = l.join(r, keys).select(F.col("l.group").alias("group"), F.col("l.folded").alias("folded"), F.col("r.folded").alias("like")).distinct()
 
-    def score(batches):
-        for b in batches:
-            found = []
-            for x, y in zip(b["folded"], b["like"], strict=True):
-                s = SequenceMatcher(None, y, x)
-                # letters in common bound the ratio, and are counted first
-                found.append(s.ratio() if s.quick_ratio() >= ratio else 0.0)
-            b["score"] = found
-            yield b
-
-    scored = met.mapInPandas(score, StructType([*met.schema, StructField("score", DoubleType())]))
-    return equal.unionByName(scored.filter(F.col("score") >= ratio))
+    return equal_texts(left, right).unionByName(scored_pairs(met, ratio))
 
 
 #: Rounds of linking in which pairs fall into groups; what isn't settled by then keeps its list as its group.
