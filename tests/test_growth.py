@@ -10,6 +10,7 @@ from tidemark.functions import clean as C
 from tidemark.operators import diff as D
 from tidemark.operators import entities as E
 from tidemark.operators import kpi as K
+from tidemark.operators.search import TextIndex
 
 
 def plan(df):
@@ -105,3 +106,10 @@ def test_partners_as_a_plain_walk_chooses_them(spark):
         want |= {(g, p, "EXTRA", None) for p in left}
     told = D.compare_lists(spark.createDataFrame(template, "group int, value string, pos long"), spark.createDataFrame(catalogue, "group int, value string")).collect()
     assert {(r.group, r.value, r.status, r.partner) for r in told} == want
+
+
+def test_an_index_lists_ids_by_run(spark):
+    df = spark.range(900).select("id", F.concat(F.lit("common words of all texts "), "id").alias("t")).coalesce(1)
+    index = TextIndex(df, "id", ["t"], parts=2)
+    assert index.runs.count() < 3000 and index.runs.select(F.sum(F.size("ids"))).first()[0] > 20000
+    assert sorted(r.id for r in index.search("COMMON s 89").collect()) == [k for k in range(900) if "89" in str(k)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,6 +15,8 @@ from ..sources.sheets import find_package, kept
 Q = 3
 #: Folders of the runs, and of the texts.
 BUCKETS, PARTS = 64, 64
+#: Texts whose ids are listed together, run by run.
+TEXTS = 1000
 #: Candidates that may be broadcast; more of them are joined by a shuffle.
 BROADCAST_ROWS = 100_000
 
@@ -23,8 +26,8 @@ class TextIndex:
 
     A search reads the folders of its words' runs, keeps the ids that have all of them, reads the folders of those ids' texts and looks for
     the words in them: runs only nominate, so rows are the same as a scan's. Words of fewer letters than a run take part in that last step
-    only; a search without any longer word looks through all texts. A run that nearly all texts have is split over tasks as it is written,
-    and read as narrow rows.
+    only; a search without any longer word looks through all texts. A row is a run and those of up to ``TEXTS`` ids that have it, so a run that
+    nearly all texts have is many rows, split over tasks as they are written.
     """
 
     def __init__(self, df: DataFrame, id_col: str, columns: list[str], parts: int = PARTS) -> None:
@@ -32,20 +35,23 @@ class TextIndex:
         texts = df.select(F.col(id_col).alias("id"), fold(F.concat_ws(" ", *columns)).alias("text")).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
         self.texts = kept(texts.hint("rebalance", F.col("part")), "part")
 
+        id_type = dict(self.texts.dtypes)["id"]
+
         def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                for at in range(0, b.num_rows, 256):
-                    ids, parts_, grams = [], [], []
-                    for i, part, text in zip(*(c.slice(at, 256).to_pylist() for c in b.columns), strict=True):
-                        own = {text[k : k + Q] for k in range(len(text) - Q + 1)}
-                        grams += own
-                        ids += [i] * len(own)
-                        parts_ += [part] * len(own)
-                    yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(ids, b.column(0).type), pa.array(parts_, pa.int32())], names=["gram", "id", "part"])
+                for at in range(0, b.num_rows, TEXTS):
+                    ids, texts_ = (c.slice(at, TEXTS) for c in b.columns)
+                    have: dict[str, list[int]] = {}
+                    for k, text in enumerate(texts_.to_pylist()):
+                        for g in {text[j : j + Q] for j in range(len(text) - Q + 1)}:
+                            have.setdefault(g, []).append(k)
+                    ends = list(accumulate(map(len, have.values()), initial=0))
+                    listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids.take(pa.array(list(chain.from_iterable(have.values())), pa.int32())))
+                    yield pa.RecordBatch.from_arrays([pa.array(list(have), pa.string()), listed], names=["gram", "ids"])
 
-        schema = f"gram string, id {dict(self.texts.dtypes)['id']}, part int"
-        told = self.texts.select("id", "part", "text").mapInArrow(runs, schema).withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(BUCKETS)).cast("int"))
+        told = self.texts.select("id", "text").mapInArrow(runs, f"gram string, ids array<{id_type}>").withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(BUCKETS)).cast("int"))
         self.runs = kept(told.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "gram"), "bucket")
+        self.parts = parts
 
     def candidates(self, words: list[str]) -> DataFrame | None:
         """id, part of the texts that have all runs of the (folded) words; None if no word has any."""
@@ -54,8 +60,9 @@ class TextIndex:
             return None
         spark = self.texts.sparkSession
         buckets = [r[0] for r in spark.createDataFrame([(g,) for g in grams], "gram string").select(F.pmod(F.xxhash64("gram"), F.lit(BUCKETS)).cast("int")).distinct().collect()]
-        found = self.runs.filter(F.col("bucket").isin(buckets) & F.col("gram").isin(grams))
-        return found.groupBy("id", "part").agg(F.count_distinct("gram").alias("n")).filter(F.col("n") == len(grams)).drop("n")
+        found = self.runs.filter(F.col("bucket").isin(buckets) & F.col("gram").isin(grams)).select("gram", F.explode("ids").alias("id"))
+        have = found.groupBy("id").agg(F.count_distinct("gram").alias("n")).filter(F.col("n") == len(grams))
+        return have.select("id", F.pmod(F.xxhash64("id"), F.lit(self.parts)).cast("int").alias("part"))
 
     def search(self, words: str) -> DataFrame:
         """id of the texts that contain every word, accents and case apart; repeated ids come as often as they are there."""
