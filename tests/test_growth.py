@@ -1,7 +1,9 @@
 """Steps whose cost must not grow faster than their input."""
 
+import datetime
 import random
 import unicodedata
+from collections import Counter
 from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
@@ -10,7 +12,9 @@ from tidemark.functions import clean as C
 from tidemark.operators import diff as D
 from tidemark.operators import entities as E
 from tidemark.operators import kpi as K
+from tidemark.operators import reconcile as R
 from tidemark.operators.search import TextIndex
+from tidemark.plans import registry
 
 
 def plan(df):
@@ -113,3 +117,42 @@ def test_an_index_lists_ids_by_run(spark):
     index = TextIndex(df, "id", ["t"], parts=2)
     assert index.runs.count() < 3000 and index.runs.select(F.sum(F.size("ids"))).first()[0] > 20000
     assert sorted(r.id for r in index.search("COMMON s 89").collect()) == [k for k in range(900) if "89" in str(k)]
+
+
+def test_sides_that_lie_by_the_base_key_are_paired_where_they_lie(spark):
+    rows = spark.range(1000).selectExpr("id % 300 as base", "cast(id % 7 as string) as formula", "id", "date'2024-01-01' as approval_date").repartition(7, "base")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    had = {c: spark.conf.get(c) for c in conf}
+    for c, v in conf.items():
+        spark.conf.set(c, v)
+    try:
+        told = R.pair_by_formula(rows.filter("id % 3 <> 0"), rows.filter("id % 4 <> 0"), ["base"])
+        made = told._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, v in had.items():
+            spark.conf.set(c, v)
+    assert made.count("Exchange hashpartitioning") == 2 and made.count("Sort [") == 1, made
+
+
+def test_pairs_as_a_join_makes_them(spark):
+    """Repeated keys, spaces around formulas, missing formulas, dates and keys: as if each side's rows were joined by base and formula key."""
+    rng = random.Random(5)
+    side = lambda: [(rng.choice([*range(40), None]), rng.choice(["a", " a", "b", "", " ", None]), rng.randrange(9), rng.choice([datetime.date(2024, 1, k) for k in (1, 2, 3)] + [None])) for _ in range(70)]
+    old, new = side(), side()
+    schema = "base int, formula string, id int, approval_date date"
+    got = Counter(tuple(r) for r in R.pair_by_formula(spark.createDataFrame(old, schema), spark.createDataFrame(new, schema).drop("id"), ["base"]).collect())
+    n_old, n_new = (Counter(r[0] for r in x) for x in (old, new))
+    key = lambda r: (r[0], "" if n_old[r[0]] == n_new[r[0]] == 1 else (r[1] or "").strip(" "))
+    old, new = [r for r in old if r[0] is not None], [r for r in new if r[0] is not None]
+    want = Counter((*key(o), "DELETE", o[2], o[3], None) for o in old if key(o) not in set(map(key, new))) + Counter((*key(n), "INSERT", None, None, n[3]) for n in new if key(n) not in set(map(key, old)))
+    for o in old:
+        for n in new:
+            if key(o) == key(n):
+                what = "UPDATE" if None in (o[3], n[3]) or o[3] == n[3] else "REPLACE" if n[3] > o[3] else "SKIP_DATE_REGRESSED"
+                want[*key(o), what, o[2], o[3], n[3]] += 1
+    assert got == want and {w[2] for w in want} == {"INSERT", "UPDATE", "REPLACE", "DELETE", "SKIP_DATE_REGRESSED"}
+
+
+def test_a_tasks_share_does_not_grow_with_the_table(spark):
+    assert registry.parts(spark.range(10)) == spark.sparkContext.defaultParallelism
+    assert registry.parts(spark.range(100 * registry.TASK_ROWS + 1)) == 101

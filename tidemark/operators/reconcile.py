@@ -24,12 +24,14 @@ def merge_plan(existing: DataFrame, incoming: DataFrame, keys: list[str], date:
     old = existing.select(*keys, F.col(id_col).alias("existing_id"), F.col(date).alias("old_date"), F.lit(True).alias("is_old"))
     new = incoming.select(*keys, F.col(date).alias("new_date"), F.lit(True).alias("is_new"))
     both = old.join(new, keys, "full_outer")
-    action = (
-        F.when(F.col("is_old").isNull(), INSERT).when(F.col("is_new").isNull(), DELETE)
-        .when(F.col("old_date").isNull() | F.col("new_date").isNull() | (F.col("old_date") == F.col("new_date")), UPDATE)
-        .when(F.col("new_date") > F.col("old_date"), REPLACE).otherwise(SKIP)
-    )
-    return both.select(*keys, action.alias("action"), "existing_id", "old_date", "new_date")
+    what = action(F.col("is_old").isNotNull(), F.col("is_new").isNotNull(), F.col("old_date"), F.col("new_date"))
+    return both.select(*keys, what.alias("action"), "existing_id", "old_date", "new_date")
+
+
+def action(is_old: Column, is_new: Column, old_date: Column, new_date: Column) -> Column:
+    """What happens to a key that one side or both have."""
+    same_day = old_date.isNull() | new_date.isNull() | (old_date == new_date)
+    return F.when(~is_old, INSERT).when(~is_new, DELETE).when(same_day, UPDATE).when(new_date > old_date, REPLACE).otherwise(SKIP)
 
 
 def undated_plan(existing: DataFrame, incoming: DataFrame, keys: list[str], id_col: str = "id") -> DataFrame:
@@ -134,9 +136,27 @@ def reattach(children: DataFrame, new_parents: DataFrame, parent: str) -> DataFr
 
 def pair_by_formula(existing: DataFrame, incoming: DataFrame, base: list[str], formula: str = "formula", date: str = "approval_date", id_col: str = "id") -> DataFrame:
     """A plan on a conditional key: one existing and one incoming row of a base key are the same source whatever their formula; otherwise
-    the formula belongs to the key."""
-    old, new = with_formula_key(existing, incoming, base, formula)
-    return merge_plan(old, new, [*base, "formula_key"], date, id_col)
+    the formula belongs to the key.
+
+    Both sides are one table, sorted once by base key and formula, where each row sees the others of its key: sides that lie by base key in
+    as many partitions are shuffled no more. Repeated keys meet each row of the other side; rows without a base key take no part.
+    """
+    old = existing.select(*base, F.col(formula).alias("__formula"), F.struct(F.col(id_col).alias("existing_id"), F.col(date).alias("old_date")).alias("o"))
+    new = incoming.select(*base, F.col(formula).alias("__formula"), F.struct(F.col(date).alias("new_date")).alias("n"))
+    none = lambda df, c: F.lit(None).cast(df.schema[c].dataType).alias(c)
+    sides = old.select("*", none(new, "n")).unionByName(new.select("*", none(old, "o"))).dropna(subset=base)
+    whole = Window.partitionBy(*base).orderBy("__formula").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    same = Window.partitionBy(*base, "__formula")
+    told = sides.withColumn("__formula", F.coalesce(F.trim("__formula"), F.lit(""))).withColumns(
+        {"n_old": F.count("o").over(whole), "n_new": F.count("n").over(whole), "other": F.first("n", ignorenulls=True).over(whole), "n_alike": F.count("o").over(same), "alike": F.collect_list("n").over(same)}
+    )
+    single, is_old = (F.col("n_old") == 1) & (F.col("n_new") == 1), F.col("o").isNotNull()
+    # an existing row stands for its pairs, an incoming one for itself where it has none
+    met = F.when(is_old, F.when(single, F.array("other")).when(F.size("alike") > 0, F.col("alike")).otherwise(F.array(none(new, "n")))).when(~single & (F.col("n_alike") == 0), F.array("n"))
+    key = F.when(single, "").otherwise(F.col("__formula"))
+    pairs = told.select(*base, key.alias("formula_key"), "o", F.explode(met).alias("n"))
+    what = action(F.col("o").isNotNull(), F.col("n").isNotNull(), F.col("o.old_date"), F.col("n.new_date"))
+    return pairs.select(*base, "formula_key", what.alias("action"), "o.existing_id", "o.old_date", "n.new_date")
 
 
 def with_formula_key(existing: DataFrame, incoming: DataFrame, base: list[str], formula: str = "formula") -> tuple[DataFrame, DataFrame]:

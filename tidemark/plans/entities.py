@@ -17,7 +17,7 @@ from ..operators import resolve as S
 from ..sources import contracts, sheets
 from . import merging
 from .catalogues import loads, LOADS
-from .registry import query, table
+from .registry import parts, query, table
 from .reports import REL, links
 
 # one staged sheet a contract: texts as people type them
@@ -155,7 +155,9 @@ def source_apply(spark, sf):
     o = table(spark, sf, "orders")
     old = o.filter("o_orderkey % 5 <> 0").selectExpr("o_orderkey * 10 as id", "o_orderkey as k", "'a' as formula", "to_date(o_orderdate) as approval_date", "o_totalprice as price", "'1' as version", "true as active", "cast(null as date) as end_date")
     new = o.filter("o_orderkey % 7 <> 0").selectExpr("o_orderkey as k", "if(o_orderkey % 2 = 0, 'b', 'a') as formula", "date_add(to_date(o_orderdate), cast(o_orderkey % 3 - 1 as int)) as approval_date", "o_totalprice + o_orderkey % 2 as price")
-    old, new = M.with_formula_key(old, new, ["k"])
+    n = parts(o)
+    old, new = M.with_formula_key(old.repartition(n, "k"), new.repartition(n, "k"), ["k"])
+    old, new = (df.repartition(n, "k", "formula_key") for df in (old, new))
     return M.apply_versions(old, new, ["k", "formula_key"], ["price"], merging.end()).select("id", "k", "formula_key", "price", "active", "action")
 
 

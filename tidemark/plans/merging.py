@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import reconcile as R
-from .registry import query, table
+from .registry import parts, query, table
 
 def end():
     return F.to_date(F.lit("1999-01-01"))
@@ -123,7 +123,9 @@ SELECT coalesce(o2.ok, n2.ok) AS ok, coalesce(o2.pk, n2.pk) AS pk, coalesce(o2.f
        o2.id AS existing_id, o2.d AS old_date, n2.d AS new_date
 FROM o2 FULL JOIN n2 ON o2.ok = n2.ok AND o2.pk = n2.pk AND o2.fk = n2.fk""")
 def conditional_pairing(spark, sf):
-    li = table(spark, sf, "lineitem").selectExpr("l_orderkey as ok", "l_partkey as pk", "l_returnflag as formula", "l_linenumber as line", "to_date(l_shipdate) as d")
+    rows = table(spark, sf, "lineitem")
+    # both sides come from rows that lie by the base key
+    li = rows.selectExpr("l_orderkey as ok", "l_partkey as pk", "l_returnflag as formula", "l_linenumber as line", "to_date(l_shipdate) as d").repartition(parts(rows), "ok", "pk")
     old = li.filter("line % 3 <> 0").groupBy("ok", "pk", "formula").agg(F.min("line").alias("id"), F.max("d").alias("approval_date"))
     new = li.filter("line % 4 <> 0").withColumn("formula", F.expr("if(ok % 2 = 0, 'X', formula)")).groupBy("ok", "pk", "formula").agg(F.max("d").alias("approval_date"))
     return R.pair_by_formula(old, new, ["ok", "pk"])

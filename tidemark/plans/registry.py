@@ -23,3 +23,13 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Rows of a table that one task takes where they are dealt out by a key.
+TASK_ROWS = 250_000
+
+
+def parts(df: DataFrame) -> int:
+    """In how many parts a table is dealt out, so that a task's share is the same however large the table: its rows are counted, which
+    Parquet files tell without being read."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))
