@@ -14,7 +14,8 @@ from tidemark.operators import entities as E
 from tidemark.operators import kpi as K
 from tidemark.operators import reconcile as R
 from tidemark.operators.search import TextIndex
-from tidemark.plans import registry
+from tidemark.plans import intakes, registry
+from tidemark.streaming import intake as I
 
 
 def plan(df):
@@ -156,3 +157,24 @@ def test_pairs_as_a_join_makes_them(spark):
 def test_a_tasks_share_does_not_grow_with_the_table(spark):
     assert registry.parts(spark.range(10)) == spark.sparkContext.defaultParallelism
     assert registry.parts(spark.range(100 * registry.TASK_ROWS + 1)) == 101
+
+
+def test_a_submissions_lines_are_read_once_for_its_gates(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(value):
+        read.add(1)
+        return value
+
+    head = '{"control": {"template": "catalogue", "version": "1.2.0"}}'
+    rows = ['{"row": {"domain": "A", "code": "%d", "total": "1", "approval_date": "2024-01-01"}}' % k for k in range(3)]
+    told = [("a", k, v) for k, v in enumerate([head, *rows])] + [("b", k, v) for k, v in enumerate([head, rows[0], '{"row": {"domain": "A"}}'])] + [("c", 0, head), ("d", 0, "no record")]
+    lines = spark.createDataFrame(told, "file string, place long, value string").withColumn("value", F.udf(seen, "string").asNondeterministic()("value"))
+    heads = {h["file"]: (h["domain"], h["n_rows"], h["gate"], h["wave"]) for h in intakes.submissions(spark, str(tmp_path)).heads(lines)}
+    assert heads == {"a": ("A", 3, "ACCEPTED", 1), "b": ("A", 2, "REJECTED_STRUCTURE", 2), "c": (None, 0, "REJECTED_STRUCTURE", 1), "d": (None, 0, "REJECTED_CONTROL", 1)}
+    assert read.value == len(told)
+
+
+def test_lines_stay_where_they_are_read(spark, tmp_path):
+    (tmp_path / "f").write_text("a\nb\n")
+    assert "strategy=broadcast" in plan(I.line_places(I.lines_of(spark.read.text(str(tmp_path)))))

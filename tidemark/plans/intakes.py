@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import clean as C
 from ..operators import gates as G
 from ..operators import reconcile as R
-from ..sources.sheets import Contract, shared_folder
+from ..sources.sheets import Contract, kept, shared_folder
 from ..sources.versions import Store
 from ..streaming.submissions import ACTIONS, LOADS, Submissions
 from . import merging
@@ -31,6 +31,7 @@ def submissions(spark, root: str) -> Submissions:
     printed = G.fingerprints(headers).select("fingerprint")
     known = "template string, version string, state string, min_loader string, grace_end date"
     registry = spark.createDataFrame([(TEMPLATE, VERSION, "LIVE", "1.0.0", None), (TEMPLATE, "1.1.0", "RETIRED", "1.0.0", None)], known).join(printed).withColumn("columns_fingerprint", F.col("fingerprint"))
+    registry = spark.createDataFrame(registry.toArrow())  # two rows, which each batch asks
     return Submissions(Store(spark, f"{root}/store"), SHEET, registry, TEMPLATE, LOADER, F.to_date(F.lit("2024-06-01")), typed, ["domain", "code"], ["total"])
 
 
@@ -73,7 +74,7 @@ def submission_intake(spark, sf):
     then changes (one on a stale base, one with rows in error, one whose control names another domain). One outcome a file."""
     root = shared_folder(spark)
     job, folder = submissions(spark, root), f"{root}/arriving"
-    all_ = totals(spark, sf)
+    all_ = kept(totals(spark, sf))
     domains = all_.select("domain").distinct()
 
     def run() -> DataFrame:
@@ -102,7 +103,7 @@ def dry_submissions(spark, sf):
     root = shared_folder(spark)
     job, folder = submissions(spark, root), f"{root}/arriving"
     job.dry = True
-    rows = totals(spark, sf).withColumn("approval_date", F.expr(DAY)).withColumn("file", F.concat(F.lit("all-"), "domain"))
+    rows = kept(totals(spark, sf)).withColumn("approval_date", F.expr(DAY)).withColumn("file", F.concat(F.lit("all-"), "domain"))
     heads = rows.select("file", "domain").distinct().select("file", control(domain=F.col("domain")).alias("value"))
     arrive(lines(rows).union(heads), folder)
     job.start(spark, folder, f"{root}/checkpoint").awaitTermination()

@@ -6,7 +6,7 @@ together (``versions.Store``), and a batch that is run again finds its number pu
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,23 +15,28 @@ from ..sources.versions import Part, Store
 ROWS, HISTORY = "rows", "history"
 
 
-def contents(rows: DataFrame, place: Column, columns: list[str]) -> DataFrame:
-    """file, content, n_rows: a fingerprint of each file's rows and their order. A row is hashed with its place in the file, and the hashes
-    are added up where they are read: a file may be of any size, and the splits in which it is read don't matter."""
+def content(place: Column, columns: list[str]) -> Column:
+    """A fingerprint of a group's rows and their order. A row is hashed with its place in the file, and the hashes are added up where they
+    are read: a file may be of any size, and the splits in which it is read don't matter."""
     h1, h2 = F.xxhash64(place, *columns), F.xxhash64(F.lit(1), place, *columns)
     sums = [F.count("*"), F.sum(h1.cast("decimal(38,0)")), F.bit_xor(h1), F.sum(h2.cast("decimal(38,0)")), F.bit_xor(h2)]
-    return rows.groupBy("file").agg(F.sha2(F.concat_ws(":", *(s.cast("string") for s in sums)), 256).alias("content"), F.count("*").alias("n_rows"))
+    return F.sha2(F.concat_ws(":", *(s.cast("string") for s in sums)), 256)
+
+
+def contents(rows: DataFrame, place: Column, columns: list[str]) -> DataFrame:
+    """file, content, n_rows of each file."""
+    return rows.groupBy("file").agg(content(place, columns).alias("content"), F.count("*").alias("n_rows"))
 
 
 def line_places(lines: DataFrame) -> DataFrame:
     """Lines (value, file, start: where their split begins) with ``place``, their number in the file, whatever its splits: a split's lines
-    are numbered as they are read, and splits by the counts of those before them."""
+    are numbered as they are read, and splits by the counts of those before them. Counts, a row a split, go to the lines, which stay where
+    they are read."""
     # a task numbers its rows in order
     read = lines.withColumn("__id", F.monotonically_increasing_id())
-    splits = read.groupBy("file", "start").agg(F.min("__id").alias("__first"), F.count("*").alias("__n")).alias("s")
-    earlier = splits.select(F.col("file").alias("__file"), F.col("start").alias("__start"), F.col("__n").alias("__m"))
-    before = splits.join(earlier, (F.col("file") == F.col("__file")) & (F.col("__start") < F.col("start")), "left").groupBy("file", "start", "__first").agg(F.coalesce(F.sum("__m"), F.lit(0)).alias("__before"))
-    return read.join(before, ["file", "start"]).withColumn("place", F.col("__id") - F.col("__first") + F.col("__before")).drop("__id", "__first", "__before")
+    splits = read.groupBy("file", "start").agg(F.min("__id").alias("__first"), F.count("*").alias("__n"))
+    before = splits.withColumn("__before", F.coalesce(F.sum("__n").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
+    return read.join(F.broadcast(before), ["file", "start"]).withColumn("place", F.col("__id") - F.col("__first") + F.col("__before")).drop("__id", "__first", "__before")
 
 
 def lines_of(df: DataFrame) -> DataFrame:

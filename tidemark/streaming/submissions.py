@@ -29,7 +29,7 @@ from ..operators import gates as G
 from ..operators import reconcile as R
 from ..sources.sheets import Contract
 from ..sources.versions import Conflict, Part, Store
-from .intake import contents, line_places, lines_of
+from .intake import content, line_places, lines_of
 
 STAGED, GOVERNED, AUDIT, LOADS = "staged", "governed", "audit", "loads"
 CONTROL = "struct<template string, version string, domain string, base_load string>"
@@ -61,18 +61,19 @@ class Submissions:
 
     def heads(self, lines: DataFrame) -> list[dict]:
         """One record a file: control, domain of its rows, fingerprint of its columns, content, gate before its base is looked at."""
-        told = self.parsed(lines)
+        told = self.parsed(lines, "value").select("*", F.get_json_object("row", f"$.{self.contract.key}").alias("anchor"), F.json_object_keys("row").alias("names"))
         row = F.col("row").isNotNull()
-        anchor = F.get_json_object("row", f"$.{self.contract.key}")
-        files = told.groupBy("file").agg(
-            F.max("control").alias("control"), F.when(F.min(anchor) == F.max(anchor), F.min(anchor)).alias("anchor_domain"), F.count_if(row).alias("n_rows"),
-            F.min_by(F.json_object_keys("row"), F.when(row, F.col("place"))).alias("names"), F.count_distinct(F.json_object_keys("row")).alias("n_headers"),
+        # rows with other columns than the first ones' are another structure
+        facts = told.groupBy("file").agg(
+            F.max("control").alias("control"), F.when(F.min("anchor") == F.max("anchor"), F.min("anchor")).alias("anchor_domain"), F.count_if(row).alias("n_rows"),
+            F.min_by("names", F.when(row, F.col("place"))).alias("names"), (F.min("names") == F.max("names")).alias("one_header"), content(F.col("place"), ["value"]).alias("hash"),
         )
+        # one pass over the lines gives a row a file, from which all gates are told
+        files = lines.sparkSession.createDataFrame(facts.toArrow())
         headers = files.select("file", F.lit(self.contract.name).alias("sheet"), F.posexplode("names").alias("pos", "name"))
-        files = files.join(G.fingerprints(headers), "file", "left").join(contents(lines, F.col("place"), ["value"]).select("file", F.col("content").alias("hash")), "file")
+        files = files.join(G.fingerprints(headers), "file", "left")
         files = files.select("*", F.col("control.template").alias("template"), F.col("control.version").alias("version"), F.col("control.domain").alias("declared_domain"), F.col("control").isNotNull().alias("has_control"))
-        # rows with other columns than the first ones' are another structure
-        files = files.withColumn("fingerprint", F.when(F.col("n_headers") == 1, F.col("fingerprint")))
+        files = files.withColumn("fingerprint", F.when(F.col("one_header"), F.col("fingerprint")))
         identity = G.identity_gate(files, self.template).withColumnRenamed("gate", "identity")
         decided = G.version_decisions(files.select("file", "template", "version", "fingerprint"), self.registry, self.loader, self.today)
         gate = F.when(F.col("identity").isin("REJECTED_CONTROL", "REJECTED_VERSION"), F.col("identity")).when(F.col("decision") != "ACCEPTED", F.col("decision")).otherwise(F.col("identity"))
@@ -82,9 +83,9 @@ class Submissions:
         return [r.asDict() for r in out.withColumn("wave", wave).collect()]
 
     @staticmethod
-    def parsed(lines: DataFrame) -> DataFrame:
+    def parsed(lines: DataFrame, *more: str) -> DataFrame:
         """file, place, control, row (JSON)."""
-        return lines.select("file", "place", F.from_json(F.get_json_object("value", "$.control"), CONTROL).alias("control"), F.get_json_object("value", "$.row").alias("row"))
+        return lines.select("file", "place", *more, F.from_json(F.get_json_object("value", "$.control"), CONTROL).alias("control"), F.get_json_object("value", "$.row").alias("row"))
 
     def rows(self, lines: DataFrame, loads: dict[str, int]) -> DataFrame:
         """The contract's columns as text, stamped with their load and place."""
