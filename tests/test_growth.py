@@ -14,7 +14,7 @@ from tidemark.operators import entities as E
 from tidemark.operators import kpi as K
 from tidemark.operators import reconcile as R
 from tidemark.operators.search import TextIndex
-from tidemark.plans import intakes, registry
+from tidemark.plans import intakes, registry, wholes
 from tidemark.streaming import intake as I
 
 
@@ -178,3 +178,19 @@ def test_a_submissions_lines_are_read_once_for_its_gates(spark, tmp_path):
 def test_lines_stay_where_they_are_read(spark, tmp_path):
     (tmp_path / "f").write_text("a\nb\n")
     assert "strategy=broadcast" in plan(I.line_places(I.lines_of(spark.read.text(str(tmp_path)))))
+
+
+def test_sources_lie_by_order_in_parts_of_their_number(spark, monkeypatch):
+    monkeypatch.setattr(registry, "TASK_ROWS", 500)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    had = {c: spark.conf.get(c) for c in conf}
+    for c, v in conf.items():
+        spark.conf.set(c, v)
+    try:
+        made = wholes.entity_orders(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, v in had.items():
+            spark.conf.set(c, v)
+    dealt = [line for line in made.split("\n") if "Exchange hashpartitioning(l_orderkey" in line or "Exchange hashpartitioning(code" in line]
+    assert len(dealt) == 2 and all("L, 12)" in line for line in dealt), made
+    assert "l_extendedprice" not in made
