@@ -142,3 +142,19 @@ def test_wide_rows_hide_confidential_details(spark):
     assert got[11].points == 5 and got[11].official_server == "" and got[11].link_state == "" and "critico" not in got[11].search and "ana" in got[11].search
     assert got[20].official_server == "(confidential)" and got[20].n_official == 1 and got[21].official_server == "" and got[21].points == 3
     assert len([c for c in one.asDict() if not c.startswith(("role_", "other_roles", "search", "points"))]) == 35
+
+
+def test_codes_of_two_domains_meet_their_own_sources(spark):
+    from tidemark.operators import kpi as K
+
+    attributes = spark.createDataFrame([(d, c, *[f"{p} {c}" for p in K.PLAIN]) for d, c in ((1, 10), (2, 10), (2, 20), (None, 30))], "domain_id long, code long, " + ", ".join(f"{p} string" for p in K.PLAIN))
+    domains = spark.createDataFrame([(d, f"D{d}", "d", "Activo") for d in (1, 2)], "domain_id long, domain string, domain_name string, state_class string")
+    source = "domain_id long, code long, server string, database string, table string, field string, primary boolean, class string"
+    official = spark.createDataFrame([(1, 10, "one", "d", "t", "f", True, "c"), (2, 10, "two", "d", "t", "f", True, "c"), (1, 20, "no", "d", "t", "f", True, "c"), (None, 10, "no", "d", "t", "f", True, "c")], source)
+    used = spark.createDataFrame([(2, 10, "used", "d", "t", "f", True, "c")], source)
+    links = spark.createDataFrame([(10, "RESOLVED")], "id long, state string")
+    people = spark.createDataFrame([(1, 1, "Ana")], "domain long, role_id int, name string")
+    got = [sorted(map(tuple, K.wide_rows(attributes, domains, official, used, links, people, unique_codes=unique).collect())) for unique in (False, True)]
+    told = {(r[0], r[4]): r for r in got[0]}
+    assert got[0] == got[1] and len(got[0]) == 3
+    assert "one" in told["D1", 10] and "two" in told["D2", 10] and "used" in told["D2", 10] and "no" not in told["D2", 20]

@@ -2,6 +2,7 @@
 
 import datetime
 import random
+import re
 import unicodedata
 from collections import Counter
 from difflib import SequenceMatcher
@@ -194,3 +195,35 @@ def test_sources_lie_by_order_in_parts_of_their_number(spark, monkeypatch):
     dealt = [line for line in made.split("\n") if "Exchange hashpartitioning(l_orderkey" in line or "Exchange hashpartitioning(code" in line]
     assert len(dealt) == 2 and all("L, 12)" in line for line in dealt), made
     assert "l_extendedprice" not in made
+
+
+def test_columns_that_nobody_reads_are_not_kept_to_deal_out_rows(spark):
+    facts = spark.range(50).select("id", F.when(F.col("id") < 10, F.col("id")).alias("k"), F.concat(F.lit("long "), "id").alias("unread"))
+    told = E.star(facts, [("k", spark.range(8).select(F.col("id").alias("n"), F.lit("x").alias("text")), "n", "text", "name")], ("id",)).select("id", "name")
+    assert "unread" not in plan(told) and {r.id: r.name for r in told.collect()} == {k: "x" if k < 8 else None for k in range(50)}
+
+
+def test_small_catalogues_are_broadcast_and_large_ones_are_not(spark, monkeypatch):
+    monkeypatch.setattr(registry, "TASK_ROWS", 10)
+    assert "ResolvedHint" in registry.at_hand(spark.range(10))._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in registry.at_hand(spark.range(11))._jdf.queryExecution().analyzed().toString()
+
+
+def test_wide_rows_meet_where_their_sources_lie(spark):
+    """Sources are grouped where they meet their orders, and attributes come to them: neither is shuffled again by domain and code. Rows of a domain
+    still follow each other."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    had = {c: spark.conf.get(c) for c in conf}
+    for c, v in conf.items():
+        spark.conf.set(c, v)
+    try:
+        told = wholes.explorer_wide(spark, "/root/testdata/sf0.001")
+        physical = told._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"hashpartitioning\((domain_id|__domain)#\w+, (code|__code)#", physical), physical
+        parts = told.select("domain").rdd.mapPartitions(lambda rows: [[r.domain for r in rows]]).collect()
+    finally:
+        for c, v in had.items():
+            spark.conf.set(c, v)
+    assert len(parts) > 1
+    for domains in parts:
+        assert sum(a != b for a, b in zip(domains, domains[1:])) < max(1, len(set(domains)))
